@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EVENT_KEY = ("event_id",)
+MESSAGE_POSITION = ("kafka_partition", "kafka_offset")
+COPY_SALTS = 32
 
 
 def first_per_key(
@@ -39,10 +41,24 @@ def dedup_batch(
 
 
 def dedup_stream(
-    events: DataFrame, keys: Sequence[str] = EVENT_KEY, watermark: str = "5 minutes"
+    events: DataFrame,
+    keys: Sequence[str] = EVENT_KEY,
+    watermark: str = "5 minutes",
+    position: Sequence[str] = MESSAGE_POSITION,
 ) -> DataFrame:
-    """One row per key on a stream; state is dropped once the watermark passes."""
-    return events.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(list(keys))
+    """One row per key on a stream; state is dropped once the watermark passes.
+
+    A stream cannot combine copies before its shuffle, so all copies of one key
+    would meet in one task. They are first cut down to one per key and salt,
+    with the salt taken from the ``position`` that tells copies apart, and then
+    to one per key. Without such columns there is only the second step.
+    """
+    marked = events.withWatermark("event_ts", watermark)
+    position = [c for c in position if c in events.columns]
+    if position:
+        salt = F.pmod(F.xxhash64(*position), F.lit(COPY_SALTS))
+        marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"])
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_salt")
 
 
 def upsert(

@@ -47,9 +47,13 @@ def quality_report(
 
 
 def event_rules(categories: Sequence[str] = CATEGORIES) -> dict[str, tuple[Column, Column]]:
-    """Per rule: which events it applies to, and what must hold for them."""
+    """Per rule: which events it applies to, and what must hold for them.
+
+    ``event_json`` is the serialised event, the ``catalog_`` columns are those of
+    the product lookup.
+    """
     every = F.lit(True)
-    text = event_json()
+    text = F.col("event_json")
     has = {c: F.col(c).isNotNull() for c in EVENT_FIELDS}
     present = reduce(lambda a, b: a + b, (has[c].cast("int") for c in EVENT_FIELDS))
     return {
@@ -102,7 +106,8 @@ def _event_rules(events: DataFrame, categories: Sequence[str]) -> DataFrame:
     # At most one entry per known type.
     seen = F.collect_set(F.when(is_type(*EVENT_TYPES), F.col("event_type")))
     known = F.array(*(F.lit(t) for t in EVENT_TYPES))
-    totals = events.agg(*counts, seen.alias("seen")).withColumns(
+    serialised = events.withColumn("event_json", event_json())
+    totals = serialised.agg(*counts, seen.alias("seen")).withColumns(
         {
             "event_types_present_checked": F.size(known).cast("bigint"),
             "event_types_present_failed": F.size(F.array_except(known, "seen")).cast("bigint"),

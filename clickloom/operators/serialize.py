@@ -39,17 +39,14 @@ def kafka_rows(events: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def by_user(events: DataFrame, partitions: int, spread: int = 1) -> DataFrame:
-    """Lay out events for a file sink as Kafka would: one user, one partition.
+def by_user(events: DataFrame, partitions: int) -> DataFrame:
+    """Lay out events for a file sink: users together, each in order of time.
 
-    ``spread`` above 1 splits each user over that many partitions, for streams
-    with users too large for one task; the order within a user then ends at the
-    border of a partition.
+    Partitions are ranges of user and time, so a user too large for one task
+    continues in the next partition instead of overloading one.
     """
-    if spread == 1:
-        return events.repartition(partitions, "user_id")
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(spread))
-    return events.repartition(partitions, F.col("user_id"), salt)
+    order = ["user_id", "event_ts"]
+    return events.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
 
 def round_trip(events: DataFrame) -> DataFrame:

@@ -102,29 +102,24 @@ def stream_cells(
     return _finish(_count_facts(values.groupBy("window", *CELL_KEYS)))
 
 
-def stream_cells_one_pass(
+def stream_cells_approx(
     events: DataFrame,
     width: str = "1 minute",
     step: str | None = None,
     watermark: str = "5 minutes",
-    approximate: bool = False,
+    error: float = 0.05,
 ) -> DataFrame:
-    """The stream cells in a single aggregate, for update and complete mode.
+    """The stream cells in a single aggregate, with approximate distinct counts.
 
-    Chained aggregates run in append mode only. Here the distinct values of a
-    cell are kept as a set in its state row, which suits narrow windows of
-    moderate traffic; ``approximate`` keeps fixed-size sketches instead.
+    Chained aggregates run in append mode only; this one also runs in update and
+    complete mode. Each distinct count is a sketch of fixed size in the state
+    row of its cell, with relative standard error ``error``. All other columns
+    are exact.
     """
-    if approximate:
-        distinct = F.approx_count_distinct
-    else:
-        def distinct(c: str) -> Column:
-            return F.size(F.collect_set(c)).cast("bigint")
-
     window = F.window("event_ts", width, step or width)
     cells = events.withWatermark("event_ts", watermark).groupBy(window, *CELL_KEYS).agg(
         *(merge(value()).alias(name) for name, (merge, value) in _MEASURES.items()),
-        *(distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()),
+        *(F.approx_count_distinct(c, error).alias(name) for name, c in DISTINCT_COUNTS.items()),
     )
     return _finish(cells)
 

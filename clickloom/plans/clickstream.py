@@ -7,6 +7,7 @@ back as a table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +48,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(build: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _plain_times(build(prepare(spark), sf_dir))
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query under ``name``."""
 
-    QUERIES[build.__name__] = run
-    return run
+    def register(build: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return _plain_times(build(prepare(spark), sf_dir))
+
+        QUERIES[name] = run
+        return run
+
+    return register
 
 
 # --- Shared inputs ---------------------------------------------------------------
@@ -106,13 +112,13 @@ def _drain(stream: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 # --- Parsing, routing, enrichment --------------------------------------------------
 
 
-@query
-def parse_valid(spark, sf_dir):
+@query("parse_valid")
+def _parse_valid(spark, sf_dir):
     return valid_events(_parsed(spark, sf_dir), fixture.clock())
 
 
-@query
-def corrupt(spark, sf_dir):
+@query("corrupt_records")
+def _corrupt(spark, sf_dir):
     records = corrupt_records(_parsed(spark, sf_dir), fixture.clock())
     # The text of an event differs between engines; its event type does not.
     return records.select(
@@ -125,29 +131,29 @@ def corrupt(spark, sf_dir):
     )
 
 
-@query
-def rejected(spark, sf_dir):
+@query("rejected_records")
+def _rejected(spark, sf_dir):
     return rejected_records(_parsed(spark, sf_dir), fixture.clock()).drop("raw_json")
 
 
-@query
-def routes(spark, sf_dir):
+@query("routing_counts")
+def _routes(spark, sf_dir):
     return routing_counts(_parsed(spark, sf_dir))
 
 
-@query
-def route_by_reason(spark, sf_dir):
+@query("route_by_reason")
+def _route_by_reason(spark, sf_dir):
     parsed = with_route(_parsed(spark, sf_dir))
     return parsed.groupBy("route", "reject_reason").agg(F.count("*").alias("messages"))
 
 
-@query
-def enrich_events(spark, sf_dir):
+@query("enrich_events")
+def _enrich_events(spark, sf_dir):
     return _events(spark, sf_dir)
 
 
-@query
-def page_urls(spark, sf_dir):
+@query("page_urls")
+def _page_urls(spark, sf_dir):
     products = fixture.catalog(spark, sf_dir)
     events = lookup(_flat(spark, sf_dir), products)
     return events.select(
@@ -161,87 +167,87 @@ def page_urls(spark, sf_dir):
 # --- Aggregates ------------------------------------------------------------------
 
 
-@query
-def silver_agg_1m(spark, sf_dir):
+@query("silver_agg_1m")
+def _silver_agg_1m(spark, sf_dir):
     return silver.batch_cells(_events(spark, sf_dir), "1 minute")
 
 
-@query
-def silver_agg_6h(spark, sf_dir):
+@query("silver_agg_6h")
+def _silver_agg_6h(spark, sf_dir):
     return silver.batch_cells(_events(spark, sf_dir), "6 hours")
 
 
-@query
-def sliding_5m(spark, sf_dir):
+@query("sliding_5m")
+def _sliding_5m(spark, sf_dir):
     return silver.sliding_cells(_events(spark, sf_dir), "5 minutes", "1 minute")
 
 
-@query
-def sliding_12h(spark, sf_dir):
+@query("sliding_12h")
+def _sliding_12h(spark, sf_dir):
     return silver.sliding_cells(_events(spark, sf_dir), "12 hours", "3 hours")
 
 
-@query
-def sessions(spark, sf_dir):
+@query("sessions")
+def _sessions(spark, sf_dir):
     return batch_sessions(_events(spark, sf_dir), TEST_GAP)
 
 
-@query
-def sessions_30m(spark, sf_dir):
+@query("sessions_30m")
+def _sessions_30m(spark, sf_dir):
     return batch_sessions(_events(spark, sf_dir))
 
 
-@query
-def totals_by_type_date(spark, sf_dir):
+@query("totals_by_type_date")
+def _totals_by_type_date(spark, sf_dir):
     return totals.totals_by_type_and_date(_events(spark, sf_dir))
 
 
-@query
-def grand_total(spark, sf_dir):
+@query("grand_total")
+def _grand_total(spark, sf_dir):
     return totals.grand_total(_events(spark, sf_dir))
 
 
-@query
-def event_type_share(spark, sf_dir):
+@query("event_type_share")
+def _event_type_share(spark, sf_dir):
     return totals.event_type_share(_events(spark, sf_dir))
 
 
-@query
-def top_event_type(spark, sf_dir):
+@query("top_event_type")
+def _top_event_type(spark, sf_dir):
     return totals.top_event_type(_events(spark, sf_dir))
 
 
-@query
-def sessions_per_user(spark, sf_dir):
+@query("sessions_per_user")
+def _sessions_per_user(spark, sf_dir):
     return totals.sessions_per_user(_events(spark, sf_dir))
 
 
 # --- Alerts, tables, duplicates ----------------------------------------------------
 
 
-@query
-def high_value_alerts(spark, sf_dir):
+@query("high_value_alerts")
+def _high_value_alerts(spark, sf_dir):
     return high_value_purchases(_events(spark, sf_dir), 500.0)
 
 
-@query
-def bronze_read(spark, sf_dir):
+@query("bronze_read")
+def _bronze_read(spark, sf_dir):
     """Write the bronze table, then read it back by path."""
     path = f"{fresh_dir(spark, 'bronze_read')}/bronze"
     write_table(_events(spark, sf_dir), path)
     return read_table(spark, path)
 
 
-@query
-def silver_read(spark, sf_dir):
+@query("silver_read")
+def _silver_read(spark, sf_dir):
     path = f"{fresh_dir(spark, 'silver_read')}/silver_agg"
     cells = silver.batch_cells(_events(spark, sf_dir), "1 minute")
     write_table(cells, path, ("event_date", "event_type"))
     return read_table(spark, path)
 
 
-@query
-def dedup_events(spark, sf_dir):
+@query("dedup_events")
+def _dedup_events(spark, sf_dir):
     delivered = fixture.with_resent(_flat(spark, sf_dir))
     return dedup.dedup_batch(delivered, order=["delivery"]).select(
         "event_id", "event_type", "user_id", "event_ts", "delivery"
@@ -274,15 +280,15 @@ def _corrections(flat: DataFrame) -> DataFrame:
     )
 
 
-@query
-def upsert_latest(spark, sf_dir):
+@query("upsert_latest")
+def _upsert_latest(spark, sf_dir):
     """Target and corrections merged; per key the newest version stays."""
     flat = _flat(spark, sf_dir)
     return dedup.upsert(_dated(flat), _corrections(flat), ["event_id"], "version")
 
 
-@query
-def upsert_into_table(spark, sf_dir):
+@query("upsert_into_table")
+def _upsert_into_table(spark, sf_dir):
     """The same merge in place, applied twice: the second time changes nothing."""
     flat = _flat(spark, sf_dir)
     path = f"{fresh_dir(spark, 'upsert')}/events"
@@ -296,30 +302,30 @@ def upsert_into_table(spark, sf_dir):
 # --- State and lookup --------------------------------------------------------------
 
 
-@query
-def cart_states(spark, sf_dir):
+@query("cart_state")
+def _cart_states(spark, sf_dir):
     return cart_state(_events(spark, sf_dir)).select(
         "event_id", "session_id", "event_type", "event_ts", "running_cart"
     )
 
 
-@query
-def login_states(spark, sf_dir):
+@query("login_state")
+def _login_states(spark, sf_dir):
     return login_state(_events(spark, sf_dir)).select(
         "event_id", "user_id", "event_type", "event_ts", "logged_in"
     )
 
 
-@query
-def catalog_lookup(spark, sf_dir):
+@query("catalog_lookup")
+def _catalog_lookup(spark, sf_dir):
     found = lookup(_flat(spark, sf_dir), fixture.catalog(spark, sf_dir))
     return found.select(
         "event_id", "product_id", "catalog_name", "catalog_category", "catalog_price"
     )
 
 
-@query
-def catalog_lookup_large(spark, sf_dir):
+@query("catalog_lookup_large")
+def _catalog_lookup_large(spark, sf_dir):
     """The lookup as planned for a catalog above the broadcast bound."""
     products = fixture.catalog(spark, sf_dir)
     found = lookup(_flat(spark, sf_dir), products, max_rows=0)
@@ -335,8 +341,8 @@ def _wire(flat: DataFrame) -> DataFrame:
     return flat.withColumn("event_timestamp", fixture.event_timestamp())
 
 
-@query
-def json_round_trip(spark, sf_dir):
+@query("json_round_trip")
+def _json_round_trip(spark, sf_dir):
     back = serialize.round_trip(_wire(_flat(spark, sf_dir)))
     return back.select(
         F.col("event_id").alias("sent_id"),
@@ -350,8 +356,8 @@ def _header(name: str):
     return found[0]["value"].cast("string")
 
 
-@query
-def kafka_rows(spark, sf_dir):
+@query("kafka_rows")
+def _kafka_rows(spark, sf_dir):
     rows = serialize.kafka_rows(_wire(_flat(spark, sf_dir)), RUN_ID)
     text = F.col("value").cast("string")
     return rows.select(
@@ -365,8 +371,8 @@ def kafka_rows(spark, sf_dir):
     )
 
 
-@query
-def dlq_rows(spark, sf_dir):
+@query("dlq_rows")
+def _dlq_rows(spark, sf_dir):
     letters = dead_letters(_parsed(spark, sf_dir))
     text = F.col("value").cast("string")
     return letters.select(
@@ -380,8 +386,8 @@ def dlq_rows(spark, sf_dir):
 # --- Quality -----------------------------------------------------------------------
 
 
-@query
-def quality(spark, sf_dir):
+@query("quality_report")
+def _quality(spark, sf_dir):
     """All rules over the delivered events, duplicates and unknown types included.
 
     Products and categories come from the catalog, and sound ids become UUIDs, so
@@ -410,62 +416,83 @@ def quality(spark, sf_dir):
 # --- Streams -----------------------------------------------------------------------
 
 
-@query
-def stream_silver_append(spark, sf_dir):
+@query("stream_silver_append")
+def _stream_silver_append(spark, sf_dir):
     options = _run_options(spark, "silver_agg")
     cells = silver.stream_cells(_event_stream(spark, sf_dir), "1 minute")
     sinks.write_silver_agg(cells, options, available_now=True).awaitTermination()
     return read_table(spark, options.silver_agg_path).drop("_written_at")
 
 
-@query
-def stream_silver_6h(spark, sf_dir):
+@query("stream_silver_6h")
+def _stream_silver_6h(spark, sf_dir):
     return _drain(silver.stream_cells(_event_stream(spark, sf_dir), "6 hours"), "silver_6h")
 
 
-@query
-def stream_silver_one_pass(spark, sf_dir):
-    cells = silver.stream_cells_one_pass(_event_stream(spark, sf_dir), "6 hours")
-    return _drain(cells, "silver_one_pass")
+@query("stream_silver_approx")
+def _stream_silver_approx(spark, sf_dir):
+    """The exact columns of the approximate cells; tests bound the others."""
+    cells = silver.stream_cells_approx(_event_stream(spark, sf_dir), "6 hours")
+    return _drain(cells, "silver_approx").drop(*silver.DISTINCT_COUNTS)
+
+
+@query("stream_event_totals")
+def _stream_event_totals(spark, sf_dir):
+    """Running totals in complete mode, most frequent first.
+
+    The memory sink holds the result in the driver: one row per event type, of
+    which routing lets ten through.
+    """
+    options = _run_options(spark, "totals")
+    counts = totals.event_type_counts(_event_stream(spark, sf_dir)).orderBy(F.desc("event_count"))
+    name = f"event_totals_{uuid.uuid4().hex}"
+    run = (
+        sinks.sink(counts, name, options, available_now=True)
+        .outputMode("complete")
+        .format("memory")
+        .start()
+    )
+    run.awaitTermination()
+    return spark.table(name)
 
 
-@query
-def stream_sliding(spark, sf_dir):
+@query("stream_sliding")
+def _stream_sliding(spark, sf_dir):
     cells = silver.stream_cells(_event_stream(spark, sf_dir), "5 minutes", "1 minute")
     return _drain(cells, "sliding")
 
 
-@query
-def stream_sessions_12h(spark, sf_dir):
+@query("stream_sessions")
+def _stream_sessions_12h(spark, sf_dir):
     return _drain(stream_sessions(_event_stream(spark, sf_dir), TEST_GAP), "sessions")
 
 
-@query
-def stream_dedup(spark, sf_dir):
+@query("stream_dedup")
+def _stream_dedup(spark, sf_dir):
     flat = fixture.clicks(fixture.events_stream(spark, sf_dir))
     delivered = fixture.with_resent(flat).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    once = dedup.dedup_stream(delivered)
+    once = dedup.dedup_stream(delivered, position=["n", "delivery"])
     return _drain(once.select("event_id", "event_type", "user_id", "event_ts"), "dedup")
 
 
-@query
-def stream_bronze(spark, sf_dir):
+@query("stream_bronze")
+def _stream_bronze(spark, sf_dir):
     return _drain(_event_stream(spark, sf_dir), "bronze", ("event_date",))
 
 
-@query
-def stream_alerts(spark, sf_dir):
+@query("stream_alerts")
+def _stream_alerts(spark, sf_dir):
     return _drain(high_value_purchases(_event_stream(spark, sf_dir), 500.0), "alerts")
 
 
-@query
-def stream_lookup(spark, sf_dir):
+@query("stream_lookup")
+def _stream_lookup(spark, sf_dir):
     found = lookup(_event_stream(spark, sf_dir), fixture.catalog(spark, sf_dir))
     return _drain(found.select("event_id", "product_id", "catalog_name", "catalog_price"), "lookup")
 
 
-@query
-def stream_job(spark, sf_dir):
+@query("stream_job")
+def _stream_job(spark, sf_dir):
     """Run the whole job twice on one checkpoint; rows per table it wrote."""
     options = _run_options(spark, "job")
     for _ in range(2):
@@ -487,8 +514,8 @@ def stream_job(spark, sf_dir):
     return first
 
 
-@query
-def stream_progress(spark, sf_dir):
+@query("stream_progress")
+def _stream_progress(spark, sf_dir):
     """Progress reports of a run, with the routing counts it observed."""
     options = _run_options(spark, "progress")
     routed = observe_routes(parse_messages(_message_stream(spark, sf_dir)))

@@ -243,19 +243,19 @@ UNION ALL SELECT 'silver_agg', count(*) FROM closed"""
 
 ORACLES: dict[str, str] = {
     "parse_valid": f"{WITH} SELECT {EVENT_COLUMNS} FROM valid",
-    "corrupt": f"""{WITH}
+    "corrupt_records": f"""{WITH}
 SELECT CASE WHEN fault <> 'broken_json' THEN event_type END AS event_type,
   fault = 'broken_json' AS is_broken, event_ts AS kafka_timestamp,
   CAST(n % 6 AS INTEGER) AS "partition", n AS "offset", {INGESTED} AS _corrupt_ts
 FROM routed WHERE route = 'corrupt'""",
-    "rejected": f"""{WITH}
+    "rejected_records": f"""{WITH}
 SELECT reject_reason, event_id, event_type,
   CASE WHEN fault = 'no_user_id' THEN NULL ELSE user_id END AS user_id,
   CASE WHEN fault = 'no_session_id' THEN NULL ELSE session_id END AS session_id,
   event_ts AS kafka_timestamp, CAST(n % 6 AS INTEGER) AS "partition", n AS "offset",
   {INGESTED} AS _rejected_ts
 FROM routed WHERE route = 'rejected'""",
-    "routes": f"""{WITH}
+    "routing_counts": f"""{WITH}
 SELECT count(*) AS total, count_if(route = 'valid')::BIGINT AS valid,
   count_if(route = 'corrupt')::BIGINT AS corrupt, count_if(route = 'rejected')::BIGINT AS rejected
 FROM routed""",
@@ -306,8 +306,8 @@ SELECT user_id, count(DISTINCT session_id) AS session_count FROM valid GROUP BY
     "dedup_events": f"{WITH} SELECT event_id, event_type, user_id, event_ts, 1 AS delivery FROM flat",
     "upsert_latest": UPSERTED,
     "upsert_into_table": UPSERTED,
-    "cart_states": CART,
-    "login_states": LOGIN,
+    "cart_state": CART,
+    "login_state": LOGIN,
     "catalog_lookup": LOOKUP,
     "catalog_lookup_large": LOOKUP,
     "json_round_trip": f"""{WITH}
@@ -322,12 +322,17 @@ SELECT user_id AS message_key,
   CASE WHEN coalesce(fault, '') <> 'broken_json' THEN event_type END AS event_type,
   coalesce(fault, '') = 'broken_json' AS is_broken
 FROM routed WHERE route <> 'valid'""",
-    "quality": QUALITY,
+    "quality_report": QUALITY,
     "stream_silver_append": _cells("1 minute", where=f"WHERE window_end <= {CLOSED}"),
     "stream_silver_6h": _cells("6 hours", where=f"WHERE window_end <= {CLOSED}"),
-    "stream_silver_one_pass": _cells("6 hours", where=f"WHERE window_end <= {CLOSED}"),
+    "stream_silver_approx": _cells("6 hours", where=f"WHERE window_end <= {CLOSED}").replace(
+        "SELECT * FROM cells",
+        "SELECT * EXCLUDE (unique_users, unique_sessions, unique_products_viewed) FROM cells",
+    ),
+    "stream_event_totals": f"""{WITH}
+SELECT event_type, count(*) AS event_count FROM valid GROUP BY event_type""",
     "stream_sliding": _cells("5 minutes", "1 minute", 5, f"WHERE window_end <= {CLOSED}"),
-    "stream_sessions_12h": _sessions("12 hours", f"WHERE session_end <= {CLOSED}"),
+    "stream_sessions": _sessions("12 hours", f"WHERE session_end <= {CLOSED}"),
     "stream_dedup": f"{WITH} SELECT event_id, event_type, user_id, event_ts FROM flat",
     "stream_bronze": BRONZE,
     "stream_alerts": ALERTS,
