@@ -1,7 +1,4 @@
-"""Row writer of the alert sink.
-
-A module of its own, as every Python worker that writes alerts imports it.
-"""
+"""Row writer of the alert sink; it runs in the Python workers."""
 
 from __future__ import annotations
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -11,7 +12,10 @@ from clickloom.operators.alerts import high_value_purchases
 from clickloom.operators.serialize import kafka_rows
 from clickloom.operators.silver import with_written_at
 from clickloom.options import JobOptions
-from clickloom.streaming.alert_writer import AlertLogWriter
+from clickloom.streaming import alert_writer
+
+# The row writer travels with the query; executors need no copy of this package.
+cloudpickle.register_pickle_by_value(alert_writer)
 
 
 def sink(
@@ -99,7 +103,8 @@ def write_alerts(
 ) -> StreamingQuery:
     """Send high-value purchases to a row writer, by default the log."""
     alerts = high_value_purchases(events, options.alert_purchase_threshold)
-    return sink(alerts, "alerts", options, available_now).foreach(writer or AlertLogWriter()).start()
+    rows = writer or alert_writer.AlertLogWriter()
+    return sink(alerts, "alerts", options, available_now).foreach(rows).start()
 
 
 def write_alert_table(events: DataFrame, options: JobOptions, available_now: bool = False):
