@@ -2,10 +2,11 @@
 
 Both are prefix scans: the value at an event depends on all earlier events of
 its key. A plain window over the key would sort all events of a hot session or
-user in one task. Here the key is cut into slices of time. A window runs inside
-each slice, each slice is reduced to one summary row, the summaries (one per key
-and slice of calendar time) are scanned per key, and every event adds the state
-its slice started with. The results are those of the plain window.
+user in one task. Here the events of a key are cut into slices: one per day, and
+a crowded day into as many as keep a slice near ``rows_per_slice``. A window runs
+inside each slice, each slice is reduced to one summary row, the summaries are
+scanned per key, and every event adds the state its slice started with. The
+results are those of the plain window.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from pyspark.sql import functions as F
 from clickloom.functions.columns import is_type, money, money_units
 from clickloom.functions.intervals import floor_micros, interval_micros
 
-DEFAULT_SLICE = "1 hour"
+ROWS_PER_SLICE = 2_000_000
 ORDER = ("event_ts", "event_id")
 BEFORE_ALL = -(2**63)
 
 
-def cart_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFrame:
+def cart_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``running_cart``: the cart value a cart or checkout event shows.
 
     ``add_to_cart`` adds price times quantity, rounded to cents.
@@ -39,7 +40,9 @@ def cart_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFrame
     earlier = Window.partitionBy(*keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     so_far = earlier.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    sliced = _sliced(events, slice_width).withColumn("_added", F.coalesce(added, F.lit(0)))
+    sliced = _sliced(events, "session_id", rows_per_slice).withColumn(
+        "_added", F.coalesce(added, F.lit(0))
+    )
     scanned = (
         sliced.withColumn("_sum", F.sum("_added").over(so_far))
         .withColumn("_sum_at_checkout", F.when(is_type("checkout_complete"), F.col("_sum")))
@@ -73,7 +76,7 @@ def cart_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFrame
 
     # A checkout inside the slice makes the carried cart irrelevant.
     inside = F.col("_sum") - F.coalesce(F.col("_emptied_at"), F.lit(0))
-    carry = F.when(F.col("_emptied_at").isNull(), F.col("_carry")).otherwise(0)
+    carry = F.when(F.col("_emptied_at").isNull(), F.coalesce("_carry", F.lit(0))).otherwise(0)
     cart = inside + carry
     price = F.coalesce(money_units(F.col("price")), F.lit(0))
     shown = (
@@ -84,7 +87,7 @@ def cart_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFrame
     return joined.select(*events.columns, F.round(money(shown), 2).alias("running_cart"))
 
 
-def login_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFrame:
+def login_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``logged_in``: whether the user is logged in at (and after) the event."""
     change = F.when(is_type("user_login"), True).when(is_type("user_logout"), False)
     keys = ["user_id", "_slice"]
@@ -93,7 +96,7 @@ def login_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFram
         .orderBy(*ORDER)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    sliced = _sliced(events, slice_width).withColumn("_change", change)
+    sliced = _sliced(events, "user_id", rows_per_slice).withColumn("_change", change)
     scanned = sliced.withColumn("_last", F.last("_change", ignorenulls=True).over(so_far))
 
     summaries = sliced.groupBy(*keys).agg(
@@ -112,13 +115,35 @@ def login_state(events: DataFrame, slice_width: str = DEFAULT_SLICE) -> DataFram
     return joined.select(*events.columns, state.alias("logged_in"))
 
 
-def _sliced(events: DataFrame, width: str) -> DataFrame:
+def _sliced(events: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
     """Add ``_slice``, the start of the slice of time the event falls into.
 
+    The crowded days are few whatever the data: at most one for every
+    ``rows_per_slice`` events of the table, which is why they may be broadcast.
     Events without a time sort first, as they do in a window.
     """
-    start = floor_micros(F.col("event_ts"), interval_micros(width))
-    return events.withColumn("_slice", F.coalesce(start, F.lit(BEFORE_ALL)))
+    micros = F.unix_micros(F.col("event_ts"))
+    day_micros = interval_micros("1 day")
+    day = F.coalesce(floor_micros(F.col("event_ts"), day_micros), F.lit(BEFORE_ALL))
+    parts = F.ceil(F.col("_rows") / F.lit(rows_per_slice))
+    crowded = (
+        events.groupBy(F.col(key).alias("_key"), day.alias("_of_day"))
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > rows_per_slice)
+        .select("_key", "_of_day", parts.alias("_parts"))
+    )
+    dated = events.withColumn("_day", day)
+    crowd = (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_of_day"))
+    width = F.greatest(F.floor(day_micros / F.col("_parts")), F.lit(1))
+    start = F.when(
+        F.col("_parts").isNotNull() & F.col("event_ts").isNotNull(),
+        micros - F.pmod(micros - F.col("_day"), width),
+    ).otherwise(F.col("_day"))
+    return (
+        dated.join(F.broadcast(crowded), crowd, "left")
+        .withColumn("_slice", start)
+        .drop("_key", "_of_day", "_day", "_parts")
+    )
 
 
 def _join_slices(rows: DataFrame, carried: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators.sessions import batch_sessions
-from clickloom.operators.state import cart_state, login_state
+from clickloom.operators.state import _sliced, cart_state, login_state
 from clickloom.schema import EVENT_TYPES
 
 SCHEMA = """event_id string, event_type string, event_ts timestamp, user_id string,
@@ -47,9 +47,9 @@ def cents(x):
     return round(x * 100)
 
 
-@pytest.mark.parametrize("slice_width", ["1 minute", "1 hour", "3 days"])
-def test_cart_state(spark, slice_width):
-    rows, events = make_events(spark, 1500, 3, 600)
+@pytest.mark.parametrize("rows_per_slice", [1, 7, 100, 10_000])
+def test_cart_state(spark, rows_per_slice):
+    rows, events = make_events(spark, 1500, 3, 4000)
     want = {}
     for members in in_order(rows, 4).values():
         cart = 0
@@ -65,21 +65,33 @@ def test_cart_state(spark, slice_width):
             want[r[0]] = None if shown is None else shown / 100
             if kind == "checkout_complete":
                 cart = 0
-    got = cart_state(events, slice_width)
+    got = cart_state(events, rows_per_slice)
     assert got.columns == [*events.columns, "running_cart"]
     assert {r.event_id: r.running_cart for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("slice_width", ["1 minute", "1 hour", "3 days"])
-def test_login_state(spark, slice_width):
-    rows, events = make_events(spark, 1500, 4, 600)
+@pytest.mark.parametrize("rows_per_slice", [1, 7, 100, 10_000])
+def test_login_state(spark, rows_per_slice):
+    rows, events = make_events(spark, 1500, 4, 4000)
     want = {}
     for members in in_order(rows, 3).values():
         state = False
         for r in members:
             state = {"user_login": True, "user_logout": False}.get(r[1], state)
             want[r[0]] = state
-    assert {r.event_id: r.logged_in for r in login_state(events, slice_width).collect()} == want
+    assert {r.event_id: r.logged_in for r in login_state(events, rows_per_slice).collect()} == want
+
+
+def test_a_hot_key_is_cut_into_slices(spark):
+    _, events = make_events(spark, 3000, 6, 4000)
+    sliced = _sliced(events, "session_id", 50)
+    sizes = sliced.groupBy("session_id", "_slice").count()
+    hot = [r["count"] for r in sizes.filter("session_id = 'S-hot'").collect()]
+    assert sum(hot) > 900 and max(hot) < 150
+    # Keys without a crowded day keep one slice per day.
+    assert sizes.filter("session_id <> 'S-hot'").groupBy("session_id").count().agg(
+        F.max("count")
+    ).first()[0] <= 4
 
 
 def test_state_keeps_events_without_time(spark):
