@@ -8,8 +8,8 @@ distinct counts are what makes cells hard at scale, so there are three plans:
                   so a cell holding a third of all events still spreads over
                   all tasks; the second shuffle carries partial counts only.
 ``sliding_cells`` The same counts for overlapping windows. Events are first
-                  reduced to panes one step wide; only the reduced panes are
-                  copied into the windows that cover them.
+                  reduced to panes one step wide; only counts per pane are
+                  copied into the windows that cover them, never the values.
 ``stream_cells``  Streams refuse ``countDistinct``. Two chained window
                   aggregates count exactly without ever holding a set: the
                   first keeps one row per cell and distinct value, the second
@@ -18,10 +18,11 @@ distinct counts are what makes cells hard at scale, so there are three plans:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import money, money_units
+from clickloom.functions.intervals import floor_micros, interval_micros
 
 CELL_KEYS = ("event_type", "event_date", "device_type", "funnel_stage")
 
@@ -79,14 +80,61 @@ def sliding_cells(
 ) -> DataFrame:
     """Overlapping windows over a table of enriched events.
 
-    ``width`` must be a whole number of ``step``.
+    ``width`` must be a whole number of ``step``. A pane lies in width / step
+    windows. Sums of a pane count in all of them. A distinct value counts only
+    in those that its previous pane does not already lie in, which are the
+    latest ones, so no window counts it twice.
     """
-    pane = F.window("event_ts", step)
-    panes = _merge_facts(_facts(events).groupBy(pane, *CELL_KEYS, "kind", "item"))
-    covering = F.window(F.col("window.start"), width, step).alias("window")
-    windows = panes.withColumn("window", covering)
-    values = _merge_facts(windows.groupBy("window", *CELL_KEYS, "kind", "item"))
-    return _finish(_count_facts(values.groupBy("window", *CELL_KEYS)))
+    step_micros = interval_micros(step)
+    windows = (interval_micros(width) / step_micros).cast("int")
+    pane = floor_micros(F.col("event_ts"), step_micros).alias("pane")
+    timed = events.filter(F.col("event_ts").isNotNull())
+
+    sums = (
+        timed.groupBy(pane, *CELL_KEYS)
+        .agg(*(merge(value()).alias(name) for name, (merge, value) in _MEASURES.items()))
+        .withColumn("reach", windows)
+    )
+
+    kinds = F.array(
+        *(
+            F.struct(F.lit(name).alias("kind"), F.col(c).alias("item"))
+            for name, c in DISTINCT_COUNTS.items()
+        )
+    )
+    values = (
+        timed.select(pane, *CELL_KEYS, F.inline(kinds))
+        .filter(F.col("item").isNotNull())
+        .distinct()
+    )
+    seen_before = F.lag("pane").over(
+        Window.partitionBy(*CELL_KEYS, "kind", "item").orderBy("pane")
+    )
+    new_in = F.least(
+        windows, F.coalesce(((F.col("pane") - seen_before) / step_micros).cast("int"), windows)
+    )
+    counts = (
+        values.withColumn("reach", new_in)
+        .groupBy("pane", *CELL_KEYS, "reach")
+        .agg(*(F.count_if(F.col("kind") == name).alias(name) for name in DISTINCT_COUNTS))
+    )
+
+    covered = F.explode(F.sequence(F.lit(0), F.col("reach") - 1))
+    start = F.col("pane") - F.col("back") * step_micros
+    cells = (
+        sums.unionByName(counts, allowMissingColumns=True)
+        .withColumn("back", covered)
+        .groupBy(start.alias("start"), *CELL_KEYS)
+        .agg(
+            *(merge(name).alias(name) for name, (merge, _) in _MEASURES.items()),
+            *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in DISTINCT_COUNTS),
+        )
+    )
+    window = F.struct(
+        F.timestamp_micros("start").alias("start"),
+        F.timestamp_micros(F.col("start") + interval_micros(width)).alias("end"),
+    )
+    return _finish(cells.withColumn("window", window))
 
 
 def stream_cells(
