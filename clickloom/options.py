@@ -12,6 +12,12 @@ def _env(name: str, default):
     return field(default=default, metadata={"env": name})
 
 
+def _read(text: str, kind: type):
+    if kind is bool:
+        return text.strip().lower() in ("1", "true", "yes")
+    return kind(text)
+
+
 @dataclass(frozen=True)
 class JobOptions:
     """Everything a run can be tuned with.
@@ -37,6 +43,7 @@ class JobOptions:
     table_base: str = _env("DELTA_BASE_PATH", "")
     checkpoint_base: str = _env("CHECKPOINT_BASE", "")
     trigger_interval_secs: int = _env("TRIGGER_INTERVAL_SECS", 30)
+    analytics_from_bronze: bool = _env("ANALYTICS_FROM_BRONZE", False)
 
     # Event time
     watermark_minutes: int = _env("WATERMARK_MINUTES", 5)
@@ -62,7 +69,7 @@ class JobOptions:
         for f in fields(cls):
             text = environ.get(f.metadata["env"])
             if text is not None and text != "":
-                found[f.name] = type(f.default)(text)
+                found[f.name] = _read(text, type(f.default))
         return replace(cls(**found), **overrides).validate()
 
     def validate(self) -> JobOptions:

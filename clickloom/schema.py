@@ -90,6 +90,9 @@ SESSION_PREFIX = "S-"
 ORDER_PREFIX = "ORD-"
 MESSAGE_SCHEMA_VERSION = "1.0"
 
+# printf format of an alert: order id, user id, amount, payment method.
+ALERT_FORMAT = "HIGH-VALUE PURCHASE ALERT | order_id=%s user_id=%s amount=%.2f payment=%s"
+
 # --- Derived -----------------------------------------------------------------
 
 

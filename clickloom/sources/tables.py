@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_table(
@@ -24,6 +25,22 @@ def read_table(
     return table
 
 
+def follow_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """A table as a stream of the rows appended to it."""
+    reader = spark.readStream.format(fmt)
+    if fmt != "delta":
+        reader = reader.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
 def write_table(
     frame: DataFrame,
     path: str,

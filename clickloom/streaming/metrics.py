@@ -11,16 +11,27 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 logger = logging.getLogger("clickloom.metrics")
 
-PROGRESS_SCHEMA = """
-    query STRING, query_id STRING, run_id STRING, batch_id BIGINT, started_at STRING,
-    input_rows BIGINT, input_rows_per_second DOUBLE, processed_rows_per_second DOUBLE,
-    watermark STRING, late_rows_dropped BIGINT, state_rows BIGINT,
-    duration_ms MAP<STRING, BIGINT>, observed STRING
-"""
+PROGRESS_TYPES = {
+    "query": "STRING",
+    "query_id": "STRING",
+    "run_id": "STRING",
+    "batch_id": "BIGINT",
+    "started_at": "STRING",
+    "input_rows": "BIGINT",
+    "input_rows_per_second": "DOUBLE",
+    "processed_rows_per_second": "DOUBLE",
+    "watermark": "STRING",
+    "late_rows_dropped": "BIGINT",
+    "state_rows": "BIGINT",
+    "duration_ms": "MAP<STRING, BIGINT>",
+    "observed": "STRING",
+}
+PROGRESS_FIELDS = tuple(PROGRESS_TYPES)
+PROGRESS_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in PROGRESS_TYPES.items())
 
 
 def progress_row(progress: dict) -> tuple:
-    """One progress report as a row of :data:`PROGRESS_SCHEMA`."""
+    """One progress report as a row with :data:`PROGRESS_FIELDS`."""
     operators = progress.get("stateOperators") or []
     return (
         progress.get("name"),
@@ -59,30 +70,24 @@ def query_status(queries: Iterable[StreamingQuery]) -> list[dict]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Logs start, progress and end of every query of a session."""
+    """Logs start, progress and end of every query of a session as JSON."""
 
     def onQueryStarted(self, event) -> None:
-        logger.info("query started | id=%s name=%s", event.id, event.name)
+        _log("started", id=str(event.id), query=event.name)
 
     def onQueryProgress(self, event) -> None:
-        p = event.progress
-        logger.info(
-            "batch %d | input=%.0f rows/s | process=%.0f rows/s | watermark=%s | duration=%s",
-            p.batchId,
-            p.inputRowsPerSecond,
-            p.processedRowsPerSecond,
-            p.eventTime.get("watermark", "N/A"),
-            p.durationMs,
-        )
+        _log("progress", **dict(zip(PROGRESS_FIELDS, progress_row(json.loads(event.progress.json)))))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if event.exception:
-            logger.error("query failed | id=%s error=%s", event.id, event.exception)
-        else:
-            logger.info("query ended | id=%s", event.id)
+        level = logging.ERROR if event.exception else logging.INFO
+        _log("ended", level, id=str(event.id), exception=event.exception)
+
+
+def _log(what: str, level: int = logging.INFO, **details) -> None:
+    logger.log(level, "query %s %s", what, json.dumps(details))
 
 
 def _number(value) -> float | None:

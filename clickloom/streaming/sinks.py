@@ -127,6 +127,18 @@ def write_kafka_events(
     )
 
 
+def publish_events(events: DataFrame, options: JobOptions, run_id: str) -> None:
+    """Publish a table of events once, as fast as the brokers take them."""
+    (
+        kafka_rows(events, run_id)
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", options.bootstrap_servers)
+        .option("topic", options.topic)
+        .option("includeHeaders", "true")
+        .save()
+    )
+
+
 def write_dead_letters(
     letters: DataFrame, options: JobOptions, available_now: bool = False
 ) -> StreamingQuery:

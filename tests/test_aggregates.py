@@ -91,6 +91,18 @@ def test_tumbling_cells(skewed):
     assert published(silver.batch_cells(skewed)) == brute_force(rows, minute, minute)
 
 
+def test_approximate_cells(skewed):
+    keys = ["window_start", "event_type", "event_date", "device_type", "funnel_stage"]
+    exact = silver.batch_cells(skewed)
+    close = silver.batch_cells(skewed, error=0.01)
+    same = [c for c in exact.columns if c not in silver.DISTINCT_COUNTS]
+    assert sorted(exact.select(same).collect(), key=str) == sorted(close.select(same).collect(), key=str)
+    match = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    both = exact.alias("a").join(close.alias("b"), match)
+    far = F.abs(F.col("a.unique_users") - F.col("b.unique_users")) > 1
+    assert both.count() == exact.count() and both.filter(far).count() == 0
+
+
 @pytest.mark.parametrize("width, step", [(5, 1), (4, 2), (3, 3)])
 def test_sliding_cells(skewed, width, step):
     rows = skewed.withColumn("ts", F.col("event_ts").cast("timestamp_ntz")).collect()

@@ -1,5 +1,6 @@
 import json
 import os
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
@@ -186,6 +187,48 @@ def test_job_restarts_without_repeating(spark, options):
     assert "_written_at" in read_table(spark, options.silver_agg_path).columns
 
 
+def test_analytics_from_bronze_equal_those_from_messages(spark, options, folder):
+    payloads = [
+        purchase(
+            event_id=f"e{i}",
+            event_timestamp=(START + timedelta(minutes=i * 3 + (300 if i > 100 else 0))).isoformat(),
+            user_id=f"U-{i % 5}",
+        )
+        for i in range(150)
+    ]
+    drop_files(spark, options.source_path, [*payloads, "bad"])
+
+    def run_job(**changes):
+        o = replace(options, **changes)
+        job.backfill(read_messages(spark, o), o)
+        lag = ("_written_at", "avg_processing_lag_ms", "max_processing_lag_ms")
+        return [
+            sorted(read_table(spark, p).drop(*lag).collect(), key=str)
+            for p in (o.silver_agg_path, o.silver_sessions_path)
+        ]
+
+    direct = run_job()
+    layered = run_job(
+        analytics_from_bronze=True,
+        table_base=f"{folder}/tables2",
+        checkpoint_base=f"{folder}/checkpoints2",
+    )
+    assert direct == layered and all(direct)
+
+
+def test_analytics_follow_a_running_bronze_query(spark, options):
+    drop_files(spark, options.source_path, [at(i, event_id=f"e{i}") for i in range(0, 90, 30)])
+    o = replace(options, analytics_from_bronze=True, trigger_interval_secs=1)
+    queries = job.start_all(read_messages(spark, o), o)
+    try:
+        queries["bronze"].processAllAvailable()
+        queries["silver_agg"].processAllAvailable()
+        assert read_table(spark, o.silver_agg_path).count() == 2
+    finally:
+        for query in queries.values():
+            query.stop()
+
+
 def test_processing_time_trigger(spark, options):
     drop_files(spark, options.source_path, [event()])
     query = sinks.write_bronze(events_of(read_messages(spark, options)), options)
@@ -252,25 +295,30 @@ def test_progress_and_observed_routes(spark, options):
 
 def test_progress_log(caplog):
     caplog.set_level("INFO", logger="clickloom.metrics")
+    report = {
+        "id": "q",
+        "runId": "r",
+        "name": "bronze",
+        "batchId": 3,
+        "timestamp": "2024-01-01T00:00:00.000Z",
+        "numInputRows": 10,
+        "inputRowsPerSecond": "NaN",
+        "processedRowsPerSecond": 20.0,
+        "durationMs": {"addBatch": 5},
+        "stateOperators": [{"numRowsDroppedByWatermark": 2, "numRowsTotal": 7}],
+    }
     log = metrics.ProgressLog()
     log.onQueryStarted(SimpleNamespace(id="q", name="bronze"))
-    log.onQueryProgress(
-        SimpleNamespace(
-            progress=SimpleNamespace(
-                batchId=3,
-                inputRowsPerSecond=10.0,
-                processedRowsPerSecond=20.0,
-                eventTime={},
-                durationMs={"addBatch": 5},
-            )
-        )
-    )
+    log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=json.dumps(report))))
     log.onQueryIdle(SimpleNamespace())
     log.onQueryTerminated(SimpleNamespace(id="q", exception=None))
     log.onQueryTerminated(SimpleNamespace(id="q", exception="boom"))
-    text = [r.getMessage() for r in caplog.records]
-    assert text[1].startswith("batch 3 | input=10 rows/s | process=20 rows/s | watermark=N/A")
-    assert text[-1].endswith("error=boom") and len(text) == 4
+    started, progress, ended, failed = caplog.records
+    assert '"query": "bronze"' in started.getMessage()
+    row = json.loads(progress.getMessage().removeprefix("query progress "))
+    assert (row["batch_id"], row["late_rows_dropped"], row["state_rows"]) == (3, 2, 7)
+    assert (ended.levelname, failed.levelname) == ("INFO", "ERROR")
+    assert "boom" in failed.getMessage()
 
 
 def test_kafka_sinks_need_the_connector(spark, options):
