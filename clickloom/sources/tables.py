@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,20 @@ def follow_table(
     spark: SparkSession,
     path: str,
     schema: StructType,
+    partition_by: Sequence[str] = ("event_date",),
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A table as a stream of the rows appended to it."""
+    """A table as a stream of the rows appended to it.
+
+    Files come back with the partition columns last. A stream started on a table
+    that is still empty cannot find that out by itself and would mix up columns,
+    so the schema is put in that order here.
+    """
     reader = spark.readStream.format(fmt)
     if fmt != "delta":
-        reader = reader.schema(schema)
+        inner = [f for f in schema if f.name not in partition_by]
+        reader = reader.schema(StructType([*inner, *(schema[c] for c in partition_by)]))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)

@@ -78,8 +78,8 @@ def start_all(
             raw.sparkSession,
             options.bronze_path,
             schema,
-            options.table_format,
-            options.max_files_per_trigger,
+            fmt=options.table_format,
+            max_files_per_trigger=options.max_files_per_trigger,
         )
     else:
         events = enrich(valid_events(parse_messages(raw)))
