@@ -5,29 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A catalog is sent whole to every executor only while it is at most this big.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024
+from clickloom.operators.bounds import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 
-# Beyond that, events are spread over this many copies of each product.
+# A catalog too large to broadcast is copied this many times, and the events are
+# spread over the copies.
 SALTS = 32
 
 CATALOG_COLUMNS = ("product_id", "product_name", "category", "price")
 
 
-def fits_broadcast(
-    catalog: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure the catalog, reading at most ``max_rows + 1`` of its rows."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*catalog.columns))))
-    seen = (
-        catalog.limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), size.alias("bytes"))
-        .first()
-    )
-    return seen.rows <= max_rows and (seen.bytes or 0) <= max_bytes
-
-
 def lookup(
     events: DataFrame,
     catalog: DataFrame,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import is_type, money, money_units
 from clickloom.functions.intervals import floor_micros, interval_micros
+from clickloom.operators.bounds import fits_broadcast
 
 ROWS_PER_SLICE = 2_000_000
 ORDER = ("event_ts", "event_id")
@@ -119,8 +120,10 @@ def _sliced(events: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
     """Add ``_slice``, the start of the slice of time the event falls into.
 
     The crowded days are few whatever the data: at most one for every
-    ``rows_per_slice`` events of the table, which is why they may be broadcast.
-    Events without a time sort first, as they do in a window.
+    ``rows_per_slice`` events of the table. They are measured all the same and
+    broadcast only within the bound; beyond it the join shuffles, and adaptive
+    execution splits its skewed partitions. Events without a time sort first, as
+    they do in a window.
     """
     micros = F.unix_micros(F.col("event_ts"))
     day_micros = interval_micros("1 day")
@@ -132,6 +135,8 @@ def _sliced(events: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
         .filter(F.col("_rows") > rows_per_slice)
         .select("_key", "_of_day", parts.alias("_parts"))
     )
+    if fits_broadcast(crowded):
+        crowded = F.broadcast(crowded)
     dated = events.withColumn("_day", day)
     crowd = (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_of_day"))
     width = F.greatest(F.floor(day_micros / F.col("_parts")), F.lit(1))
@@ -140,7 +145,7 @@ def _sliced(events: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
         micros - F.pmod(micros - F.col("_day"), width),
     ).otherwise(F.col("_day"))
     return (
-        dated.join(F.broadcast(crowded), crowd, "left")
+        dated.join(crowded, crowd, "left")
         .withColumn("_slice", start)
         .drop("_key", "_of_day", "_day", "_parts")
     )

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.operators import state
 from clickloom.operators.sessions import batch_sessions
 from clickloom.operators.state import _sliced, cart_state, login_state
 from clickloom.schema import EVENT_TYPES
@@ -94,6 +95,13 @@ def test_a_hot_key_is_cut_into_slices(spark):
     ).first()[0] <= 4
 
 
+def test_state_without_broadcast(spark, monkeypatch):
+    _, events = make_events(spark, 600, 8, 4000)
+    want = sorted(cart_state(events, 20).collect(), key=str), sorted(login_state(events, 20).collect(), key=str)
+    monkeypatch.setattr(state, "fits_broadcast", lambda frame: False)
+    assert want == (sorted(cart_state(events, 20).collect(), key=str), sorted(login_state(events, 20).collect(), key=str))
+
+
 def test_state_keeps_events_without_time(spark):
     _, events = make_events(spark, 200, 5, 60)
     holes = events.withColumn("event_ts", F.when(F.col("event_id") > "e000050", F.col("event_ts")))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import catalog, dedup, serialize
+from clickloom.operators.bounds import fits_broadcast
 from clickloom.operators.quality import quality_report
 from clickloom.schema import EVENT_SCHEMA
 from clickloom.sources.tables import read_table, write_table
@@ -127,10 +128,10 @@ def test_lookup_plans_agree(clicks, products):
 
 
 def test_broadcast_bound(products):
-    assert catalog.fits_broadcast(products)
-    assert not catalog.fits_broadcast(products, max_rows=29)
-    assert not catalog.fits_broadcast(products, max_bytes=100)
-    assert catalog.fits_broadcast(products.limit(0))
+    assert fits_broadcast(products)
+    assert not fits_broadcast(products, max_rows=29)
+    assert not fits_broadcast(products, max_bytes=100)
+    assert fits_broadcast(products.limit(0))
 
 
 # --- Messages ----------------------------------------------------------------------
