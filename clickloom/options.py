@@ -35,6 +35,7 @@ class JobOptions:
     consumer_group: str = _env("KAFKA_CONSUMER_GROUP", "spark-clickstream-consumer")
     starting_offsets: str = _env("KAFKA_STARTING_OFFSETS", "latest")
     max_offsets_per_trigger: int = _env("KAFKA_MAX_OFFSETS_PER_TRIGGER", 50_000)
+    min_partitions: int = _env("KAFKA_MIN_PARTITIONS", 0)
     source_path: str = _env("SOURCE_PATH", "")
     max_files_per_trigger: int = _env("MAX_FILES_PER_TRIGGER", 1_000)
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.sources.messages import spread
+
 EVENTS_SCHEMA = """
     event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
     value DOUBLE, props STRING
@@ -86,7 +88,7 @@ CATALOG_SQL = select_sql(CATALOG_COLUMNS, "part")
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

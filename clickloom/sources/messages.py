@@ -17,13 +17,27 @@ HEARTBEAT_INTERVAL_MS = 10_000
 TOPIC_PARTITIONS = 6
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Give every core a share of a table that reads in fewer tasks than cores.
+
+    Parsing is bound by the processor, and a file that cannot be split would
+    leave it to one core. A table with a task for every core is left alone, so
+    nothing large is ever shuffled for this.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def kafka_settings(options: JobOptions) -> dict[str, str]:
     """Options of the Kafka source.
 
+    ``min_partitions`` cuts the topic's partitions into more tasks than it has
+    partitions, as parsing is bound by the processor.
+
     The consumer group is a prefix, not a fixed id: every query of the job reads
     the topic on its own, and queries sharing one id disturb each other.
     """
-    return {
+    settings = {
         "kafka.bootstrap.servers": options.bootstrap_servers,
         "subscribe": options.topic,
         "startingOffsets": options.starting_offsets,
@@ -33,6 +47,9 @@ def kafka_settings(options: JobOptions) -> dict[str, str]:
         "kafka.session.timeout.ms": str(SESSION_TIMEOUT_MS),
         "kafka.heartbeat.interval.ms": str(HEARTBEAT_INTERVAL_MS),
     }
+    if options.min_partitions:
+        settings["minPartitions"] = str(options.min_partitions)
+    return settings
 
 
 def read_kafka_stream(spark: SparkSession, options: JobOptions) -> DataFrame:
@@ -61,7 +78,7 @@ def read_messages(spark: SparkSession, options: JobOptions) -> DataFrame:
 
 def read_message_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Envelope files as a table, for backfills."""
-    return spark.read.format(fmt).schema(ENVELOPE_SCHEMA).load(path)
+    return spread(spark.read.format(fmt).schema(ENVELOPE_SCHEMA).load(path))
 
 
 def message_frame(

@@ -1,8 +1,8 @@
 import pytest
 
 from clickloom.options import JobOptions
-from clickloom.session import build_session, session_settings
-from clickloom.sources.messages import kafka_settings
+from clickloom.session import build_session, prepare, session_settings
+from clickloom.sources.messages import kafka_settings, spread
 from clickloom.workspace import fresh_dir, with_locations
 
 
@@ -60,7 +60,15 @@ def test_kafka_settings():
     assert s["subscribe"] == "t" and s["startingOffsets"] == "earliest"
     assert s["maxOffsetsPerTrigger"] == "50000" and s["failOnDataLoss"] == "false"
     # Queries of one job must not share a consumer group.
-    assert "kafka.group.id" not in s
+    assert "kafka.group.id" not in s and "minPartitions" not in s
+    assert kafka_settings(JobOptions(min_partitions=64))["minPartitions"] == "64"
+
+
+def test_spread_only_what_reads_in_few_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 100, 1, cores + 3)
+    assert spread(wide) is wide
 
 
 def test_session_settings():
@@ -75,6 +83,16 @@ def test_build_session_joins_the_running_one(spark):
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"
 
 
+def test_prepare_keeps_what_the_session_has(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "false")
+    prepare(session)
+    conf = session.conf
+    assert conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "false"
+    assert conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_locations_come_from_the_shared_folder(spark):
     o = with_locations(spark, JobOptions())
     base = spark.conf.get("spark.checkpoint.dir")
