@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import replace
 
@@ -14,19 +13,14 @@ SHARED_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster.
+    """The shared folder of the cluster: ``spark.checkpoint.dir``.
 
-    A folder of our own is made only in local mode with the setting absent, as
-    in tests; it is remembered in the session so that one run uses one folder.
+    Where that is unset, a folder in the warehouse, which executors share too.
     """
     configured = spark.conf.get(SHARED_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SHARED_DIR} to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set(SHARED_DIR, own)
-    return own
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/clickloom-scratch"
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
