@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from clickloom.workspace import shared_dir
 
@@ -40,3 +45,20 @@ def cut(frame: DataFrame) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Words of a text as long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def map_batches(
+    frame: DataFrame, function: Callable[[pa.RecordBatch], dict[str, list]], schema: str
+) -> DataFrame:
+    """One output batch per Arrow batch of ``frame``: ``function`` gives its columns."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = function(batch)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[f.name], type=f.type, from_pandas=True) for f in fields],
+                schema=fields,
+            )
+
+    return frame.mapInArrow(run, schema)

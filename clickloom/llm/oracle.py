@@ -39,6 +39,62 @@ SELECT doc_id, size, source_size, target,
 FROM laid
 """
 
+LINE_RULES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), words AS (
+  SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs
+), windows AS (
+  SELECT r, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY i)
+), counted AS (
+  SELECT r, i, w2 IS NOT NULL AND count(*) OVER (PARTITION BY r, w, w1, w2) > 1 AS again
+  FROM windows
+), covered AS (
+  SELECT r, again OR coalesce(lag(again, 1) OVER o, false) OR coalesce(lag(again, 2) OVER o, false)
+           AS hit
+  FROM counted WINDOW o AS (PARTITION BY r ORDER BY i)
+), repeats AS (
+  SELECT r, count(*) FILTER (hit) AS n_repeat_words FROM covered GROUP BY r
+), split AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM docs
+), lines AS (
+  SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+  FROM split
+), judged AS (
+  SELECT *,
+         NOT regexp_matches(line, '[.!?…:;"”»)]')
+         OR 2 * len(regexp_extract_all(line, '[!?*#$%&<>{}|^~=_]')) > n
+         OR (len(regexp_extract_all(line, '[|»›•·]')) >= 3
+             AND 6 * len(regexp_extract_all(line, '[|»›•·]')) >= n)
+         OR regexp_matches(lower(line), 'all rights reserved|privacy policy|cookie policy|accept cookies|terms of (use|service)|enable javascript|lorem ipsum|click here|sign up|log in|subscribe|licensed under|released under')
+           AS fails
+  FROM lines WHERE n > 0
+), by_line AS (
+  SELECT r, count(*) FILTER (again) AS n_dup_lines,
+         coalesce(sum(chars) FILTER (fails), 0)::BIGINT AS removed_chars
+  FROM judged GROUP BY r
+), counts AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(removed_chars, 0) AS removed_chars
+  FROM docs LEFT JOIN repeats USING (r) LEFT JOIN by_line USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND NOT 100 * removed_chars > 50 * word_chars AS kept
+FROM counts
+"""
+
 ORACLES = {
+    "op8_line_rules": LINE_RULES,
     "op2_source_mixing": MIXING,
 }

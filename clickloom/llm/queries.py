@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import mixing
+from clickloom.llm import line_rules, mixing
 from clickloom.llm.common import read
 
 
@@ -12,6 +12,11 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents")).drop("first_slot")
 
 
+def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.clean_lines(read(spark, sf_dir, "documents"), with_text=False)
+
+
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
+    "op8_line_rules": op8_line_rules,
 }
