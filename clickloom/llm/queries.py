@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import line_rules, mixing
+from clickloom.llm import language_id, line_rules, mixing, toxicity
 from clickloom.llm.common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents")).drop("first_slot")
 
@@ -16,7 +21,14 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(read(spark, sf_dir, "documents"), with_text=False)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
     "op8_line_rules": op8_line_rules,
+    "op9_language_id": op9_language_id,
 }
