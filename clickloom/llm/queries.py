@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import language_id, line_rules, mixing, toxicity
+from clickloom.llm import (
+    language_id,
+    line_rules,
+    mixing,
+    packing,
+    quality_model,
+    token_files,
+    toxicity,
+)
 from clickloom.llm.common import read
 
 
@@ -17,6 +25,16 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents")).drop("first_slot")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality_model.train(docs, read(spark, sf_dir, "labels"))
+    return quality_model.score_quality(docs, model)
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(read(spark, sf_dir, "documents"), with_text=False)
 
@@ -26,9 +44,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_round_trip(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
+    "op4_packing": op4_packing,
+    "op5_quality_model": op5_quality_model,
     "op8_line_rules": op8_line_rules,
     "op9_language_id": op9_language_id,
+    "op10_token_files": op10_token_files,
 }
