@@ -8,6 +8,7 @@ from clickloom.llm import (
     language_id,
     line_rules,
     mixing,
+    near_dedup,
     packing,
     quality_model,
     token_files,
@@ -25,6 +26,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents")).drop("first_slot")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
+    "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
     "op5_quality_model": op5_quality_model,
     "op8_line_rules": op8_line_rules,
