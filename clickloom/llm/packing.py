@@ -30,7 +30,7 @@ from clickloom.llm.tokenizing import END_ID, default_tokenizer, encoder
 
 LENGTH = 1024
 SHARD_DOCS = 8192
-NODES_PER_PIECE = 4
+NODES_PER_PIECE = 1
 WIDTH = 6
 
 SCHEMA = (
@@ -163,12 +163,25 @@ def complete_bins(
         forward = True
 
 
+def least_bins(sizes: np.ndarray, capacity: int) -> int:
+    """A lower bound: pieces over half a bin stand apart, and small ones fill what they leave."""
+    big = np.sort(sizes[2 * sizes > capacity])
+    small = np.sort(sizes[2 * sizes <= capacity])
+    bound = 0
+    for least in range(capacity // 2 + 1):
+        at = int(np.searchsorted(big, capacity - least, "right"))
+        room = at * capacity - int(big[:at].sum())
+        filling = int(small[np.searchsorted(small, least) :].sum())
+        bound = max(bound, len(big) + max(0, math.ceil((filling - room) / capacity)))
+    return bound
+
+
 def pack(sizes: np.ndarray, capacity: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each piece."""
     if not len(sizes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     best = best_fit(sizes, capacity)
-    bound = max(math.ceil(int(sizes.sum()) / capacity), int((2 * sizes > capacity).sum()))
+    bound = least_bins(sizes, capacity)
     while len(best) > bound:
         better = complete_bins(sizes, capacity, len(best) - 1, NODES_PER_PIECE * len(sizes))
         if better is None:

@@ -24,15 +24,22 @@ def sample_by_class(rows: DataFrame, label: str, per_class: int, most: int) -> D
         .groupBy("doc_id")
         .agg(F.max(label).alias("label"))
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = (
-        labelled.withColumn("nth", F.row_number().over(order))
+    counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    # Hashes low enough for some twice as many rows as are wanted go to the ranking.
+    span = 1 << 40
+    low = F.pmod(F.xxhash64("doc_id"), F.lit(span)) < F.lit(2.0 * per_class * span) / F.col("n")
+    order = Window.partitionBy("label").orderBy(
+        F.pmod(F.xxhash64("doc_id"), F.lit(span)), "doc_id"
+    )
+    return (
+        labelled.join(counts, "label")
+        .filter(F.expr("n <= 1000") | low)
+        .withColumn("nth", F.row_number().over(order))
         .filter(F.col("nth") <= per_class)
         .orderBy("nth", "label")
         .limit(most)
+        .select("doc_id", "label", "n")
     )
-    counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
-    return taken.join(counts, "label").select("doc_id", "label", "n")
 
 
 def sampled_texts(
