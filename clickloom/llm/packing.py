@@ -31,7 +31,8 @@ from clickloom.llm.tokenizing import END_ID, default_tokenizer, encoder
 LENGTH = 1024
 SHARD_DOCS = 8192
 NODES_PER_PIECE = 1
-WIDTH = 6
+WIDTH = 6  # fillings followed at a node, of at most TRIED that are looked at
+TRIED = 32
 
 SCHEMA = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, "
@@ -95,7 +96,7 @@ class Pieces:
             return [()]
         found: dict[int, tuple[int, ...]] = {one: (one,)}
         a = one
-        while a and gap not in found:
+        while a and gap not in found and len(found) < TRIED:
             self.take(a)
             b = self.largest(min(a, gap - a))
             if b and a + b > one:
