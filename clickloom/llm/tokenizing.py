@@ -9,9 +9,9 @@ single blanks and line ends between words, special tokens) go through it whole.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
-import re
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,6 +20,7 @@ END_ID = 2
 MOST_WORDS = 600_000  # kept words, some 130 MB; then the memory starts anew
 GROUP_CHARS = 1 << 20
 JOINED_WORDS = 50
+OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 def default_tokenizer() -> str:
@@ -36,8 +37,11 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        added = "|".join(re.escape(t["content"]) for t in spec.get("added_tokens") or [])
-        self.odd = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z" + (f"|{added}" if added else ""))
+        # A text with any of these has words that are not simply set apart.
+        self.odd = (
+            *OTHER_SPACES, "  ", " \n", "\n ", "\n\n",
+            *(t["content"] for t in spec.get("added_tokens") or []),
+        )
         splitter = spec.get("pre_tokenizer") or {}
         self.line_end = self._whole("\n")
         self.by_word = (
@@ -50,6 +54,12 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.tails = {mark: self._whole(mark) for mark in ".,"}
 
+    def _plain(self, text: str) -> bool:
+        """Whether single blanks and line ends between words are all the text's white space."""
+        return bool(text) and not (
+            text[0] in " \n" or text[-1] in " \n" or any(mark in text for mark in self.odd)
+        )
+
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
@@ -73,15 +83,15 @@ class Encoder:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         split = [
-            None if not text or self.odd.search(text)
-            else f"\n{text}".replace("\n", " \n")[1:].split(" ")
+            f"\n{text}".replace("\n", " \n")[1:].split(" ") if self._plain(text) else None
             for text in texts
-        ]
-        pieces = set().union(*filter(None, split))
-        new = {p for p in pieces if p not in self.known}
+        ]
+        new: set[str] = set()
+        for words in filter(None, split):
+            new.update(itertools.filterfalse(self.known.__contains__, words))
         if len(self.known) + len(new) > MOST_WORDS:
             self.known.clear()
-            new = pieces
+            new = set().union(*filter(None, split))
         self._learn(new)
         known = self.known.__getitem__
         return [
