@@ -39,6 +39,20 @@ SELECT doc_id, size, source_size, target,
 FROM laid
 """
 
+WARC = """
+WITH named AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest,
+         strlen(coalesce(html, ''))::BIGINT AS payload_bytes
+  FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM named WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, n.payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM named n LEFT JOIN firsts f ON n.payload_digest = f.payload_digest AND payload_bytes >= 100
+"""
+
 LINE_RULES = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
@@ -95,6 +109,7 @@ FROM counts
 """
 
 ORACLES = {
+    "op7_warc": WARC,
     "op8_line_rules": LINE_RULES,
     "op2_source_mixing": MIXING,
 }

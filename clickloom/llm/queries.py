@@ -11,8 +11,10 @@ from clickloom.llm import (
     near_dedup,
     packing,
     quality_model,
+    syncmers,
     token_files,
     toxicity,
+    warc,
 )
 from clickloom.llm.common import read
 
@@ -40,6 +42,17 @@ def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(docs, model)
 
 
+def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_round_trip(read(spark, sf_dir, "pages"))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(read(spark, sf_dir, "documents"), with_text=False)
 
@@ -59,6 +72,8 @@ QUERIES = {
     "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
     "op5_quality_model": op5_quality_model,
+    "op6_syncmers": op6_syncmers,
+    "op7_warc": op7_warc,
     "op8_line_rules": op8_line_rules,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
