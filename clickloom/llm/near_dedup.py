@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import cut, map_batches
 from clickloom.llm.components import components
 
-SHINGLE_WORDS = 4
+SHINGLE_WORDS = 5
 PERCENT = 80
 
 REGISTERS = 293  # a prime, so that strides reach every register once

@@ -29,7 +29,7 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=4)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,9 @@
-"""A corpus pipeline of the training-data operators, stage by stage."""
+"""A corpus pipeline of the training-data operators, stage by stage.
+
+Each stage takes the rows its predecessor kept and gives documents again, but
+for the last, which gives the places of their pieces in packed sequences. Models
+are trained on the labelled rows of a stage's own input.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +11,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import mixing
+from clickloom.llm import language_id, mixing, near_dedup, packing, toxicity
+from clickloom.llm.common import read
 from clickloom.workspace import fresh_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model scores below its threshold."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model does not reject."""
+    return language_id.drop_rejected(docs, language_id.train(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near duplicates.
+
+    Five-word shingles and a similarity of 0.8.
+    """
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of the sources takes it."""
     return mixing.mixed_documents(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the tokenised documents with their places in the sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("language_id", keep_known_languages),
+    ("near_dedup", drop_near_duplicates),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
-# The trained stages have no SQL form; tests hold run() against brute force.
+# The trained stages and the tokenizer have no SQL form; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each writes Parquet that the next one reads."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         folder = fresh_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
