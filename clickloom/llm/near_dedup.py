@@ -14,14 +14,17 @@ Equal sets are one node. Inside a bucket no pairs of all members are formed: a
 few leaders are compared with the members of other components, components are
 joined, and buckets with more than one component go on with their next leaders,
 eight times as many each round, until every bucket lies in one component or has
-had all its members as leaders. So no link inside a bucket is lost, and the work
-on a group of copies grows with its rows. With the defaults a link at the
+had all its members as leaders. From the second round on, a node's shingles that
+occur in no other component are counted: nodes and pairs that cannot reach the
+threshold without them are left out. So no link inside a bucket is lost, and the
+work on a group of copies grows with its rows. With the defaults a link at the
 threshold shares no bucket with a chance of 5e-7.
 
 Defined cases: texts without a word, and null texts, have an empty set, are
 linked with nothing and are kept. A row without an id takes no part in linking:
 its component is null and it is kept. Repeated rows share a component, and each
-is kept if its id is the component. An empty table gives an empty result.
+is kept if its id is the component; rows of one id with different texts are one
+node with several sets. An empty table gives an empty result.
 Further columns are not read.
 """
 
@@ -35,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import cut, map_batches
+from clickloom.llm.common import WORD, cut, map_batches
 from clickloom.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -180,19 +183,36 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, elements) of the given ids' documents."""
+    """(id, n, sketch, elements) of the given ids' texts, one row per id and text."""
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
-        sets = [shingles(text, width).tobytes() for text in batch.column("text").to_pylist()]
-        return {"id": batch.column("id"), "elements": sets}
+        sets = [shingles(text, width) for text in batch.column("text").to_pylist()]
+        return {
+            "id": batch.column("id"),
+            "n": list(map(len, sets)),
+            "sketch": [sketch(found).tobytes() for found in sets],
+            "elements": [found.view(np.int64) for found in sets],
+        }
+
+    texts = (
+        docs.select(F.col("doc_id").alias("id"), "text")
+        .filter(F.col("text").rlike(WORD))
+        .join(ids, "id", "left_semi")
+        .dropDuplicates(["id", "text"])
+    )
+    return map_batches(texts, run, "id long, n long, sketch binary, elements array<long>")
+
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    return map_batches(texts, run, "id long, elements binary").dropDuplicates(["id"])
+def both_sides(pairs: DataFrame, held: DataFrame, *names: str) -> DataFrame:
+    """``pairs`` with the columns ``names`` of a and b."""
+    for c in "ba":
+        side = held.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in names])
+        pairs = pairs.join(side, c)
+    return pairs
 
 
-def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def likely_pairs(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches leave the link likely."""
-    side = lambda c: nodes.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "sketch")])  # noqa: E731, E501
 
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         keep = likely(
@@ -202,30 +222,48 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         )
         return {c: batch.column(c).filter(pa.array(keep)) for c in "ab"}
 
-    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
+    return map_batches(both_sides(pairs, held, "n", "sketch"), run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
 
+    def sets(column: pa.ListArray) -> list[np.ndarray]:
+        values, at = column.values.to_numpy(), column.offsets.to_numpy()
+        return [values[low:high] for low, high in zip(at, at[1:], strict=False)]
+
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         keep = []
-        for a, b in zip(*(batch.column(f"elements_{c}").to_pylist() for c in "ab"), strict=True):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        for a, b in zip(*(sets(batch.column(f"elements_{c}")) for c in "ab"), strict=True):
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(100 * both >= percent * (len(a) + len(b) - both))
         return {c: batch.column(c).filter(pa.array(keep, pa.bool_())) for c in "ab"}
 
-    side = lambda c: sets.select(F.col("id").alias(c), F.col("elements").alias(f"elements_{c}"))  # noqa: E731, E501
-    return map_batches(pairs.join(side("b"), "b").join(side("a"), "a"), run, "a long, b long")
+    return map_batches(both_sides(pairs, held, "elements"), run, "a long, b long")
+
+
+def shared_outside(active: DataFrame, held: DataFrame) -> DataFrame:
+    """(id, n, c): c of the node's n shingles occur in active nodes of other components too.
+
+    Two nodes of different components have no more than the smaller c in common.
+    """
+    placed = active.select("id", "component").distinct()
+    rows = held.join(placed, "id").select("id", "component", F.explode("elements").alias("e"))
+    spread = (
+        rows.groupBy("e")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high")
+    )
+    counts = rows.join(spread, "e", "left_semi").groupBy("id").agg(F.count("*").alias("c"))
+    sizes = held.groupBy("id").agg(F.min("n").alias("n"))
+    return counts.join(sizes, "id")
 
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component) of every node that is linked with another."""
-    spark = docs.sparkSession
     members = cut(bucket_rows(nodes))
-    sets = cut(full_sets(docs, members.select("id").distinct(), width))
-    found = spark.createDataFrame([], "id long, component long")
+    held = cut(full_sets(docs, members.select("id").distinct(), width))
+    found = docs.sparkSession.createDataFrame([], "id long, component long")
     leaders_wanted = 1
     while True:
         placed = members.join(found, "id", "left").withColumn(
@@ -240,23 +278,32 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) ->
         active = cut(placed.join(open_keys, "key"))
         if active.isEmpty():
             return found
+        # After the first round, only nodes that have enough in common with others go on.
+        enough = F.lit(True)
+        if leaders_wanted > 1:
+            shared = shared_outside(active, held).filter(100 * F.col("c") >= percent * F.col("n"))
+            active = cut(active.join(shared, "id"))
+            least = F.least(F.col("c"), F.col("led_c"))
+            enough = (100 + percent) * least >= percent * (F.col("n") + F.col("led_n"))
         order = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
-        leaders = (
-            active.withColumn("nth", F.row_number().over(order))
-            .filter(F.col("nth") <= leaders_wanted)
-            .select("key", F.col("id").alias("leader"), F.col("component").alias("led"))
+        leaders = active.withColumn("nth", F.row_number().over(order)).filter(
+            F.col("nth") <= leaders_wanted
         )
+        led = {"id": "leader", "component": "led", "c": "led_c", "n": "led_n"}
         pairs = (
-            active.join(leaders, "key")
-            .filter("component <> led")
+            active.join(
+                leaders.select("key", *[F.col(x).alias(y) for x, y in led.items() if x in active.columns]),
+                "key",
+            )
+            .filter((F.col("component") != F.col("led")) & enough)
             .select(F.col("leader").alias("a"), F.col("id").alias("b"))
             .distinct()
         )
-        links = confirmed(likely_pairs(pairs, nodes, percent), sets, percent)
+        links = confirmed(likely_pairs(pairs, held, percent), held, percent)
         # Earlier components are links between their members and their smallest id.
         earlier = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = cut(components(links.unionByName(earlier)))
-        used = leaders.select("key", F.col("leader").alias("id"))
+        used = leaders.select("key", "id")
         members = active.select("key", "id", "degree").join(used, ["key", "id"], "left_anti")
         leaders_wanted *= LEADER_GROWTH
 
