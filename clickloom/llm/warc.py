@@ -1,8 +1,8 @@
 """WARC archives of captures, and a merged index of what they hold.
 
 Captures whose payload was met before are written as revisits that name the
-first one. Archive files are written by Spark's text writer: a record ends with
-two line ends, which is the writer's separator. Reading goes by the records'
+first one. Archive files are written, gzipped, by Spark's text writer: a record
+ends with two line ends, which is the writer's separator. Reading goes by the records'
 lengths, never by a separator, so payloads may hold anything.
 
 Every archive read gives a run of index lines sorted by URL key and time. The
@@ -19,6 +19,7 @@ Further columns are not read.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -126,8 +127,9 @@ def record() -> Column:
 
 
 def write_archives(caught: DataFrame, folder: str) -> None:
-    """One archive per partition of ``caught``; Spark's commit keeps partial files out."""
-    caught.select(record().alias("value")).write.option("lineSep", EOL * 2).text(folder)
+    """One gzipped archive per partition of ``caught``; Spark's commit keeps partial files out."""
+    lines = caught.select(record().alias("value"))
+    lines.write.option("lineSep", EOL * 2).text(folder, compression="gzip")
 
 
 def url_key(url: str) -> str:
@@ -191,7 +193,7 @@ def archive_runs(spark: SparkSession, folder: str) -> DataFrame:
         lines = [
             line
             for path, data in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for line in index_lines(path.rsplit("/", 1)[-1], data)
+            for line in index_lines(path.rsplit("/", 1)[-1], gzip.decompress(data))
         ]
         columns = list(zip(*lines, strict=True)) or [()] * len(INDEX_FIELDS)
         return {name: list(c) for name, c in zip(INDEX_FIELDS, columns, strict=True)}
