@@ -99,28 +99,16 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
     bounds = sorted({FIRST_ID if least is None else least, *(others or [])})
     listed = F.lit(bounds)
     chunk = F.size(F.filter(listed, lambda b: b <= F.col("k")))
-    last = F.lit(len(bounds))
+    before = F.when(F.col("own") == 1, F.lit(len(bounds))).otherwise(F.col("own") - 1)
+    home = F.struct(F.col("own").alias("chunk"), F.lit(0).alias("extra"))
+    places = F.when(F.get(listed, F.col("own") - 1) != F.col("k"), F.array(home)).otherwise(
+        F.array(home, F.struct(before.alias("chunk"), F.lit(1).alias("extra")))
+    )
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
         .withColumn("own", chunk)
-        .withColumn(
-            "chunk",
-            F.explode(
-                F.when(F.get(listed, F.col("own") - 1) != F.col("k"), F.array("own")).otherwise(
-                    F.array("own", F.when(F.col("own") == 1, last + 1).otherwise(F.col("own")) - 1)
-                )
-            ),
-        )
+        .select("doc_id", "text", "k", F.inline(places))
     )
-    # With one chunk the least id's rows are there twice; the second are the extra ones.
-    nth = F.when(F.col("chunk") != F.col("own"), 1).otherwise(0)
-    if len(bounds) == 1:
-        rows = rows.drop("chunk").withColumn(
-            "place", F.explode(F.when(F.col("k") == bounds[0], F.array(F.lit(0), F.lit(1)))
-                               .otherwise(F.array(F.lit(0))))
-        ).withColumn("chunk", F.lit(1))
-        nth = F.col("place")
-    rows = rows.withColumn("extra", nth).select("doc_id", "text", "k", "chunk", "extra")
     return rows, Window.partitionBy("chunk").orderBy("extra", "k", "text")
 
 
