@@ -6,7 +6,8 @@ import __spark_entry__ as contract
 import pytest
 from oracle import compare, duck
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from clickloom.plans.clickstream import QUERIES
+from clickloom.plans.oracle import ORACLES as SQL
 
 pytestmark = pytest.mark.skipif(
     not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here"
@@ -20,6 +21,8 @@ def con(sf_dir):
 
 def test_every_oracle_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     # Progress reports hold clock times and durations.
     assert set(QUERIES) - set(SQL) == {"stream_progress"}
 
