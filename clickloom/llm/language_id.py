@@ -102,7 +102,7 @@ def train(
     # Short texts are learned too: the first words of every snippet are one more text.
     texts = list(sample["snippet"]) + [text[:SHORT] for text in sample["snippet"]]
     y = np.tile(sample["label"].map(languages.index).to_numpy(), 2)
-    return fit([np.concatenate(grams(text)) for text in texts], y, languages)
+    return fit([np.concatenate(grams(text)).astype(np.uint16) for text in texts], y, languages)
 
 
 def room_sql() -> str:

@@ -30,7 +30,7 @@ from clickloom.llm.sampling import ngram_buckets, pieces, sampled_texts, sigmoid
 PER_CLASS = 4000
 ORDERS = (4, 5, 6)
 BITS = 20
-FEATURES = 8192
+FEATURES = 4096
 MIN_TEXTS = 4
 THRESHOLD = 0.3
 PARTS, REMAINDER = 4, 2
@@ -112,35 +112,45 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
     feature[chosen["bucket"].to_numpy(np.int64)] = np.arange(len(chosen), dtype=np.int32)
 
     def extract(batch: pa.RecordBatch) -> dict[str, list]:
-        found = [present(text, feature).tolist() for text in batch.column("text").to_pylist()]
-        return {"label": batch.column("label"), "found": found}
-
-    rows = map_batches(sample.select("text", "label"), extract, "label int, found array<int>")
-    table = rows.toPandas()
-    y = table["label"].to_numpy(np.float64)
-    lengths = table["found"].map(len).to_numpy()
-    columns = np.concatenate([np.asarray(x, np.int64) for x in table["found"]])
+        found = [present(text, feature) for text in batch.column("text").to_pylist()]
+        return {"label": batch.column("label"), "found": [x.astype("<u2").tobytes() for x in found]}
+
+    rows = map_batches(sample.select("text", "label"), extract, "label int, found binary")
+    table = rows.toArrow()
+    y = table.column("label").to_numpy().astype(np.float64)
+    found = [np.frombuffer(x, "<u2") for x in table.column("found").to_pylist()]
     share = np.where(y == 1, all_toxics / toxics, all_others / others)
-    weight, bias = fit(columns, lengths, chosen["ratio"].to_numpy(), y, share / share.mean())
+    weight, bias = fit(found, chosen["ratio"].to_numpy(), y, share / share.mean())
     return ToxicityModel(feature, weight.astype(np.float32), bias)
 
 
 def fit(
-    columns: np.ndarray, lengths: np.ndarray, ratio: np.ndarray, y: np.ndarray,
-    share: np.ndarray, rounds: int = 150, rate: float = 0.05, penalty: float = 1e-4,
+    found: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, share: np.ndarray,
+    rounds: int = 150, rate: float = 0.05, penalty: float = 1e-4, together: int = 512,
 ) -> tuple[np.ndarray, float]:
-    """Logistic regression on the present features times ``ratio``, by Adam over all rows."""
-    rows = np.repeat(np.arange(len(y)), lengths)
-    values = ratio[columns]
+    """Logistic regression on the present features times ``ratio``, by Adam over all rows.
+
+    The rows are gone through ``together`` at a time, which bounds the memory.
+    """
+    order = sorted(range(len(y)), key=lambda i: (y[i], found[i].tobytes()))
+    parts = []
+    for at in range(0, len(order), together):
+        some = order[at : at + together]
+        lengths = [len(found[i]) for i in some]
+        parts.append((
+            np.repeat(np.arange(len(some), dtype=np.uint16), lengths),
+            np.concatenate([found[i] for i in some]), y[some], share[some] / len(y),
+        ))
     theta = np.zeros(len(ratio) + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        z = np.bincount(rows, values * theta[columns], len(y)) + theta[-1]
-        error = (sigmoid(z) - y) * share / len(y)
-        slope = np.append(
-            np.bincount(columns, values * error[rows], len(ratio)) + penalty * theta[:-1],
-            error.sum(),
-        )
+        slope = np.append(penalty * theta[:-1], 0.0)
+        scaled = ratio * theta[:-1]
+        for rows, columns, label, weight in parts:
+            z = np.bincount(rows, scaled[columns], len(label)) + theta[-1]
+            error = (sigmoid(z) - label) * weight
+            slope[:-1] += ratio * np.bincount(columns, error[rows], len(ratio))
+            slope[-1] += error.sum()
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
