@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, S = 20, 10
+K, S = 20, 14
 LOWEST = 64
 CHUNKS_PER_PARTITION = 8
 MOST_CHUNKS = 4096
@@ -40,23 +40,30 @@ def run_at(data: Column, position: Column, size: int) -> Column:
     return F.substring(data, position, F.lit(size))
 
 
-def anchors(data: Column, k: int = K, s: int = S) -> Column:
-    """Array of (pos, hash) of the closed syncmers of a binary column, pos from 1."""
+def anchor_places(data: Column, k: int = K, s: int = S) -> Column:
+    """Places, from 1 on, of the closed syncmers of a binary column, ascending.
+
+    The bytes are bound once: a column named inside a lambda is copied whole for
+    every place. Single look-ups do for the runs, as slicing copies arrays too.
+    """
     n = F.octet_length(data)
-    runs = F.transform(F.sequence(F.lit(1), n - s + 1), lambda i: F.xxhash64(run_at(data, i, s)))
 
-    def chosen(h: Column) -> Column:
-        def closed(i: Column) -> Column:
-            least = F.array_min(F.slice(h, i, F.lit(k - s + 1)))
-            return (least == F.get(h, i - 1)) | (least == F.get(h, i + (k - s - 1)))
+    def run_hashes(d: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), n - s + 1), lambda i: F.xxhash64(run_at(d, i, s)))
 
-        return F.filter(F.sequence(F.lit(1), n - k + 1), closed)
+    def closed(h: Column) -> Column:
+        def is_closed(i: Column) -> Column:
+            inner = [F.get(h, i + (shift - 1)) for shift in range(k - s + 1)]
+            return F.least(*inner).isin(inner[0], inner[-1])
 
-    found = F.transform(
-        let(runs, chosen),
-        lambda i: F.struct(i.alias("pos"), F.xxhash64(run_at(data, i, k)).alias("hash")),
-    )
-    return F.when(n >= k, found).otherwise(F.expr("array()").cast("array<struct<pos:int,hash:bigint>>"))
+        return F.filter(F.sequence(F.lit(1), n - k + 1), is_closed)
+
+    found = let(let(data, run_hashes), closed)
+    return F.when(n >= k, found).otherwise(F.expr("array()").cast("array<int>"))
+
+
+def hashes_at(data: Column, places: Column, k: int = K) -> Column:
+    return let(data, lambda d: F.transform(places, lambda i: F.xxhash64(run_at(d, i, k))))
 
 
 def lowest_hashes(hashes: Column, data: Column) -> Column:
@@ -67,7 +74,7 @@ def lowest_hashes(hashes: Column, data: Column) -> Column:
         .otherwise(F.expr("array()").cast("array<bigint>"))
     )
     short = F.transform(own, lambda x: F.shiftrightunsigned(x, 16))
-    return F.slice(F.array_sort(F.array_distinct(short)), 1, LOWEST)
+    return F.slice(F.sort_array(F.array_distinct(short)), 1, LOWEST)
 
 
 def printed(hashes: Column) -> Column:
@@ -77,7 +84,7 @@ def printed(hashes: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated shared part of the anchors behind two lists of lowest hashes, 0 to 1."""
-    joint = F.slice(F.array_sort(F.array_union(a, b)), 1, LOWEST)
+    joint = F.slice(F.sort_array(F.array_union(a, b)), 1, LOWEST)
     both = F.size(F.array_intersect(joint, F.array_intersect(a, b)))
     return F.when(F.size(joint) == 0, F.lit(1.0)).otherwise(both / F.size(joint))
 
@@ -117,42 +124,50 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The spliced form ends in as many code points of the next document (or all
     it has) as half the text, rounded down, in place of its own. Texts are
-    shuffled once, and the anchors of a text are found once: the spliced form
-    takes them over from both texts and adds those across the joint.
+    shuffled once. The spliced form takes over the anchors of the text's head,
+    and adds those of the tail and those across the joint.
     """
     rows, order = with_next(docs)
-    data = F.col("text").cast("binary")
     half = F.floor(F.char_length("text") / 2).cast("int")
-    head, tail = F.col("head").cast("binary"), F.col("tail").cast("binary")
+    data, head, tail = (F.col(c).cast("binary") for c in ("text", "head", "tail"))
     joint = F.concat(
         F.substring(head, F.greatest(F.octet_length(head) - (K - 2), F.lit(1)), F.lit(K - 1)),
         F.substring(tail, F.lit(1), F.lit(K - 1)),
     )
-    whole_until = lambda found, size: F.transform(
-        F.filter(found, lambda x: x["pos"] + (K - 1) <= size), lambda x: x["hash"]
-    )
+    in_head = F.size(F.filter("places", lambda i: i + (K - 1) <= F.octet_length("head")))
     spliced = F.concat(
-        whole_until(F.col("found"), F.octet_length("head")),
-        F.transform(F.col("across"), lambda x: x["hash"]),
-        whole_until(F.col("next_found"), F.octet_length("tail")),
+        F.slice("hashes", F.lit(1), in_head),
+        hashes_at(joint, F.col("across")),
+        hashes_at(tail, F.col("in_tail")),
     )
-    hashes = F.transform(F.col("found"), lambda x: x["hash"])
-    return (
-        rows.withColumn("found", anchors(data))
-        .withColumn("lowest", lowest_hashes(hashes, data))
-        .withColumn("next_text", F.lead("text").over(order))
-        .withColumn("next_found", F.lead("found").over(order))
-        .withColumn("next_lowest", F.lead("lowest").over(order))
-        .filter("extra = 0")
+    found = (
+        rows.withColumn("next_text", F.lead("text").over(order))
         .withColumn("head", F.left("text", F.char_length("text") - half))
-        .withColumn("tail", F.left("next_text", half))
-        .withColumn("across", anchors(joint))
+        .withColumn("tail", F.left(F.coalesce("next_text", F.lit("")), half))
+        .withColumn("places", anchor_places(data))
+        .withColumn("hashes", hashes_at(data, F.col("places")))
+        .withColumn("across", anchor_places(joint))
+        .withColumn("in_tail", anchor_places(tail))
         .withColumn("edited", F.concat("head", "tail"))
-        .withColumn("edited_lowest", lowest_hashes(spliced, F.col("edited").cast("binary")))
         .select(
             "doc_id",
+            "k",
+            "chunk",
+            "extra",
             F.char_length("text").cast("long").alias("n_chars"),
             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            lowest_hashes(F.col("hashes"), data).alias("lowest"),
+            lowest_hashes(spliced, F.col("edited").cast("binary")).alias("edited_lowest"),
+            F.col("text"),
+        )
+    )
+    return (
+        found.withColumn("next_lowest", F.lead("lowest").over(order))
+        .filter("extra = 0")
+        .select(
+            "doc_id",
+            "n_chars",
+            "edited_sha256",
             printed(F.col("lowest")).alias("fingerprint"),
             printed(F.col("edited_lowest")).alias("edited_fingerprint"),
             likeness(F.col("lowest"), F.col("edited_lowest")).alias("near_edited"),
