@@ -14,9 +14,10 @@ Equal sets are one node. Inside a bucket no pairs of all members are formed: a
 few leaders are compared with the members of other components, components are
 joined, and buckets with more than one component go on with their next leaders,
 eight times as many each round, until every bucket lies in one component or has
-had all its members as leaders. From the second round on, a node's shingles that
-occur in no other component are counted: nodes and pairs that cannot reach the
-threshold without them are left out. So no link inside a bucket is lost, and the
+had all its members as leaders. The first round has one leader in each bucket of
+a few bands; from the second round on, a node's shingles that occur in no other
+component are counted: nodes and pairs that cannot reach the threshold without
+them are left out. So no link inside a bucket is lost, and the
 work on a group of copies grows with its rows. With the defaults a link at the
 threshold shares no bucket with a chance of 5e-7.
 
@@ -53,6 +54,8 @@ HIGHEST = 65_535
 # overall best by more than this (in nats) are dropped: odds of 6e-7 at most.
 LEAST_LIKELIHOOD = 14.0
 LEADER_GROWTH = 8
+# The first round looks at these bands only: it joins most of what belongs together.
+FIRST_BANDS = 12
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -169,17 +172,24 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
-    """(key, id, degree) of all buckets of two nodes or more; degree sums a node's buckets."""
+    """(key, id, band, degree) of all buckets of two nodes or more.
+
+    The degree of a node adds up the sizes of its buckets.
+    """
 
     def run(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         keys = band_keys(matrix(batch.column("sketch")))
-        return {"key": keys.ravel(), "id": np.repeat(batch.column("id").to_numpy(), BANDS)}
+        return {
+            "key": keys.ravel(),
+            "id": np.repeat(batch.column("id").to_numpy(), BANDS),
+            "band": np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows),
+        }
 
-    rows = map_batches(nodes.select("id", "sketch"), run, "key long, id long")
+    rows = map_batches(nodes.select("id", "sketch"), run, "key long, id long, band int")
     crowded = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = cut(rows.join(crowded, "key"))
     degrees = shared.groupBy("id").agg(F.sum("n").alias("degree"))
-    return shared.select("key", "id").join(degrees, "id")
+    return shared.select("key", "id", "band").join(degrees, "id")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -264,11 +274,14 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) ->
     members = cut(bucket_rows(nodes))
     held = cut(full_sets(docs, members.select("id").distinct(), width))
     found = docs.sparkSession.createDataFrame([], "id long, component long")
-    leaders_wanted = 1
+    tested = docs.sparkSession.createDataFrame([], "a long, b long")
+    leaders_wanted = 0
     while True:
         placed = members.join(found, "id", "left").withColumn(
             "component", F.coalesce("component", "id")
         )
+        if not leaders_wanted:
+            placed = placed.filter(F.col("band") < FIRST_BANDS)
         open_keys = (
             placed.groupBy("key")
             .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -276,35 +289,40 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) ->
             .select("key")
         )
         active = cut(placed.join(open_keys, "key"))
-        if active.isEmpty():
+        if active.isEmpty() and leaders_wanted:
             return found
         # After the first round, only nodes that have enough in common with others go on.
         enough = F.lit(True)
-        if leaders_wanted > 1:
+        if leaders_wanted:
             shared = shared_outside(active, held).filter(100 * F.col("c") >= percent * F.col("n"))
             active = cut(active.join(shared, "id"))
             least = F.least(F.col("c"), F.col("led_c"))
             enough = (100 + percent) * least >= percent * (F.col("n") + F.col("led_n"))
         order = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
         leaders = active.withColumn("nth", F.row_number().over(order)).filter(
-            F.col("nth") <= leaders_wanted
+            F.col("nth") <= max(leaders_wanted, 1)
         )
         led = {"id": "leader", "component": "led", "c": "led_c", "n": "led_n"}
-        pairs = (
-            active.join(
-                leaders.select("key", *[F.col(x).alias(y) for x, y in led.items() if x in active.columns]),
-                "key",
-            )
+        named = [F.col(x).alias(y) for x, y in led.items() if x in active.columns]
+        pairs = cut(
+            active.join(leaders.select("key", *named), "key")
             .filter((F.col("component") != F.col("led")) & enough)
-            .select(F.col("leader").alias("a"), F.col("id").alias("b"))
+            .select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
             .distinct()
+            .join(tested, ["a", "b"], "left_anti")
         )
+        tested = tested.unionByName(pairs)
         links = confirmed(likely_pairs(pairs, held, percent), held, percent)
         # Earlier components are links between their members and their smallest id.
         earlier = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = cut(components(links.unionByName(earlier)))
+        if not leaders_wanted:
+            leaders_wanted = 1
+            continue
         used = leaders.select("key", "id")
-        members = active.select("key", "id", "degree").join(used, ["key", "id"], "left_anti")
+        members = active.select("key", "id", "band", "degree").join(
+            used, ["key", "id"], "left_anti"
+        )
         leaders_wanted *= LEADER_GROWTH
 
 
