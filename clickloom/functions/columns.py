@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from clickloom.schema import ALERT_FORMAT, EVENT_SCHEMA, FUNNEL_STAGES, OTHER_STAGE
 
-# Amounts are summed as whole ten-thousandths: integer sums do not depend on the
-# order of rows, so a retried task or another partitioning gives the same total.
-MONEY_SCALE = 10_000
+# Amounts are summed as decimals: such sums do not depend on the order of rows, so
+# a retried task or another partitioning gives the same total. Amounts that are no
+# such decimals (NaN, infinite, too large, finer than the scale) are summed as
+# doubles beside them, so nothing leaves a total and nothing overflows.
+MONEY = "decimal(20,4)"
+MONEY_SCALE = 4
+MONEY_LIMIT = 1e15
 
 
 def parsed_event(json: Column) -> Column:
@@ -40,7 +44,7 @@ def funnel_stage(event_type: Column) -> Column:
 
 def revenue(is_purchase: Column, cart_value: Column) -> Column:
     """Cart value of a purchase (null if it has none), 0 for everything else."""
-    return F.when(~is_purchase, F.lit(0.0)).otherwise(cart_value)
+    return F.when(is_purchase, cart_value).otherwise(F.lit(0.0))
 
 
 def lag_ms(later: Column, earlier: Column) -> Column:
@@ -48,14 +52,29 @@ def lag_ms(later: Column, earlier: Column) -> Column:
     return (F.unix_timestamp(later) - F.unix_timestamp(earlier)) * F.lit(1000)
 
 
-def money_units(amount: Column) -> Column:
-    """Amount as a whole number of ten-thousandths; NaN and overflow give null."""
-    return F.rint(amount * MONEY_SCALE).try_cast("bigint")
+def _is_exact(amount: Column) -> Column:
+    return (F.abs(amount) < MONEY_LIMIT) & (F.round(amount, MONEY_SCALE) == amount)
 
 
-def money(units: Column) -> Column:
-    """Back from whole units to a double."""
-    return units.cast("double") / F.lit(float(MONEY_SCALE))
+def exact_amount(amount: Column) -> Column:
+    """The amount as a decimal; null for one that is none."""
+    return F.when(_is_exact(amount), amount.try_cast(MONEY))
+
+
+def odd_amount(amount: Column) -> Column:
+    """The amount as it is if :func:`exact_amount` has none for it."""
+    return F.when(~_is_exact(amount), amount)
+
+
+def money(exact: Column, odd: Column) -> Column:
+    """A total from the sums of both kinds; null without any amount."""
+    parts = F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(odd, F.lit(0.0))
+    return F.when(exact.isNotNull() | odd.isNotNull(), parts)
+
+
+def money_sum(amount: Column) -> Column:
+    """Aggregate: the total of a column of amounts."""
+    return money(F.sum(exact_amount(amount)), F.sum(odd_amount(amount)))
 
 
 def category_slug(category: Column) -> Column:

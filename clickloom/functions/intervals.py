@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +12,11 @@ def interval_micros(text: str) -> Column:
     return F.unix_micros(F.expr(f"timestamp'1970-01-01 00:00:00Z' + interval {text}"))
 
 
+def interval_length(text: str) -> int:
+    """The same as a number, where the plan depends on it."""
+    return pd.Timedelta(text).value // 1000
+
+
 def floor_micros(ts: Column, width: Column) -> Column:
     """Start of the slice of ``width`` microseconds that holds ``ts``."""
     micros = F.unix_micros(ts)

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.bounds import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 
-# A catalog too large to broadcast is copied this many times, and the events are
-# spread over the copies.
-SALTS = 32
-
 CATALOG_COLUMNS = ("product_id", "product_name", "category", "price")
 
 
@@ -22,27 +18,30 @@ def lookup(
 ) -> DataFrame:
     """Add ``catalog_name``, ``catalog_category`` and ``catalog_price``.
 
-    Every event is kept; they are null for an event without a known product.
-    ``catalog`` has one row per product id. Works on a stream of events with a
-    static catalog.
+    Every event is kept, once; they are null for an event without a known
+    product. Of a product id with several rows the one with the least name,
+    category and price counts. Works on a stream of events with a static catalog.
     """
-    products = catalog.select(
-        F.col("product_id").alias("_product"),
-        F.col("product_name").alias("catalog_name"),
-        F.col("category").alias("catalog_category"),
-        F.col("price").alias("catalog_price"),
+    kept = F.struct("product_name", "category", "price")
+    products = (
+        catalog.filter(F.col("product_id").isNotNull())
+        .groupBy(F.col("product_id").alias("_product"))
+        .agg(F.min(kept).alias("_kept"))
+        .select(
+            "_product",
+            F.col("_kept.product_name").alias("catalog_name"),
+            F.col("_kept.category").alias("catalog_category"),
+            F.col("_kept.price").alias("catalog_price"),
+        )
     )
-    same_product = F.col("product_id") == F.col("_product")
     if fits_broadcast(products, max_rows, max_bytes):
+        same_product = F.col("product_id") == F.col("_product")
         return events.join(F.broadcast(products), same_product, "left").drop("_product")
-    # A hot product, and the events with no product at all, would each land in
-    # one task; the salt spreads them over SALTS of them.
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(SALTS)).cast("int")
-    copies = products.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    return (
-        events.withColumn("_salt", salt)
-        .join(copies, same_product & (F.col("_salt") == F.col("_copy")), "left")
-        .drop("_product", "_salt", "_copy")
-    )
+    # Events without a product go past the join. A hot product's events meet one
+    # catalog row, and adaptive execution splits their partition.
+    nothing = {c: F.lit(None).cast(t) for c, t in products.dtypes if c != "_product"}
+    with_product = events.filter(F.col("product_id").isNotNull())
+    found = with_product.join(
+        products.hint("merge"), F.col("product_id") == F.col("_product"), "left"
+    ).drop("_product")
+    return found.unionByName(events.filter(F.col("product_id").isNull()).withColumns(nothing))

@@ -45,6 +45,7 @@ def dedup_stream(
     keys: Sequence[str] = EVENT_KEY,
     watermark: str = "5 minutes",
     position: Sequence[str] = MESSAGE_POSITION,
+    arrival: str = "kafka_timestamp",
 ) -> DataFrame:
     """One row per key on a stream; state is dropped once the watermark passes.
 
@@ -52,13 +53,18 @@ def dedup_stream(
     would meet in one task. They are first cut down to one per key and salt,
     with the salt taken from the ``position`` that tells copies apart, and then
     to one per key. Without such columns there is only the second step.
+
+    The state of a key lives by the event time, and by ``arrival`` for events
+    whose time could not be read; without that column such events keep no state
+    and their copies all pass.
     """
-    marked = events.withWatermark("event_ts", watermark)
+    clock = [F.col(c) for c in ("event_ts", arrival) if c in events.columns]
+    marked = events.withColumn("_clock", F.coalesce(*clock)).withWatermark("_clock", watermark)
     position = [c for c in position if c in events.columns]
     if position:
         salt = F.pmod(F.xxhash64(*position), F.lit(COPY_SALTS))
         marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"])
-    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_salt")
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_salt", "_clock")
 
 
 def upsert(
@@ -87,28 +93,32 @@ def upsert_table(
 ) -> None:
     """Apply ``updates`` to a partitioned table in place.
 
+    The driver gets the list of touched partitions, as it plans them anyway.
     Delta tables are merged by Delta. Otherwise only the partitions the updates
     touch are read and replaced (dynamic partition overwrite); the rest of the
-    table is neither scanned nor written. A key must keep its partition, as an
-    event keeps its date. The table must be written by batch jobs, not be the
-    folder of a streaming file sink.
+    table is neither scanned nor written. Rows without a partition value form a
+    partition of their own and are merged like any other. A key must keep its
+    partition, as an event keeps its date. Columns that only the updates have are
+    added to the table: older files lack them and read as null.
+
+    The table must be written by batch jobs, not be the folder of a streaming
+    file sink. Spark replaces the partitions at commit, by delete and rename: a
+    driver that dies between the two leaves a touched partition missing until the
+    same updates are applied again to a restored copy; Delta has no such gap.
     """
     if fmt == "delta":
         return _merge_delta(spark, path, updates, keys, order)
-    bounds = updates.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
-    if bounds.low is None:
-        if updates.isEmpty():
-            return
-        raise ValueError(f"updates have no value in {partition}")
-    target = spark.read.format(fmt).load(path)
-    # The range prunes files when the scan is planned; the semi-join then leaves
-    # out untouched partitions inside the range.
-    in_range = target.filter(F.col(partition).between(bounds.low, bounds.high))
-    touched = in_range.join(updates.select(partition).distinct(), partition, "left_semi")
-    merged = upsert(touched, updates, keys, order)
+    dates = [r[0] for r in updates.select(partition).distinct().collect()]
+    if not dates:
+        return
+    named = [d for d in dates if d is not None]
+    touched = F.col(partition).isin(named) if named else F.lit(False)
+    if None in dates:
+        touched = touched | F.col(partition).isNull()
+    target = spark.read.option("mergeSchema", "true").format(fmt).load(path)
+    merged = upsert(target.filter(touched), updates, keys, order)
     (
-        merged.select(*target.columns)
-        .hint("rebalance", partition)
+        merged.hint("rebalance", partition)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -37,12 +37,14 @@ def quality_report(
 
     All rules that look at one event share one scan and one aggregate. The two
     that compare events (number of users, repeated ids) read one column each.
-    ``events`` has the 20 fields of the wire format.
+    ``events`` has the 20 fields of the wire format, and may have the text that
+    was sent in ``event_json``; without it the events are serialised here.
     """
+    ids = events.select("user_id", "event_id")
     return (
         _event_rules(lookup(events, catalog), categories)
-        .unionByName(_user_bound(events, max_users))
-        .unionByName(_repeated_ids(events))
+        .unionByName(_user_bound(ids, max_users))
+        .unionByName(_repeated_ids(ids))
     )
 
 
@@ -106,7 +108,8 @@ def _event_rules(events: DataFrame, categories: Sequence[str]) -> DataFrame:
     # At most one entry per known type.
     seen = F.collect_set(F.when(is_type(*EVENT_TYPES), F.col("event_type")))
     known = F.array(*(F.lit(t) for t in EVENT_TYPES))
-    serialised = events.withColumn("event_json", event_json())
+    sent = F.col("event_json") if "event_json" in events.columns else event_json()
+    serialised = events.withColumn("event_json", sent)
     totals = serialised.agg(*counts, seen.alias("seen")).withColumns(
         {
             "event_types_present_checked": F.size(known).cast("bigint"),

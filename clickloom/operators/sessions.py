@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import money, money_units
+from clickloom.functions.columns import exact_amount, money, money_sum, odd_amount
 from clickloom.functions.intervals import floor_micros, interval_micros
 
 SESSION_COLUMNS = (
@@ -38,7 +38,8 @@ def batch_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
             F.max(micros).alias("last_at"),
             F.count("*").alias("event_count"),
             F.sum(F.col("is_purchase").cast("int")).alias("purchase_count"),
-            F.sum(money_units(F.col("revenue"))).alias("money_units"),
+            F.sum(exact_amount(F.col("revenue"))).alias("exact"),
+            F.sum(odd_amount(F.col("revenue"))).alias("odd"),
         )
     )
     by_time = Window.partitionBy("user_id").orderBy("bucket")
@@ -52,7 +53,7 @@ def batch_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
             F.timestamp_micros(F.max("last_at") + gap_micros).alias("session_end"),
             F.sum("event_count").alias("event_count"),
             F.sum("purchase_count").alias("purchase_count"),
-            money(F.sum("money_units")).alias("total_revenue"),
+            money(F.sum("exact"), F.sum("odd")).alias("total_revenue"),
         )
         .select(*SESSION_COLUMNS)
     )
@@ -68,7 +69,7 @@ def stream_sessions(
         .agg(
             F.count("*").alias("event_count"),
             F.sum(F.col("is_purchase").cast("int")).alias("purchase_count"),
-            money(F.sum(money_units(F.col("revenue")))).alias("total_revenue"),
+            money_sum(F.col("revenue")).alias("total_revenue"),
         )
         .select(
             "user_id",

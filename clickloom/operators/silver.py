@@ -8,8 +8,9 @@ distinct counts are what makes cells hard at scale, so there are three plans:
                   so a cell holding a third of all events still spreads over
                   all tasks; the second shuffle carries partial counts only.
 ``sliding_cells`` The same counts for overlapping windows. Events are first
-                  reduced to panes one step wide; only counts per pane are
-                  copied into the windows that cover them, never the values.
+                  reduced to panes, the spans between which no window starts or
+                  ends; only what a pane adds is copied into the windows that
+                  cover it, never the values.
 ``stream_cells``  Streams refuse ``countDistinct``. Two chained window
                   aggregates count exactly without ever holding a set: the
                   first keeps one row per cell and distinct value, the second
@@ -18,13 +19,14 @@ distinct counts are what makes cells hard at scale, so there are three plans:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import money, money_units
-from clickloom.functions.intervals import floor_micros, interval_micros
+from clickloom.functions.columns import exact_amount, money, odd_amount
+from clickloom.functions.intervals import floor_micros, interval_length
 
 CELL_KEYS = ("event_type", "event_date", "device_type", "funnel_stage")
 
@@ -37,8 +39,9 @@ DISTINCT_COUNTS = {
 # Additive measures of a single event; each merges with the function next to it.
 _MEASURES = {
     "event_count": (F.sum, lambda: F.lit(1)),
-    "money_units": (F.sum, lambda: money_units(F.col("revenue"))),
-    "money_rows": (F.sum, lambda: money_units(F.col("revenue")).isNotNull().cast("int")),
+    "money_exact": (F.sum, lambda: exact_amount(F.col("revenue"))),
+    "money_odd": (F.sum, lambda: odd_amount(F.col("revenue"))),
+    "money_rows": (F.sum, lambda: F.col("revenue").isNotNull().cast("int")),
     "purchase_count": (F.sum, lambda: F.col("is_purchase").cast("int")),
     "add_to_cart_count": (F.sum, lambda: F.col("is_add_to_cart").cast("int")),
     "lag_sum": (F.sum, lambda: F.col("processing_lag_ms")),
@@ -82,61 +85,36 @@ def batch_cells(
 def sliding_cells(
     events: DataFrame, width: str = "5 minutes", step: str = "1 minute"
 ) -> DataFrame:
-    """Overlapping windows over a table of enriched events.
+    """Overlapping windows over a table of enriched events, of any width and step.
 
-    ``width`` must be a whole number of ``step``. A pane lies in width / step
-    windows. Sums of a pane count in all of them. A distinct value counts only
-    in those that its previous pane does not already lie in, which are the
-    latest ones, so no window counts it twice.
+    Windows start at the multiples of ``step``. The measures of a pane count in
+    all windows that cover it. A distinct value counts only in those that its
+    previous pane does not lie in, so no window counts it twice. Events are read
+    once and grouped once by pane, cell and value.
     """
-    step_micros = interval_micros(step)
-    windows = (interval_micros(width) / step_micros).cast("int")
-    pane = floor_micros(F.col("event_ts"), step_micros).alias("pane")
+    wide, apart = interval_length(width), interval_length(step)
+    pane = floor_micros(F.col("event_ts"), F.lit(math.gcd(wide, apart)))
     timed = events.filter(F.col("event_ts").isNotNull())
-
-    sums = (
-        timed.groupBy(pane, *CELL_KEYS)
-        .agg(*(merge(value()).alias(name) for name, (merge, value) in _MEASURES.items()))
-        .withColumn("reach", windows)
-    )
-
-    kinds = F.array(
-        *(
-            F.struct(F.lit(name).alias("kind"), F.col(c).alias("item"))
-            for name, c in DISTINCT_COUNTS.items()
-        )
-    )
-    values = (
-        timed.select(pane, *CELL_KEYS, F.inline(kinds))
-        .filter(F.col("item").isNotNull())
-        .distinct()
-    )
-    seen_before = F.lag("pane").over(
+    facts = _merge_facts(_facts(timed).groupBy(pane.alias("pane"), *CELL_KEYS, "kind", "item"))
+    earlier = F.lag("pane").over(
         Window.partitionBy(*CELL_KEYS, "kind", "item").orderBy("pane")
     )
-    new_in = F.least(
-        windows, F.coalesce(((F.col("pane") - seen_before) / step_micros).cast("int"), windows)
-    )
-    counts = (
-        values.withColumn("reach", new_in)
-        .groupBy("pane", *CELL_KEYS, "reach")
-        .agg(*(F.count_if(F.col("kind") == name).alias(name) for name in DISTINCT_COUNTS))
-    )
-
-    covered = F.explode(F.sequence(F.lit(0), F.col("reach") - 1))
-    start = F.col("pane") - F.col("back") * step_micros
-    cells = (
-        sums.unionByName(counts, allowMissingColumns=True)
-        .withColumn("back", covered)
-        .groupBy(start.alias("start"), *CELL_KEYS)
-        .agg(
-            *(merge(name).alias(name) for name, (merge, _) in _MEASURES.items()),
-            *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in DISTINCT_COUNTS),
-        )
+    # Windows that start later than this, up to the pane, take the row.
+    after = F.greatest(F.col("pane") - wide, F.when(F.col("kind").isNotNull(), F.col("earlier")))
+    first = F.col("after") - F.pmod(F.col("after"), F.lit(apart)) + apart
+    last = F.col("pane") - F.pmod(F.col("pane"), F.lit(apart))
+    cells = _count_facts(
+        facts.withColumn("earlier", earlier)
+        .withColumn("after", after)
+        .withColumn("first", first)
+        .withColumn("last", last)
+        .filter("first <= last")
+        .withColumn("start", F.explode(F.sequence("first", "last", F.lit(apart))))
+        .groupBy("start", *CELL_KEYS)
     )
     window = F.struct(
         F.timestamp_micros("start").alias("start"),
-        F.timestamp_micros(F.col("start") + interval_micros(width)).alias("end"),
+        F.timestamp_micros(F.col("start") + wide).alias("end"),
     )
     return _finish(cells.withColumn("window", window))
 
@@ -236,7 +214,7 @@ def _finish(cells: DataFrame) -> DataFrame:
 
     The averages run over the events that have a value.
     """
-    total = money(F.col("money_units"))
+    total = money(F.col("money_exact"), F.col("money_odd"))
     return cells.withColumns(
         {
             "total_revenue": total,

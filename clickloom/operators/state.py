@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import is_type, money, money_units
+from clickloom.functions.columns import exact_amount, is_type
 from clickloom.functions.intervals import floor_micros, interval_micros
 from clickloom.operators.bounds import fits_broadcast
 
@@ -31,11 +31,12 @@ def cart_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataF
     ``remove_from_cart`` shows the cart less the price, at least 0, but the cart
     itself stays as it was; that is how the event stream defines it.
     ``checkout_start`` shows the cart. Other events show null. A checkout
-    without a cart shows 0.
+    without a cart shows 0. A price that is no plain amount (NaN, infinite, over
+    1e15, finer than the money scale) adds nothing and takes nothing off.
     """
     added = F.when(
         is_type("add_to_cart"),
-        money_units(F.round(F.col("price") * F.col("quantity"), 2)),
+        exact_amount(F.round(F.col("price") * F.col("quantity"), 2)),
     )
     keys = ["session_id", "_slice"]
     earlier = Window.partitionBy(*keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
@@ -79,13 +80,13 @@ def cart_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataF
     inside = F.col("_sum") - F.coalesce(F.col("_emptied_at"), F.lit(0))
     carry = F.when(F.col("_emptied_at").isNull(), F.coalesce("_carry", F.lit(0))).otherwise(0)
     cart = inside + carry
-    price = F.coalesce(money_units(F.col("price")), F.lit(0))
+    price = F.coalesce(exact_amount(F.col("price")), F.lit(0))
     shown = (
         F.when(is_type("remove_from_cart"), F.greatest(cart - price, F.lit(0)))
         .when(is_type("add_to_cart", "checkout_start", "checkout_complete"), cart)
     )
     joined = _join_slices(scanned, carried, "session_id")
-    return joined.select(*events.columns, F.round(money(shown), 2).alias("running_cart"))
+    return joined.select(*events.columns, F.round(shown.cast("double"), 2).alias("running_cart"))
 
 
 def login_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

@@ -38,6 +38,7 @@ class JobOptions:
     min_partitions: int = _env("KAFKA_MIN_PARTITIONS", 0)
     source_path: str = _env("SOURCE_PATH", "")
     max_files_per_trigger: int = _env("MAX_FILES_PER_TRIGGER", 1_000)
+    fail_on_data_loss: bool = _env("KAFKA_FAIL_ON_DATA_LOSS", False)
 
     # Sinks
     table_format: str = _env("TABLE_FORMAT", "parquet")
@@ -52,11 +53,9 @@ class JobOptions:
 
     # Rules
     alert_purchase_threshold: float = _env("ALERT_PURCHASE_THRESHOLD", 500.0)
-    num_users: int = _env("NUM_USERS", 500)
 
-    # Pace of events written back to Kafka: one trigger per batch.
-    events_per_second: float = _env("EVENTS_PER_SECOND", 100.0)
-    batch_size: int = _env("BATCH_SIZE", 50)
+    # Time between triggers that write events back to Kafka.
+    replay_interval_ms: int = _env("REPLAY_INTERVAL_MS", 500)
 
     # Execution. Unset (0) keeps the value of the session.
     shuffle_partitions: int = _env("SHUFFLE_PARTITIONS", 0)
@@ -83,22 +82,25 @@ class JobOptions:
             require(bool(self.topic), "KAFKA_TOPIC must be set")
         else:
             require(bool(self.source_path), "SOURCE_PATH must be set for a file source")
-        require(self.max_offsets_per_trigger > 0, "max_offsets_per_trigger must be positive")
-        require(self.max_files_per_trigger > 0, "max_files_per_trigger must be positive")
+        require(self.max_offsets_per_trigger >= 0, "max_offsets_per_trigger must not be negative")
+        require(self.max_files_per_trigger >= 0, "max_files_per_trigger must not be negative")
         require(self.trigger_interval_secs > 0, "trigger_interval_secs must be positive")
         require(self.watermark_minutes >= 0, "watermark_minutes must not be negative")
         require(self.session_timeout_minutes > 0, "session_timeout_minutes must be positive")
         require(self.alert_purchase_threshold >= 0, "alert threshold must not be negative")
-        require(self.num_users > 0, "num_users must be positive")
-        require(self.events_per_second > 0, "events_per_second must be positive")
-        require(self.batch_size > 0, "batch_size must be positive")
+        require(self.replay_interval_ms > 0, "replay_interval_ms must be positive")
         require(self.shuffle_partitions >= 0, "shuffle_partitions must not be negative")
         require(self.env in ("local", "dev", "prod"), f"unknown ENV: {self.env}")
         return self
 
-    @property
-    def replay_interval_ms(self) -> int:
-        return max(1, round(1000 * self.batch_size / self.events_per_second))
+    def uncapped(self) -> JobOptions:
+        """The options of a backfill, whose triggers take all there is.
+
+        The caps (0 is none) pace a live job. A backfill would need millions of
+        triggers under them, and files that are not in the order of their events
+        would lose what a later file's watermark calls late.
+        """
+        return replace(self, max_offsets_per_trigger=0, max_files_per_trigger=0)
 
     @property
     def watermark(self) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,7 +122,11 @@ def _parse_valid(spark, sf_dir):
 def _corrupt(spark, sf_dir):
     records = corrupt_records(_parsed(spark, sf_dir), fixture.clock())
     # The text of an event differs between engines; its event type does not.
+    # The digest is of the whole text if it is no JSON, else of some of its fields.
+    fields = [F.get_json_object("raw_json", f"$.{c}") for c in ("user_id", "session_id", "ip_address")]
+    whole = F.when(fields[0].isNull(), F.col("raw_json")).otherwise(F.concat_ws("|", *fields))
     return records.select(
+        F.md5(whole.cast("binary")).alias("raw_digest"),
         F.get_json_object("raw_json", "$.event_type").alias("event_type"),
         (F.col("raw_json") == "not json {{").alias("is_broken"),
         "kafka_timestamp",
@@ -182,6 +187,12 @@ def _sliding_5m(spark, sf_dir):
     return silver.sliding_cells(_events(spark, sf_dir), "5 minutes", "1 minute")
 
 
+@query("sliding_5m_2m")
+def _sliding_5m_2m(spark, sf_dir):
+    """A width that is no multiple of the step."""
+    return silver.sliding_cells(_events(spark, sf_dir), "5 minutes", "2 minutes")
+
+
 @query("sliding_12h")
 def _sliding_12h(spark, sf_dir):
     return silver.sliding_cells(_events(spark, sf_dir), "12 hours", "3 hours")
@@ -267,17 +278,16 @@ def _dated(flat: DataFrame) -> DataFrame:
 
 def _corrections(flat: DataFrame) -> DataFrame:
     """Resent events as corrections, the odd ones older than what is stored."""
-    late = F.col("n") % 2 == 1
-    fixed = _dated(flat.filter("resent"))
-    versions = flat.filter("resent").select(
-        F.col("event_id").alias("_id"), F.when(late, 0).otherwise(2).alias("_version")
-    )
-    return (
-        fixed.join(versions, fixed.event_id == versions["_id"])
-        .withColumn("version", F.col("_version"))
-        .withColumn("event_type", F.lit("corrected"))
-        .drop("_id", "_version")
+    resent = flat.filter("resent").withColumns(
+        {
+            "version": F.when(F.col("n") % 2 == 1, 0).otherwise(2),
+            "event_type": F.lit("corrected"),
+        }
     )
+    return resent.select(
+        "event_id", "event_type", "user_id", "cart_value", "version",
+        F.to_date("event_ts").alias("event_date"),
+    )
 
 
 @query("upsert_latest")
@@ -289,13 +299,18 @@ def _upsert_latest(spark, sf_dir):
 
 @query("upsert_into_table")
 def _upsert_into_table(spark, sf_dir):
-    """The same merge in place, applied twice: the second time changes nothing."""
+    """The same merge in place, applied twice: the second time changes nothing.
+
+    Some events have no date, and the corrections bring a column of their own.
+    """
     flat = _flat(spark, sf_dir)
+    undated = F.when(F.substring("event_id", -1, 1) != "3", F.col("event_date"))
     path = f"{fresh_dir(spark, 'upsert')}/events"
-    write_table(_dated(flat), path)
+    write_table(_dated(flat).withColumn("event_date", undated), path)
+    fixes = _corrections(flat).withColumn("event_date", undated).withColumn("fixed_by", F.lit("ops"))
     apply = dedup.upsert_each_batch(path, order="version")
     for batch_id in (0, 1):
-        apply(_corrections(flat), batch_id)
+        apply(fixes, batch_id)
     return read_table(spark, path)
 
 
@@ -318,7 +333,7 @@ def _login_states(spark, sf_dir):
 
 @query("catalog_lookup")
 def _catalog_lookup(spark, sf_dir):
-    found = lookup(_flat(spark, sf_dir), fixture.catalog(spark, sf_dir))
+    found = lookup(_flat(spark, sf_dir), fixture.doubled_catalog(spark, sf_dir))
     return found.select(
         "event_id", "product_id", "catalog_name", "catalog_category", "catalog_price"
     )
@@ -327,7 +342,7 @@ def _catalog_lookup(spark, sf_dir):
 @query("catalog_lookup_large")
 def _catalog_lookup_large(spark, sf_dir):
     """The lookup as planned for a catalog above the broadcast bound."""
-    products = fixture.catalog(spark, sf_dir)
+    products = fixture.doubled_catalog(spark, sf_dir)
     found = lookup(_flat(spark, sf_dir), products, max_rows=0)
     return found.select(
         "event_id", "product_id", "catalog_name", "catalog_category", "catalog_price"
@@ -397,8 +412,25 @@ def _quality(spark, sf_dir):
     digest = F.md5(F.col("event_id").cast("binary"))
     parts = [F.substring(digest, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     delivered = lookup(_wire(fixture.with_resent(_flat(spark, sf_dir))), products)
+    spoiled = {
+        name: F.when(F.col("n") % 20 == at, wrong).otherwise(F.col(name)).alias(name)
+        for name, (at, wrong) in {
+            "device_type": (5, F.lit("tv")),
+            "page_url": (6, F.lit("")),
+            "price": (7, -F.col("price")),
+            "cart_value": (8, -F.col("cart_value")),
+            "quantity": (9, F.col("quantity") + 9),
+            "payment_method": (10, F.lit("cash")),
+            "search_query": (11, F.lit("")),
+        }.items()
+    }
     wire = delivered.select(
-        *(c for c in fixture.WIRE_FIELDS if c not in ("event_id", "user_id", "session_id")),
+        "n",
+        *(
+            spoiled.get(c, c)
+            for c in fixture.WIRE_FIELDS
+            if c not in ("event_id", "user_id", "session_id")
+        ),
         F.when(F.col("fault").isNull(), F.concat_ws("-", *parts))
         .otherwise(F.col("event_id"))
         .alias("event_id"),
@@ -408,9 +440,16 @@ def _quality(spark, sf_dir):
         .otherwise(F.col("event_timestamp"))
         .alias("event_timestamp"),
         F.col("catalog_name").alias("product_name"),
-        F.col("catalog_category").alias("category"),
+        F.when(F.col("n") % 20 == 12, "OTHER").otherwise(F.col("catalog_category")).alias("category"),
+    )
+    # Some of the texts are cut off, some have a field without a value.
+    text = serialize.event_json()
+    sent = (
+        F.when(F.col("n") % 20 == 13, F.substring(text, 1, 5))
+        .when(F.col("n") % 20 == 14, F.concat(F.lit('{"no_field":null,'), F.substr(text, F.lit(2))))
+        .otherwise(text)
     )
-    return quality_report(wire, products, MAX_USERS, PART_TYPES)
+    return quality_report(wire.withColumn("event_json", sent), products, MAX_USERS, PART_TYPES)
 
 
 # --- Streams -----------------------------------------------------------------------
@@ -431,9 +470,18 @@ def _stream_silver_6h(spark, sf_dir):
 
 @query("stream_silver_approx")
 def _stream_silver_approx(spark, sf_dir):
-    """The exact columns of the approximate cells; tests bound the others."""
+    """The approximate cells; of the distinct counts, whether they are near the exact ones."""
     cells = silver.stream_cells_approx(_event_stream(spark, sf_dir), "6 hours")
-    return _drain(cells, "silver_approx").drop(*silver.DISTINCT_COUNTS)
+    found = _drain(cells, "silver_approx")
+    exact = silver.batch_cells(_events(spark, sf_dir), "6 hours")
+    keys = (*silver.CELL_KEYS, "window_start")
+    names = silver.DISTINCT_COUNTS
+    exact = exact.select(*keys, *(F.col(c).alias(f"exact_{c}") for c in names))
+    return found.join(exact, list(keys)).select(
+        *(c for c in found.columns if c not in names),
+        *((F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.2 * F.col(f"exact_{c}")).alias(f"{c}_near")
+          for c in names),
+    )
 
 
 @query("stream_event_totals")
@@ -467,14 +515,54 @@ def _stream_sessions_12h(spark, sf_dir):
     return _drain(stream_sessions(_event_stream(spark, sf_dir), TEST_GAP), "sessions")
 
 
+def _by_file(frame: DataFrame, part, name: str) -> DataFrame:
+    """``frame`` as a stream of files in the order of ``part``, one per micro-batch."""
+    spark = frame.sparkSession
+    path = f"{fresh_dir(spark, name)}/in"
+    fixture.ordered_files(frame, part, path)
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _sent_by_file(flat: DataFrame, name: str) -> DataFrame:
+    """The messages of click events as a stream of files by their ``part``."""
+    return _by_file(fixture.messages(flat, "part"), F.col("part"), name)
+
+
 @query("stream_dedup")
 def _stream_dedup(spark, sf_dir):
-    flat = fixture.clicks(fixture.events_stream(spark, sf_dir))
-    delivered = fixture.with_resent(flat).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    once = dedup.dedup_stream(delivered, position=["n", "delivery"])
+    """Resent events over several files, some of them without a readable time.
+
+    The second copy comes a file later if its first is at a file's end; here the
+    copies of an event arrive within one file and the next.
+    """
+    flat = fixture.in_parts(spark, _flat(spark, sf_dir))
+    unreadable = F.col("n") % 4 == 1
+    delivered = fixture.with_resent(flat).withColumns(
+        {
+            "kafka_timestamp": F.col("event_ts").cast("timestamp"),
+            "event_ts": F.when(~unreadable, F.col("event_ts").cast("timestamp")),
+        }
+    )
+    again = F.col("part") + F.when(unreadable & (F.col("delivery") == 2), 1).otherwise(0)
+    stream = _by_file(delivered, again, "dedup_files")
+    once = dedup.dedup_stream(stream, watermark="90 days", position=["n", "delivery"])
     return _drain(once.select("event_id", "event_type", "user_id", "event_ts"), "dedup")
 
 
+@query("stream_late")
+def _stream_late(spark, sf_dir):
+    """Cells over ordered files in which some events come three files late and are dropped.
+
+    Spark drops by the watermark of the micro-batch before, which two files before
+    the late one have moved past the event.
+    """
+    flat = fixture.in_parts(spark, _flat(spark, sf_dir))
+    part = F.col("part") + F.when(F.expr(fixture.LATE), 3).otherwise(0)
+    stream = _sent_by_file(flat.withColumn("part", part), "late_files")
+    events = enrich(valid_events(parse_messages(stream), fixture.clock()))
+    return _drain(silver.stream_cells(events, "1 minute"), "late_cells")
+
+
 @query("stream_bronze")
 def _stream_bronze(spark, sf_dir):
     return _drain(_event_stream(spark, sf_dir), "bronze", ("event_date",))
@@ -491,18 +579,40 @@ def _stream_lookup(spark, sf_dir):
     return _drain(found.select("event_id", "product_id", "catalog_name", "catalog_price"), "lookup")
 
 
+@query("stream_job_from_bronze")
+def _stream_job_from_bronze(spark, sf_dir):
+    """The job with analytics fed by bronze, over many files with a small cap.
+
+    One row per table: its rows, and for the cells their events.
+    """
+    options = replace(_run_options(spark, "job_from_bronze"), analytics_from_bronze=True)
+    flat = fixture.in_parts(spark, _flat(spark, sf_dir))
+    job.backfill(_sent_by_file(flat, "job_files"), options)
+    bronze = read_table(spark, options.bronze_path).agg(
+        F.lit("bronze").alias("table_name"), F.count("*").alias("rows"), F.count("*").alias("events")
+    )
+    cells = read_table(spark, options.silver_agg_path).agg(
+        F.lit("silver_agg"), F.count("*"), F.sum("event_count")
+    )
+    return bronze.union(cells)
+
+
 @query("stream_job")
 def _stream_job(spark, sf_dir):
     """Run the whole job twice on one checkpoint; rows per table it wrote."""
     options = _run_options(spark, "job")
     for _ in range(2):
         job.backfill(_message_stream(spark, sf_dir), options)
+        alerts = sinks.write_alert_table(_event_stream(spark, sf_dir), options, available_now=True)
+        alerts.awaitTermination()
     tables = {
         "bronze": options.bronze_path,
         "corrupt": options.corrupt_path,
         "rejected": options.rejected_path,
         "dead_letters": options.table("dead_letters"),
         "silver_agg": options.silver_agg_path,
+        "silver_sessions": options.silver_sessions_path,
+        "alerts": options.alerts_path,
     }
     counts = [
         read_table(spark, path).agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
@@ -516,9 +626,11 @@ def _stream_job(spark, sf_dir):
 
 @query("stream_progress")
 def _stream_progress(spark, sf_dir):
-    """Progress reports of a run, with the routing counts it observed."""
+    """Input rows and observed routes of a run, added up over all its micro-batches."""
     options = _run_options(spark, "progress")
-    routed = observe_routes(parse_messages(_message_stream(spark, sf_dir)))
+    metrics.keep_progress(spark, 10_000)
+    flat = fixture.in_parts(spark, _flat(spark, sf_dir))
+    routed = observe_routes(parse_messages(_sent_by_file(flat, "progress_files")))
     run = sinks.to_table(
         routed.select("kafka_offset", "route", "reject_reason"),
         "routes",
@@ -527,4 +639,4 @@ def _stream_progress(spark, sf_dir):
         available_now=True,
     )
     run.awaitTermination()
-    return metrics.progress_frame(spark, [run])
+    return metrics.route_totals(metrics.progress_frame(spark, [run])).drop("batches")

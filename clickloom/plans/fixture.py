@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.sources.messages import spread
-
 EVENTS_SCHEMA = """
     event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
     value DOUBLE, props STRING
@@ -46,7 +44,13 @@ CLICK_COLUMNS = {
     "price": "CASE WHEN event_type IN ('view', 'click') AND k % 4 <> 0 THEN value END",
     "quantity": "CASE WHEN event_type = 'click' AND k % 4 = 1 THEN 1 + k % 5 END",
     "search_query": "CASE WHEN event_type = 'click' AND k % 4 = 0 THEN 'running shoes' END",
-    "cart_value": """CASE WHEN event_type IN ('click', 'purchase')
+    # A few purchases have amounts beyond, or finer than, any money.
+    "cart_value": """CASE WHEN event_type = 'purchase' AND event_id % 61 = 5
+            THEN cast('9.3e14' AS double)
+        WHEN event_type = 'purchase' AND event_id % 61 = 6 THEN cast('1.0e18' AS double)
+        WHEN event_type = 'purchase' AND event_id % 61 = 7 THEN cast('0.00001' AS double)
+        WHEN event_type = 'purchase' AND event_id % 997 = 8 THEN cast('NaN' AS double)
+        WHEN event_type IN ('click', 'purchase')
         AND (event_type = 'purchase' OR k % 4 IN (1, 2)) THEN value * 2 END""",
     "order_id": """CASE WHEN event_type = 'purchase' AND k % 2 = 0
         THEN concat('ORD-', cast(event_id AS varchar(20))) END""",
@@ -88,7 +92,7 @@ CATALOG_SQL = select_sql(CATALOG_COLUMNS, "part")
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +116,41 @@ def with_resent(flat: DataFrame) -> DataFrame:
     return flat.withColumn("delivery", F.explode(copies))
 
 
+PARTS = 12
+LATE = "n % 10 = 7 AND part < 9"
+
+
+def in_parts(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Add ``part``: which twelfth of the time the events span an event falls into."""
+    low, high = events.agg(F.min(F.unix_micros(_utc())), F.max(F.unix_micros(_utc()))).first()
+    part = F.floor((F.unix_micros(_utc()) - low) * PARTS / F.lit(high - low + 1))
+    return events.withColumn("part", part.cast("int"))
+
+
+def _utc() -> Column:
+    return F.col("event_ts").cast("timestamp")
+
+
+def ordered_files(frame: DataFrame, part: Column, path: str) -> None:
+    """Write ``frame`` as one file per part, in the order of the parts.
+
+    A file stream takes files by the time they were written.
+    """
+    parts = frame.withColumn("_part", part)
+    for i in range(PARTS + 3):
+        one = parts.filter(F.col("_part") == i).drop("_part")
+        one.coalesce(1).write.mode("append").parquet(path)
+
+
+def doubled_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog with some products a second time, under a later name."""
+    products = catalog(spark, sf_dir)
+    second = products.filter(F.col("product_id").endswith("7")).withColumn(
+        "product_name", F.concat("product_name", F.lit(" (copy)"))
+    )
+    return products.unionByName(second)
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return part.selectExpr(*(f"{sql} AS {name}" for name, sql in CATALOG_COLUMNS.items()))
@@ -122,8 +161,11 @@ def event_timestamp() -> Column:
     return F.concat(F.date_format("event_ts", WIRE_TIME), F.lit("+00:00"))
 
 
-def messages(flat: DataFrame) -> DataFrame:
-    """Each click event as the message that carries it, faults applied."""
+def messages(flat: DataFrame, *more: str) -> DataFrame:
+    """Each click event as the message that carries it, faults applied.
+
+    ``more`` names columns to keep beside the message.
+    """
 
     def unless(fault: str, value: Column) -> Column:
         return F.when(~F.col("fault").eqNullSafe(fault), value)
@@ -143,6 +185,7 @@ def messages(flat: DataFrame) -> DataFrame:
         F.col("n").alias("offset"),
         F.col("event_ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        *more,
     )
 
 

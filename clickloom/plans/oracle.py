@@ -1,22 +1,21 @@
 """The results the queries must have, as SQL that DuckDB runs on the same tables.
 
 The SQL starts from the click events in columns and never sees a message, so it
-checks parsing and routing too. Amounts are whole ten-thousandths until the end,
-because sums of doubles depend on the order of rows.
+checks parsing and routing too. Amounts are decimals until the end, because sums
+of doubles depend on the order of rows; amounts that are none are added as doubles.
 """
 
 from __future__ import annotations
 
 from clickloom.plans.fixture import CATALOG_SQL, FLAT_SQL, WIRE_FIELDS
 
-MONEY = "CAST(10000 AS DOUBLE)"
 INGESTED = "event_ts + to_seconds(n % 7)"
 WIRE_TIME = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
 CLOSED = "(SELECT max(event_ts) - INTERVAL '5 minutes' FROM valid)"
 
 
 def _units(amount: str) -> str:
-    return f"CAST(round(({amount}) * 10000) AS BIGINT)"
+    return f"CAST({amount} AS DECIMAL(20,4))"
 
 
 WITH = f"""
@@ -64,7 +63,10 @@ EVENT_COLUMNS = """event_id, event_type, event_timestamp, user_id, session_id, d
 ENRICHED_COLUMNS = f"""{EVENT_COLUMNS}, event_date, event_hour, event_minute, is_purchase,
   is_add_to_cart, revenue, funnel_stage, processing_lag_ms"""
 
-TOTAL_REVENUE = f"CAST(CAST(sum({_units('revenue')}) AS BIGINT) AS DOUBLE) / {MONEY}"
+_PLAIN = "(abs(revenue) < 1e15 AND round(revenue, 4) = revenue)"
+TOTAL_REVENUE = f"""CASE WHEN count(revenue) > 0 THEN
+    coalesce(CAST(sum(CASE WHEN {_PLAIN} THEN CAST(revenue AS DECIMAL(20,4)) END) AS DOUBLE), 0)
+    + coalesce(sum(CASE WHEN NOT {_PLAIN} THEN revenue END), 0) END"""
 
 
 def _cells(width: str, step: str | None = None, per_event: int = 1, where: str = "") -> str:
@@ -124,13 +126,13 @@ steps AS (
 carts AS (
   SELECT *, CAST(sum(added) OVER (
       PARTITION BY session_id, coalesce(epoch, 0) ORDER BY event_ts, event_id
-      ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cart
+      ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,4)) AS cart
   FROM steps)
 SELECT event_id, session_id, event_type, event_ts,
   round(CAST(CASE
     WHEN event_type = 'remove_from_cart' THEN greatest(cart - {_units('price')}, 0)
     WHEN event_type IN ('add_to_cart', 'checkout_start', 'checkout_complete') THEN cart
-  END AS DOUBLE) / {MONEY}, 2) AS running_cart
+  END AS DOUBLE), 2) AS running_cart
 FROM carts"""
 
 LOGIN = f"""{WITH}
@@ -161,6 +163,18 @@ SELECT event_id,
   CAST(event_ts AS DATE) AS event_date
 FROM flat"""
 
+UPSERTED_TABLE = UPSERTED.replace(
+    "CAST(event_ts AS DATE) AS event_date",
+    """CASE WHEN n % 10 <> 3 THEN CAST(event_ts AS DATE) END AS event_date,
+  CASE WHEN resent AND n % 2 = 0 THEN 'ops' END AS fixed_by""",
+)
+
+# The parts of the fixture: twelfths of the time the events span.
+PARTED = """parted AS (
+  SELECT *, CAST((epoch_us(event_ts) - (SELECT min(epoch_us(event_ts)) FROM flat)) * 12
+    // ((SELECT max(epoch_us(event_ts)) - min(epoch_us(event_ts)) FROM flat) + 1) AS INTEGER) AS part
+  FROM valid)"""
+
 _FIELDS_SENT = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in WIRE_FIELDS)
 
 # Rule -> (events it applies to, what must hold for them).
@@ -196,11 +210,8 @@ _RULES = {
     "page_url_set": ("true", "page_url <> ''"),
     "price_positive": ("price IS NOT NULL", "price > 0"),
     "cart_value_not_negative": ("cart_value IS NOT NULL", "cart_value >= 0"),
-    "json_round_trip": (
-        "true",
-        "json_extract_string(to_json({'event_id': event_id}), '$.event_id') = event_id",
-    ),
-    "json_without_nulls": ("true", "true"),
+    "json_round_trip": ("true", "n % 20 <> 13 OR event_id IS NULL"),
+    "json_without_nulls": ("true", "n % 20 NOT IN (13, 14)"),
 }
 
 _RULE_ROWS = "\nUNION ALL ".join(
@@ -221,8 +232,15 @@ q AS (
     CASE WHEN fault = 'no_user_id' THEN '' ELSE user_id END AS user_id,
     CASE WHEN fault = 'no_session_id' THEN NULL ELSE session_id END AS session_id,
     CASE WHEN fault = 'broken_json' THEN 'yesterday' ELSE {WIRE_TIME} END AS event_timestamp,
-    device_type, page_url, d.product_id, d.price, quantity, search_query, cart_value, order_id,
-    payment_method, c.category, c.price AS catalog_price
+    n, d.product_id, order_id, c.price AS catalog_price,
+    CASE WHEN n % 20 = 5 THEN 'tv' ELSE device_type END AS device_type,
+    CASE WHEN n % 20 = 6 THEN '' ELSE page_url END AS page_url,
+    CASE WHEN n % 20 = 7 THEN -d.price ELSE d.price END AS price,
+    CASE WHEN n % 20 = 8 THEN -cart_value ELSE cart_value END AS cart_value,
+    CASE WHEN n % 20 = 9 THEN quantity + 9 ELSE quantity END AS quantity,
+    CASE WHEN n % 20 = 10 THEN 'cash' ELSE payment_method END AS payment_method,
+    CASE WHEN n % 20 = 11 THEN '' ELSE search_query END AS search_query,
+    CASE WHEN n % 20 = 12 THEN 'OTHER' ELSE c.category END AS category
   FROM delivered d LEFT JOIN catalog c ON d.product_id = c.product_id)
 SELECT rule, CAST(checked AS BIGINT) AS checked, CAST(failed AS BIGINT) AS failed FROM (
 {_RULE_ROWS}
@@ -239,12 +257,26 @@ SELECT 'bronze' AS table_name, count(*) AS row_count FROM valid
 UNION ALL SELECT 'corrupt', count(*) FROM routed WHERE route = 'corrupt'
 UNION ALL SELECT 'rejected', count(*) FROM routed WHERE route = 'rejected'
 UNION ALL SELECT 'dead_letters', count(*) FROM routed WHERE route <> 'valid'
-UNION ALL SELECT 'silver_agg', count(*) FROM closed"""
+UNION ALL SELECT 'silver_agg', count(*) FROM closed
+UNION ALL SELECT 'silver_sessions', (SELECT count(*) FROM (
+    SELECT max(event_ts) + INTERVAL '30 minutes' AS session_end FROM (
+      SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS number
+      FROM (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY user_id ORDER BY event_ts)
+              <= INTERVAL '30 minutes' THEN 0 ELSE 1 END AS starts FROM valid))
+    GROUP BY user_id, number) WHERE session_end <= {CLOSED})
+UNION ALL SELECT 'alerts', count(*) FROM valid WHERE is_purchase AND coalesce(cart_value, 0) >= 500"""
+
+JOB_FROM_BRONZE = f"""{_cells('1 minute').rsplit('SELECT * FROM cells', 1)[0]}
+SELECT 'bronze' AS table_name, count(*) AS rows, count(*) AS events FROM valid
+UNION ALL SELECT 'silver_agg', count(*), CAST(sum(event_count) AS BIGINT)
+FROM cells WHERE window_end <= {CLOSED}"""
 
 ORACLES: dict[str, str] = {
     "parse_valid": f"{WITH} SELECT {EVENT_COLUMNS} FROM valid",
     "corrupt_records": f"""{WITH}
-SELECT CASE WHEN fault <> 'broken_json' THEN event_type END AS event_type,
+SELECT md5(CASE WHEN fault = 'broken_json' THEN 'not json {{{{'
+    ELSE user_id || '|' || session_id || '|' || ip_address END) AS raw_digest,
+  CASE WHEN fault <> 'broken_json' THEN event_type END AS event_type,
   fault = 'broken_json' AS is_broken, event_ts AS kafka_timestamp,
   CAST(n % 6 AS INTEGER) AS "partition", n AS "offset", {INGESTED} AS _corrupt_ts
 FROM routed WHERE route = 'corrupt'""",
@@ -276,6 +308,9 @@ FROM flat e LEFT JOIN catalog c ON e.product_id = c.product_id""",
     "silver_agg_1m": _cells("1 minute"),
     "silver_agg_6h": _cells("6 hours"),
     "sliding_5m": _cells("5 minutes", "1 minute", 5),
+    "sliding_5m_2m": _cells("5 minutes", "2 minutes", 3, "WHERE true")
+    .replace("FROM starts GROUP BY ALL",
+             "FROM starts WHERE event_ts < window_start + INTERVAL '5 minutes' GROUP BY ALL"),
     "sliding_12h": _cells("12 hours", "3 hours", 4),
     "sessions": _sessions("12 hours"),
     "sessions_30m": _sessions("30 minutes"),
@@ -305,7 +340,7 @@ SELECT user_id, count(DISTINCT session_id) AS session_count FROM valid GROUP BY
     "silver_read": _cells("1 minute"),
     "dedup_events": f"{WITH} SELECT event_id, event_type, user_id, event_ts, 1 AS delivery FROM flat",
     "upsert_latest": UPSERTED,
-    "upsert_into_table": UPSERTED,
+    "upsert_into_table": UPSERTED_TABLE,
     "cart_state": CART,
     "login_state": LOGIN,
     "catalog_lookup": LOOKUP,
@@ -327,13 +362,25 @@ FROM routed WHERE route <> 'valid'""",
     "stream_silver_6h": _cells("6 hours", where=f"WHERE window_end <= {CLOSED}"),
     "stream_silver_approx": _cells("6 hours", where=f"WHERE window_end <= {CLOSED}").replace(
         "SELECT * FROM cells",
-        "SELECT * EXCLUDE (unique_users, unique_sessions, unique_products_viewed) FROM cells",
+        """SELECT * EXCLUDE (unique_users, unique_sessions, unique_products_viewed),
+  true AS unique_users_near, true AS unique_sessions_near, true AS unique_products_viewed_near
+FROM cells""",
     ),
     "stream_event_totals": f"""{WITH}
 SELECT event_type, count(*) AS event_count FROM valid GROUP BY event_type""",
     "stream_sliding": _cells("5 minutes", "1 minute", 5, f"WHERE window_end <= {CLOSED}"),
     "stream_sessions": _sessions("12 hours", f"WHERE session_end <= {CLOSED}"),
-    "stream_dedup": f"{WITH} SELECT event_id, event_type, user_id, event_ts FROM flat",
+    "stream_dedup": f"""{WITH}
+SELECT event_id, event_type, user_id, CASE WHEN n % 4 <> 1 THEN event_ts END AS event_ts FROM flat""",
+    "stream_late": _cells("1 minute", where=f"WHERE window_end <= {CLOSED}")
+    .replace(",\nstarts AS (", f",\n{PARTED},\nstarts AS (")
+    .replace("FROM valid v CROSS JOIN", "FROM (SELECT * FROM parted WHERE NOT (n % 10 = 7 AND part < 9)) v CROSS JOIN"),
+    "stream_job_from_bronze": JOB_FROM_BRONZE,
+    "stream_progress": f"""{WITH}
+SELECT 'routes' AS query, count(*) AS input_rows, count(*) AS total,
+  count_if(route = 'valid')::BIGINT AS valid, count_if(route = 'corrupt')::BIGINT AS corrupt,
+  count_if(route = 'rejected')::BIGINT AS rejected
+FROM routed""",
     "stream_bronze": BRONZE,
     "stream_alerts": ALERTS,
     "stream_lookup": f"""{WITH}

@@ -81,8 +81,6 @@ CATEGORIES = (
 
 DEVICE_TYPES = ("desktop", "mobile", "tablet")
 
-BROWSERS = ("Chrome", "Firefox", "Safari", "Edge", "Samsung Internet")
-
 PAYMENT_METHODS = ("credit_card", "paypal", "apple_pay", "google_pay", "debit_card")
 
 USER_PREFIX = "U-"

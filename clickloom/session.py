@@ -81,27 +81,16 @@ def build_session(options: JobOptions | None = None, master: str | None = None)
     return builder.getOrCreate()
 
 
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-INITIAL_PARTITIONS_PER_CORE = 8
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built.
 
-    Without a shuffle width of its own, the session gets one partition per core
-    for streams (each is a state store), and many small ones for batch, which
-    adaptive execution then joins by their measured size.
+    The shuffle width stays what the session has: it fixes the state stores of a
+    stream for the life of its checkpoint, and only the caller knows the cluster.
     """
     for name, value in REQUIRED.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
     already_set = spark.conf.getAll
-    if SHUFFLE_PARTITIONS not in already_set:
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(SHUFFLE_PARTITIONS, str(cores))
-        if INITIAL_PARTITIONS not in already_set:
-            spark.conf.set(INITIAL_PARTITIONS, str(cores * INITIAL_PARTITIONS_PER_CORE))
     for name, value in PREFERRED.items():
         if name not in already_set:
             spark.conf.set(name, value)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,18 +12,6 @@ from clickloom.schema import ENVELOPE_SCHEMA
 # Fixed values of the consumer.
 SESSION_TIMEOUT_MS = 30_000
 HEARTBEAT_INTERVAL_MS = 10_000
-TOPIC_PARTITIONS = 6
-
-
-def spread(frame: DataFrame) -> DataFrame:
-    """Give every core a share of a table that reads in fewer tasks than cores.
-
-    Parsing is bound by the processor, and a file that cannot be split would
-    leave it to one core. A table with a task for every core is left alone, so
-    nothing large is ever shuffled for this.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
 
 
 def kafka_settings(options: JobOptions) -> dict[str, str]:
@@ -41,12 +27,13 @@ def kafka_settings(options: JobOptions) -> dict[str, str]:
         "kafka.bootstrap.servers": options.bootstrap_servers,
         "subscribe": options.topic,
         "startingOffsets": options.starting_offsets,
-        "maxOffsetsPerTrigger": str(options.max_offsets_per_trigger),
         "groupIdPrefix": options.consumer_group,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(options.fail_on_data_loss).lower(),
         "kafka.session.timeout.ms": str(SESSION_TIMEOUT_MS),
         "kafka.heartbeat.interval.ms": str(HEARTBEAT_INTERVAL_MS),
     }
+    if options.max_offsets_per_trigger:
+        settings["maxOffsetsPerTrigger"] = str(options.max_offsets_per_trigger)
     if options.min_partitions:
         settings["minPartitions"] = str(options.min_partitions)
     return settings
@@ -78,22 +65,12 @@ def read_messages(spark: SparkSession, options: JobOptions) -> DataFrame:
 
 def read_message_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Envelope files as a table, for backfills."""
-    return spread(spark.read.format(fmt).schema(ENVELOPE_SCHEMA).load(path))
+    return spark.read.format(fmt).schema(ENVELOPE_SCHEMA).load(path)
 
 
 def message_frame(
-    spark: SparkSession, payloads: Iterable[dict | str | bytes | None], topic: str = "clickstream-events"
+    spark: SparkSession, rows: Iterable[tuple], topic: str = "clickstream-events"
 ) -> DataFrame:
-    """A small static envelope frame; dicts become JSON, the rest goes in raw."""
-    arrived = datetime.now(timezone.utc)
-
-    def value(payload) -> bytes | None:
-        if isinstance(payload, dict):
-            payload = json.dumps(payload)
-        return payload.encode() if isinstance(payload, str) else payload
-
-    rows = [
-        (f"U-USER{i:04d}".encode(), value(p), topic, i % TOPIC_PARTITIONS, i, arrived, 0)
-        for i, p in enumerate(payloads)
-    ]
-    return spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+    """A static envelope frame from (key, value, partition, offset, timestamp) rows."""
+    full = [(key, value, topic, part, at, time, 0) for key, value, part, at, time in rows]
+    return spark.createDataFrame(full, ENVELOPE_SCHEMA)

@@ -17,8 +17,11 @@ def read_table(
     first_date: date | str | None = None,
     last_date: date | str | None = None,
 ) -> DataFrame:
-    """A table by path; the dates prune the ``event_date`` partitions scanned."""
-    table = spark.read.format(fmt).load(path)
+    """A table by path; the dates prune the ``event_date`` partitions scanned.
+
+    Columns that later files have and earlier ones lack are in the result.
+    """
+    table = spark.read.option("mergeSchema", "true").format(fmt).load(path)
     if first_date is not None:
         table = table.filter(F.col("event_date") >= F.lit(first_date).cast("date"))
     if last_date is not None:
@@ -32,9 +35,12 @@ def follow_table(
     schema: StructType,
     partition_by: Sequence[str] = ("event_date",),
     fmt: str = "parquet",
-    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A table as a stream of the rows appended to it.
+    """A table as a stream of the rows appended to it, whole commits at a time.
+
+    A commit holds files of many dates in no order. A cap on files would cut it,
+    and the watermark of a later date in one part would drop the other part as
+    late; so there is none, and a trigger takes all commits that are there.
 
     Files come back with the partition columns last. A stream started on a table
     that is still empty cannot find that out by itself and would mix up columns,
@@ -44,8 +50,6 @@ def follow_table(
     if fmt != "delta":
         inner = [f for f in schema if f.name not in partition_by]
         reader = reader.schema(StructType([*inner, *(schema[c] for c in partition_by)]))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 

@@ -66,7 +66,7 @@ def start_all(
     With ``options.analytics_from_bronze`` only the ingest sinks read messages.
     Cells, sessions and alerts follow the bronze table, where the events are
     already parsed and each query reads just the columns it needs. They trail
-    bronze by one trigger.
+    bronze by one trigger and take whole commits, however large.
     """
     queries = start_ingest(raw, options, available_now)
     if options.analytics_from_bronze:
@@ -79,7 +79,6 @@ def start_all(
             options.bronze_path,
             schema,
             fmt=options.table_format,
-            max_files_per_trigger=options.max_files_per_trigger,
         )
     else:
         events = enrich(valid_events(parse_messages(raw)))
@@ -87,12 +86,21 @@ def start_all(
 
 
 def backfill(raw: DataFrame, options: JobOptions) -> dict[str, StreamingQuery]:
-    """Work through everything the source holds, then stop."""
+    """Work through everything the source holds, then stop.
+
+    ``raw`` should be read with ``options.uncapped()``, as ``run_backfill`` does.
+    """
     queries = start_all(raw, options, available_now=True)
     _wait(queries)
     return queries
 
 
+def run_backfill(spark: SparkSession, options: JobOptions) -> dict[str, StreamingQuery]:
+    """A backfill of the source the options name, without the caps of a live job."""
+    options = with_locations(prepare(spark), options).uncapped()
+    return backfill(read_messages(spark, options), options)
+
+
 def _by_name(*queries: StreamingQuery) -> dict[str, StreamingQuery]:
     return {query.name: query for query in queries}
 
@@ -118,7 +126,7 @@ def run(spark: SparkSession, options: JobOptions) -> None:
 
 def main() -> None:
     logging.basicConfig(
-        level=logging.INFO, format="%(asctime)s | %(levelname)-8s | %(name)s | %(message)s"
+        level=logging.INFO, format="%(levelname)s %(asctime)s %(name)s: %(message)s"
     )
     options = JobOptions.from_env()
     run(build_session(options), options)

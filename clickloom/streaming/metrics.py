@@ -7,6 +7,7 @@ import logging
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 logger = logging.getLogger("clickloom.metrics")
@@ -50,12 +51,32 @@ def progress_row(progress: dict) -> tuple:
     )
 
 
+def keep_progress(spark: SparkSession, batches: int) -> None:
+    """Let queries started from now on keep the reports of this many micro-batches."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(batches))
+
+
 def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """The recent micro-batches of the queries (Spark keeps the last 100 of each)."""
+    """The micro-batches of the queries, as many as Spark keeps (see ``keep_progress``)."""
     rows = [progress_row(json.loads(p.json)) for q in queries for p in q.recentProgress]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
+def route_totals(progress: DataFrame, name: str = "routes") -> DataFrame:
+    """Per query: batches with input, input rows, and the observed routes in all."""
+    kinds = ("total", "valid", "corrupt", "rejected")
+    counts = F.from_json("observed", f"map<string,struct<{','.join(f'{k}:bigint' for k in kinds)}>>")
+    return (
+        progress.withColumn("counts", F.try_element_at(counts, F.lit(name)))
+        .groupBy("query")
+        .agg(
+            F.count_if(F.col("input_rows") > 0).alias("batches"),
+            F.sum("input_rows").alias("input_rows"),
+            *(F.sum(f"counts.{kind}").alias(kind) for kind in kinds),
+        )
+    )
+
+
 def query_status(queries: Iterable[StreamingQuery]) -> list[dict]:
     """Name, id, activity and failure of each query."""
     return [

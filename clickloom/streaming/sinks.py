@@ -6,14 +6,18 @@ from collections.abc import Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom.operators.alerts import high_value_purchases
+from clickloom.operators.dedup import upsert_each_batch
 from clickloom.operators.serialize import kafka_rows
 from clickloom.operators.silver import with_written_at
 from clickloom.options import JobOptions
 from clickloom.streaming import alert_writer
 
+FILES_PER_DATE = 8
+
 # The row writer travels with the query; executors need no copy of this package.
 cloudpickle.register_pickle_by_value(alert_writer)
 
@@ -60,19 +64,35 @@ def to_table(
 
 
 def write_bronze(events: DataFrame, options: JobOptions, available_now: bool = False):
+    """Events by date; a salt spreads a date over ``FILES_PER_DATE`` tasks and files.
+
+    Without the repartition every task of a trigger would write a file for every
+    date it meets.
+    """
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(FILES_PER_DATE))
     return to_table(
-        events, "bronze", options.bronze_path, options, ("event_date",), available_now
-    )
+        events.repartition("event_date", salt),
+        "bronze", options.bronze_path, options, ("event_date",), available_now,
+    )
+
+
+def write_upserts(
+    events: DataFrame, name: str, path: str, options: JobOptions, available_now: bool = False, **how
+) -> StreamingQuery:
+    """Merge every micro-batch into a table; replaying one changes nothing."""
+    apply = upsert_each_batch(path, fmt=options.table_format, **how)
+    return sink(events, name, options, available_now).foreachBatch(apply).start()
 
 
 def write_silver_agg(cells: DataFrame, options: JobOptions, available_now: bool = False):
     """Cells arrive here once, after the watermark has passed their window.
 
-    The cells of one date and type are few (minutes, devices), so each pair goes
-    to one task and becomes one file instead of one per task.
+    The cells of a date and type go to ``FILES_PER_DATE`` tasks at most, by their
+    window and device, and each of these writes one file.
     """
+    salt = F.pmod(F.xxhash64("window_start", "device_type"), F.lit(FILES_PER_DATE))
     return to_table(
-        with_written_at(cells).repartition("event_date", "event_type"),
+        with_written_at(cells).repartition("event_date", "event_type", salt),
         "silver_agg",
         options.silver_agg_path,
         options,

@@ -1,3 +1,6 @@
+import json
+import math
+
 from datetime import datetime, timedelta
 
 import pytest
@@ -117,11 +120,34 @@ def test_null_event_time_leaves_the_cells(messages):
 
 
 def test_odd_amounts_do_not_break_a_total(messages):
-    import json
-
-    nan = json.dumps(purchase()).replace("599.98", "NaN")
-    row = totals.grand_total(enriched(messages, nan, purchase(), purchase(cart_value=1e300))).first()
-    assert (row.total_events, row.purchase_count, row.total_revenue) == (3, 3, 599.98)
+    def total(*amounts):
+        rows = [json.dumps(purchase(cart_value=a)) for a in amounts]
+        return totals.grand_total(enriched(messages, *rows)).first().total_revenue
+
+    assert total(169.0, 1e300) == 1e300
+    assert total(9.3e14, 5.0) == 9.3e14 + 5
+    assert total(9e14, 9e14, 9e14) == 2.7e15
+    assert total(0.00001, 0.00001) == 0.00002
+    assert math.isnan(total(1.0, float("nan")))
+    cells = silver.batch_cells(enriched(messages, *[purchase(cart_value=9e14)] * 3)).first()
+    assert (cells.total_revenue, cells.avg_revenue) == (2.7e15, 9e14)
+
+
+def test_any_sliding_width_equals_spark_windows(messages):
+    stamps = [f"2024-02-29 10:{m:02d}:{s:02d}" for m in range(0, 30, 3) for s in (0, 30)]
+    rows = enriched(
+        messages,
+        *[event(event_id=f"e{i}", event_timestamp=t, user_id=f"U-{i % 4}") for i, t in enumerate(stamps)],
+    )
+    for width, step in (("5 minutes", "2 minutes"), ("7 minutes", "3 minutes"), ("6 minutes", "6 minutes")):
+        want = rows.groupBy(F.window("event_ts", width, step).alias("w")).agg(
+            F.count("*").alias("n"), F.countDistinct("user_id").alias("u")
+        )
+        got = silver.sliding_cells(rows, width, step)
+        columns = ["window_start", "event_count", "unique_users"]
+        assert sorted(map(tuple, got.select(columns).collect())) == sorted(
+            map(tuple, want.select("w.start", "n", "u").collect())
+        )
 
 
 def test_totals(messages):
@@ -130,7 +156,7 @@ def test_totals(messages):
     rows = enriched(messages, *payloads)
     total = totals.grand_total(rows).first()
     assert (total.grain, total.total_events, total.purchase_count) == ("all", 10, 3)
-    assert total.total_revenue == pytest.approx(3 * 599.98)
+    assert total.total_revenue == pytest.approx(3 * 169.0)
     by_type = {r.event_type: r for r in totals.totals_by_type_and_date(rows).collect()}
     assert (by_type["product_view"].event_count, by_type["product_view"].unique_users) == (7, 7)
     assert by_type["checkout_complete"].purchase_count == 3

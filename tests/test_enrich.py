@@ -17,14 +17,14 @@ def enriched(messages, *payloads, clock=None):
 
 def test_date_parts(messages):
     row = enriched(messages, event()).first()
-    assert (row.event_date, row.event_hour, row.event_minute) == (date(2023, 6, 15), 14, 30)
+    assert (row.event_date, row.event_hour, row.event_minute) == (date(2024, 2, 29), 23, 5)
 
 
 @pytest.mark.parametrize(
     "payload, is_purchase, is_add, revenue",
     [
         (event(), False, False, 0.0),
-        (purchase(), True, False, 599.98),
+        (purchase(), True, False, 169.0),
         (add_to_cart(), False, True, 0.0),
         (purchase(cart_value=None), True, False, None),
     ],
@@ -53,13 +53,13 @@ def test_funnel_stages(messages):
 @pytest.mark.parametrize(
     "stamp, lag",
     [
-        ("2023-06-15 14:29:57.900", 3000),
-        ("2023-06-15 14:30:10", -10000),
+        ("2024-07-04 06:00:57.900", 3000),
+        ("2024-07-04 06:01:10", -10000),
         ("yesterday", None),
     ],
 )
 def test_lag_counts_whole_seconds(messages, stamp, lag):
-    clock = F.lit("2023-06-15 14:30:00.500").cast("timestamp")
+    clock = F.lit("2024-07-04 06:01:00.500").cast("timestamp")
     assert enriched(messages, event(event_timestamp=stamp), clock=clock).first().processing_lag_ms == lag
 
 
@@ -68,15 +68,15 @@ def test_alert_threshold_is_inclusive(messages):
         messages,
         purchase(event_id="low", cart_value=499.99),
         purchase(event_id="equal", cart_value=500.0),
-        purchase(event_id="high"),
+        purchase(event_id="high", cart_value=777.5),
         purchase(event_id="none", cart_value=None),
         add_to_cart(event_id="cart", cart_value=900.0),
     )
     alerts = {r.event_id: r for r in high_value_purchases(rows).collect()}
     assert set(alerts) == {"equal", "high"}
     assert alerts["high"].alert_text == (
-        "HIGH-VALUE PURCHASE ALERT | order_id=ORD-ABC123 user_id=U-ABCD1234"
-        " amount=599.98 payment=credit_card"
+        "HIGH-VALUE PURCHASE ALERT | order_id=ORD-9001 user_id=U-marta"
+        " amount=777.50 payment=paypal"
     )
 
 
@@ -91,7 +91,7 @@ def test_page_urls(messages):
     ).withColumns({"url": page_url(), "cat": category_url(F.lit("Home & Kitchen"))})
     got = {r.event_type: r.url for r in rows.collect()}
     assert got == {
-        "product_view": "/product/PROD-00001",
+        "product_view": "/product/PROD-00077",
         "search": "/search?q=gaming+chair",
         "user_login": "/account",
         "page_view": "/",

@@ -2,7 +2,7 @@ import pytest
 
 from clickloom.options import JobOptions
 from clickloom.session import build_session, prepare, session_settings
-from clickloom.sources.messages import kafka_settings, spread
+from clickloom.sources.messages import kafka_settings
 from clickloom.workspace import fresh_dir, with_locations
 
 
@@ -22,8 +22,7 @@ def test_environment_overrides_defaults_and_arguments_override_both():
         "ALERT_PURCHASE_THRESHOLD": "750.5",
         "DELTA_BASE_PATH": "/tables/",
         "CHECKPOINT_BASE": "/checkpoints",
-        "EVENTS_PER_SECOND": "200",
-        "BATCH_SIZE": "100",
+        "REPLAY_INTERVAL_MS": "250",
     }
     o = JobOptions.from_env(env, topic="mine")
     assert (o.topic, o.watermark, o.alert_purchase_threshold) == ("mine", "9 minutes", 750.5)
@@ -32,14 +31,14 @@ def test_environment_overrides_defaults_and_arguments_override_both():
     assert o.silver_sessions_path == "/tables/silver_sessions"
     assert o.corrupt_path == "/tables/corrupt_records"
     assert o.checkpoint("bronze") == "/checkpoints/bronze"
-    assert o.replay_interval_ms == 500
+    assert o.replay_interval_ms == 250
 
 
 @pytest.mark.parametrize(
     "bad",
     [
         {"bootstrap_servers": ""},
-        {"max_offsets_per_trigger": 0},
+        {"max_offsets_per_trigger": -1},
         {"env": "laptop"},
         {"session_timeout_minutes": 0},
         {"source_format": "parquet"},
@@ -64,11 +63,10 @@ def test_kafka_settings():
     assert kafka_settings(JobOptions(min_partitions=64))["minPartitions"] == "64"
 
 
-def test_spread_only_what_reads_in_few_tasks(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 3)
-    assert spread(wide) is wide
+def test_a_backfill_has_no_caps():
+    s = kafka_settings(JobOptions(fail_on_data_loss=True).uncapped())
+    assert "maxOffsetsPerTrigger" not in s and s["failOnDataLoss"] == "true"
+    assert JobOptions().uncapped().max_files_per_trigger == 0
 
 
 def test_session_settings():

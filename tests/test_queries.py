@@ -23,8 +23,7 @@ def test_every_oracle_has_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    # Progress reports hold clock times and durations.
-    assert set(QUERIES) - set(SQL) == {"stream_progress"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -32,9 +31,5 @@ def test_query_equals_oracle(spark, sf_dir, con, name):
     assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) is None
 
 
-def test_progress_query(spark, sf_dir):
-    assert QUERIES["stream_progress"](spark, sf_dir).filter("input_rows > 0").count() == 1
-
-
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
 import pytest
-from conftest import event, purchase
+from conftest import as_message, event, purchase
 from pyspark.sql import functions as F
 
 from clickloom.operators import dedup, sessions, silver
@@ -46,7 +46,8 @@ def options(folder):
 def drop_files(spark, path, *batches):
     """One file per batch, with arrival times that keep their order."""
     for payloads in batches:
-        message_frame(spark, payloads).coalesce(1).write.mode("append").parquet(path)
+        rows = [as_message(payload, i) for i, payload in enumerate(payloads)]
+        message_frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
         names = [n for n in os.listdir(path) if n.endswith(".parquet")]
         newest = max(names, key=lambda n: os.stat(f"{path}/{n}").st_mtime_ns)
         position = len(names)
@@ -259,7 +260,11 @@ def test_alert_writer_gets_high_value_purchases_only(spark, options, folder):
     drop_files(
         spark,
         options.source_path,
-        [purchase(event_id="p1", order_id="ORD-1"), purchase(cart_value=5.0), event(cart_value=900.0)],
+        [
+            purchase(event_id="p1", order_id="ORD-1", cart_value=640.0),
+            purchase(cart_value=5.0),
+            event(cart_value=900.0),
+        ],
     )
     events = events_of(read_messages(spark, options))
     sinks.write_alerts(events, options, True, file_writer(f"{folder}/seen")).awaitTermination()

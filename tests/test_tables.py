@@ -124,7 +124,15 @@ def test_lookup_plans_agree(clicks, products):
     assert small.filter("catalog_name is null").count() == sum(
         1 for i in range(3000) if i % 5 == 0 or (i % 3 and i % 40 >= 30)
     )
-    assert "_salt" in plan(large)
+    assert "SortMergeJoin" in plan(large)
+
+
+def test_lookup_keeps_each_event_once(clicks, products):
+    doubled = products.unionByName(products.withColumn("product_name", F.lit("Zzz")))
+    for bound in (10, 1000):
+        found = catalog.lookup(clicks, doubled, max_rows=bound)
+        assert found.count() == 3000
+        assert found.filter("catalog_name = 'Zzz'").count() == 0
 
 
 def test_broadcast_bound(products):
