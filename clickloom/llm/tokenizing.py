@@ -9,7 +9,6 @@ single blanks and line ends between words, special tokens) go through it whole.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import os
 
@@ -90,17 +89,18 @@ class Encoder:
             f"\n{text}".replace("\n", " \n")[1:].split(" ") if self._plain(text) else None
             for text in texts
         ]
-        new: set[str] = set()
-        for words in filter(None, split):
-            new.update(itertools.filterfalse(self.known.__contains__, words))
+        found = [list(map(self.known.get, words or ())) for words in split]
+        holes = [[i for i, ids in enumerate(all_ids) if ids is None] for all_ids in found]
+        new = {words[i] for words, at in zip(split, holes, strict=True) for i in at}
         if len(self.known) + len(new) > MOST_WORDS:
             self.known.clear()
-            new = set().union(*filter(None, split))
         self._learn(new)
-        known = self.known.__getitem__
+        for words, all_ids, at in zip(split, found, holes, strict=True):
+            for i in at:
+                all_ids[i] = self.known[words[i]]
         return [
-            self._whole(text) if words is None else b"".join(map(known, words))[4:]
-            for text, words in zip(texts, split, strict=True)
+            self._whole(text) if words is None else b"".join(all_ids)[4:]
+            for text, words, all_ids in zip(texts, split, found, strict=True)
         ]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
