@@ -17,14 +17,17 @@ def sample_by_class(rows: DataFrame, label: str, per_class: int, most: int) -> D
 
     The order is a hash of the id, so reruns take the same rows. n is how often
     the label occurs among all of ``rows``. Null ids and labels take no part; of
-    an id with several labels the largest counts.
+    an id with several labels the largest counts; of more than ``most`` labels
+    the most frequent take part, which bounds the list that is broadcast.
     """
     labelled = (
         rows.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy("doc_id")
         .agg(F.max(label).alias("label"))
     )
-    counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    counts = F.broadcast(
+        labelled.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(most)
+    )
     # Hashes low enough for some twice as many rows as are wanted go to the ranking.
     span = 1 << 40
     low = F.pmod(F.xxhash64("doc_id"), F.lit(span)) < F.lit(2.0 * per_class * span) / F.col("n")
