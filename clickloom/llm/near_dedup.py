@@ -17,7 +17,8 @@ eight times as many each round, until every bucket lies in one component or has
 had all its members as leaders. The first round has one leader in each bucket of
 a few bands; from the second round on, a node's shingles that occur in no other
 component are counted: nodes and pairs that cannot reach the threshold without
-them are left out. So no link inside a bucket is lost, and the
+them are left out, as are pairs whose rarest common shingles do not meet, which
+linked sets' must. So no link inside a bucket is lost, and the
 work on a group of copies grows with its rows. With the defaults a link at the
 threshold shares no bucket with a chance of 5e-7.
 
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import WORD, cut, map_batches
+from clickloom.llm.common import WORD, cut, map_batches, release
 from clickloom.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -252,21 +253,52 @@ def confirmed(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return map_batches(both_sides(pairs, held, "elements"), run, "a long, b long")
 
 
-def shared_outside(active: DataFrame, held: DataFrame) -> DataFrame:
-    """(id, n, c): c of the node's n shingles occur in active nodes of other components too.
+def shared_outside(active: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """(id, n, c, wide, narrow): what a node has in common with other components.
 
-    Two nodes of different components have no more than the smaller c in common.
+    c of its n shingles occur in active nodes of other components too; two nodes
+    of different components have no more than the smaller c in common. In the
+    order of their frequency, rarest first, two linked nodes meet among the first
+    of these shingles: the smaller one's ``narrow`` and the larger one's ``wide``
+    list have one in common.
     """
     placed = active.select("id", "component").distinct()
     rows = held.join(placed, "id").select("id", "component", F.explode("elements").alias("e"))
     spread = (
         rows.groupBy("e")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"),
+             F.count("*").alias("times"))
         .filter("low < high")
+        .select("e", "times")
+    )
+    lists = (
+        rows.join(spread, "e")
+        .groupBy("id")
+        .agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("common"))
+    )
+    sizes = held.groupBy("id").agg(F.min("n").alias("n"), F.count("*").alias("texts"))
+    n, c = F.col("n"), F.size("common")
+    # An id with several texts keeps all its common shingles.
+    first = lambda least: F.when(F.col("texts") > 1, c).otherwise(
+        F.greatest(c - F.ceil(least).cast("int") + 1, F.lit(0))
+    )
+    return (
+        lists.join(sizes, "id")
+        .withColumn("wide", F.slice(F.col("common.e"), F.lit(1), first(n * percent / 100)))
+        .withColumn(
+            "narrow",
+            F.slice(F.col("common.e"), F.lit(1), first(n * (2 * percent) / (100 + percent))),
+        )
+        .select("id", "n", c.cast("long").alias("c"), "wide", "narrow")
     )
-    counts = rows.join(spread, "e", "left_semi").groupBy("id").agg(F.count("*").alias("c"))
-    sizes = held.groupBy("id").agg(F.min("n").alias("n"))
-    return counts.join(sizes, "id")
+
+
+def sharing_pairs(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pairs whose rare common shingles do not rule a link out."""
+    meet = F.when(
+        F.col("n_a") <= F.col("n_b"), F.arrays_overlap("narrow_a", "wide_b")
+    ).otherwise(F.arrays_overlap("wide_a", "narrow_b"))
+    return both_sides(pairs, shared, "n", "wide", "narrow").filter(meet).select("a", "b")
 
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -294,8 +326,12 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) ->
         # After the first round, only nodes that have enough in common with others go on.
         enough = F.lit(True)
         if leaders_wanted:
-            shared = shared_outside(active, held).filter(100 * F.col("c") >= percent * F.col("n"))
-            active = cut(active.join(shared, "id"))
+            shared = cut(
+                shared_outside(active, held, percent).filter(
+                    100 * F.col("c") >= percent * F.col("n")
+                )
+            )
+            active = cut(active.join(shared.select("id", "n", "c"), "id"))
             least = F.least(F.col("c"), F.col("led_c"))
             enough = (100 + percent) * least >= percent * (F.col("n") + F.col("led_n"))
         order = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
@@ -312,10 +348,13 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) ->
             .join(tested, ["a", "b"], "left_anti")
         )
         tested = tested.unionByName(pairs)
+        if leaders_wanted:
+            pairs = sharing_pairs(pairs, shared)
         links = confirmed(likely_pairs(pairs, held, percent), held, percent)
         # Earlier components are links between their members and their smallest id.
         earlier = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = cut(components(links.unionByName(earlier)))
+        release(docs.sparkSession)
         if not leaders_wanted:
             leaders_wanted = 1
             continue
