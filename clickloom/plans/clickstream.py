@@ -479,7 +479,7 @@ def _stream_silver_approx(spark, sf_dir):
     exact = exact.select(*keys, *(F.col(c).alias(f"exact_{c}") for c in names))
     return found.join(exact, list(keys)).select(
         *(c for c in found.columns if c not in names),
-        *((F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.2 * F.col(f"exact_{c}")).alias(f"{c}_near")
+        *((F.abs(F.col(c) - F.col(f"exact_{c}")) <= 1 + 0.2 * F.col(f"exact_{c}")).alias(f"{c}_near")
           for c in names),
     )
 

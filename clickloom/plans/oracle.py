@@ -142,11 +142,12 @@ SELECT event_id, user_id, event_type, event_ts,
     false) AS logged_in
 FROM valid"""
 
+HIGH_VALUE = "CASE WHEN isnan(coalesce(cart_value, 0)) THEN false ELSE coalesce(cart_value, 0) >= 500 END"
 ALERTS = f"""{WITH}
 SELECT event_id, event_ts, order_id, user_id, coalesce(cart_value, 0) AS amount, payment_method,
   printf('HIGH-VALUE PURCHASE ALERT | order_id=%s user_id=%s amount=%.2f payment=%s',
     order_id, user_id, coalesce(cart_value, 0), payment_method) AS alert_text
-FROM valid WHERE is_purchase AND coalesce(cart_value, 0) >= 500"""
+FROM valid WHERE is_purchase AND {HIGH_VALUE}"""
 
 BRONZE = f"{WITH} SELECT {ENRICHED_COLUMNS} FROM valid"
 
@@ -264,7 +265,7 @@ UNION ALL SELECT 'silver_sessions', (SELECT count(*) FROM (
       FROM (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY user_id ORDER BY event_ts)
               <= INTERVAL '30 minutes' THEN 0 ELSE 1 END AS starts FROM valid))
     GROUP BY user_id, number) WHERE session_end <= {CLOSED})
-UNION ALL SELECT 'alerts', count(*) FROM valid WHERE is_purchase AND coalesce(cart_value, 0) >= 500"""
+UNION ALL SELECT 'alerts', count(*) FROM valid WHERE is_purchase AND {HIGH_VALUE}"""
 
 JOB_FROM_BRONZE = f"""{_cells('1 minute').rsplit('SELECT * FROM cells', 1)[0]}
 SELECT 'bronze' AS table_name, count(*) AS rows, count(*) AS events FROM valid
