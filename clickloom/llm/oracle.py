@@ -108,7 +108,37 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counts
 """
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i
+        FROM docs WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+), ways AS (
+  SELECT x, y FROM links UNION SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT doc_id, y FROM reached JOIN ways ON r = x
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id,
+       doc_id = min(r) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLES = {
+    "op3_near_dedup": NEAR_DEDUP,
     "op7_warc": WARC,
     "op8_line_rules": LINE_RULES,
     "op2_source_mixing": MIXING,
