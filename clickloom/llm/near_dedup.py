@@ -13,7 +13,7 @@ on their full sets.
 Equal sets are one node. Inside a bucket no pairs of all members are formed: a
 few leaders are compared with the members of other components, components are
 joined, and buckets with more than one component go on with their next leaders,
-64 times as many each round, until every bucket lies in one component or has
+eight times as many each round, until every bucket lies in one component or has
 had all its members as leaders. The first round has one leader in each bucket of
 a few bands; from the second round on, a node's shingles that occur in no other
 component are counted: nodes and pairs that cannot reach the threshold without
@@ -54,7 +54,7 @@ HIGHEST = 65_535
 # Candidates whose best likelihood at or above the threshold falls short of the
 # overall best by more than this (in nats) are dropped: odds of 6e-7 at most.
 LEAST_LIKELIHOOD = 14.0
-LEADER_GROWTH = 64
+LEADER_GROWTH = 8
 # The first round looks at these bands only: it joins most of what belongs together.
 FIRST_BANDS = 12
 
