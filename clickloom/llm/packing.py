@@ -4,8 +4,9 @@ Documents longer than a sequence are cut so that all pieces but the first are
 full. Full pieces are sequences; what is left and the short documents are dealt
 to shards of bounded size, and each shard is packed by itself: best-fit
 decreasing gives the first solution, then bins are completed around the largest
-remaining piece with undominated fillings, least waste first, and a branch is
-left as soon as its waste rules out a better solution. A shard can cost at most
+remaining piece with fillings of any number of pieces, least waste first, and a
+branch is left as soon as its waste rules out a better solution. The search for
+one sequence less ends after ``NODES_PER_PIECE`` steps per piece. A shard can cost at most
 one sequence more than packing everything at once would need for it.
 
 Defined cases: a null or empty text is the end id alone; null ids and repeated
@@ -30,9 +31,8 @@ from clickloom.llm.tokenizing import END_ID, default_tokenizer, encoder
 
 LENGTH = 1024
 SHARD_DOCS = 8192
-NODES_PER_PIECE = 1
-WIDTH = 6  # fillings followed at a node, of at most TRIED that are looked at
-TRIED = 32
+NODES_PER_PIECE = 4
+QUICK_TRIES = 64  # steps before an exact filling is read off the totals instead
 
 SCHEMA = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, "
@@ -68,53 +68,109 @@ class Pieces:
     def __init__(self, sizes: np.ndarray, capacity: int) -> None:
         self.count = np.bincount(sizes, minlength=capacity + 1).tolist()
         self.left = len(sizes)
+        self.capacity = capacity
         self.sizes = sum(1 << s for s, n in enumerate(self.count) if n)
+        self.mirror = sum(1 << (capacity - s) for s, n in enumerate(self.count) if n)
 
     def largest(self, most: int) -> int:
         """The largest size left up to ``most``; 0 if none."""
+        if most <= 0:
+            return 0
         return max((self.sizes & ((1 << (most + 1)) - 1)).bit_length() - 1, 0)
 
+    def least(self) -> int:
+        return (self.sizes & -self.sizes).bit_length() - 1
+
     def take(self, size: int) -> None:
         self.count[size] -= 1
         self.left -= 1
         if not self.count[size]:
-            self.sizes &= ~(1 << size)
+            self.sizes ^= 1 << size
+            self.mirror ^= 1 << (self.capacity - size)
 
     def give(self, size: int) -> None:
+        if not self.count[size]:
+            self.sizes ^= 1 << size
+            self.mirror ^= 1 << (self.capacity - size)
         self.count[size] += 1
         self.left += 1
-        self.sizes |= 1 << size
 
-    def fillings(self, gap: int) -> list[tuple[int, ...]]:
-        """Undominated fillings of ``gap`` by up to three pieces, least waste first.
+    def pair(self, gap: int, most: int) -> tuple[int, int] | None:
+        """Two pieces up to ``most`` that fill ``gap``, the first as large as can be."""
+        both = self.sizes & (self.mirror >> (self.capacity - gap)) & ((1 << (most + 1)) - 1)
+        if not gap % 2 and self.count[gap // 2] < 2:
+            both &= ~(1 << (gap // 2))
+        a = both.bit_length() - 1
+        return (a, gap - a) if 2 * a >= gap > a > 0 else None
+
+    def exact(self, gap: int, most: int, tries: list[int]) -> tuple[int, ...] | None:
+        """Pieces up to ``most`` that fill ``gap``, of many the large ones; None if not soon met."""
+        if gap <= most and self.count[gap]:
+            return (gap,)
+        found = self.pair(gap, most)
+        a = self.largest(min(gap - 2 * self.least(), most))
+        while found is None and a and tries[0] > 0:
+            tries[0] -= 1
+            self.take(a)
+            rest = self.exact(gap - a, a, tries)
+            self.give(a)
+            found = (a, *rest) if rest else None
+            a = self.largest(a - 1)
+        return found
+
+    def fillings(self, gap: int, loss: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of ``gap`` by any number of pieces that leave at most ``loss``, best first.
 
         The largest single piece dominates all smaller ones and every set that
-        fits into its place, so sets must fill more than it does.
+        fits into its place, so sets must fill more than it does. The first
+        filling is mostly found by trying; bit sets of the totals that the sizes
+        make then give all others, without ways that lead nowhere.
         """
         one = self.largest(gap)
-        if not one:
-            return [()]
-        found: dict[int, tuple[int, ...]] = {one: (one,)}
-        a = one
-        while a and gap not in found and len(found) < TRIED:
-            self.take(a)
-            b = self.largest(min(a, gap - a))
-            if b and a + b > one:
-                found.setdefault(a + b, (a, b))
-            while b and a + b < gap and gap not in found:
-                self.take(b)
-                c = self.largest(min(b, gap - a - b))
-                self.give(b)
-                if a + b + c > one:
-                    found.setdefault(a + b + c, (a, b, c) if c else (a, b))
-                if 3 * b < gap - a:
-                    break
-                b = self.largest(b - 1)
-            self.give(a)
-            if 3 * a < one:
-                break
-            a = self.largest(a - 1)
-        return [found[total] for total in sorted(found, reverse=True)[:WIDTH]]
+        if one in (0, gap):
+            yield (one,) if one else ()
+            return
+        together = gap - self.least()  # the largest size that fits with another piece
+        quick = self.exact(gap, gap, [QUICK_TRIES])
+        if quick:
+            yield quick
+        everything = (1 << (gap + 1)) - 1
+        sizes, most, made = [], [], [1]
+        bits = self.sizes & ((1 << (together + 1)) - 1)
+        while bits:
+            low = bits & -bits
+            bits ^= low
+            size, now = low.bit_length() - 1, made[-1]
+            left = min(self.count[size], gap // size)
+            sizes.append(size)
+            most.append(left)
+            some = 1
+            while left:
+                some = min(some, left)
+                now |= (now << (size * some)) & everything
+                left -= some
+                some *= 2
+            made.append(now)
+
+        def ways(total: int, at: int) -> Iterator[tuple[int, ...]]:
+            if not total:
+                yield ()
+                return
+            while made[at] >> total & 1:
+                at -= 1
+                size = sizes[at]
+                for n in range(min(most[at], total // size), 0, -1):
+                    if made[at] >> (total - n * size) & 1:
+                        for rest in ways(total - n * size, at):
+                            yield (size,) * n + rest
+
+        for total in range(gap, max(one, gap - loss - 1), -1):
+            if made[-1] >> total & 1:
+                for filling in ways(total, len(sizes)):
+                    if filling != quick:
+                        yield filling
+        if gap - one <= loss:
+            yield (one,)
 
 
 def complete_bins(
@@ -139,7 +195,7 @@ def complete_bins(
             first = left.largest(capacity)
             left.take(first)
             bins.append([first])
-            choices.append(iter(left.fillings(capacity - first)))
+            choices.append(left.fillings(capacity - first, spare - waste[-1]))
             waste.append(waste[-1])
         elif not bins:
             return None

@@ -90,6 +90,31 @@ def test_bin_completion_beats_best_fit():
     assert packing.complete_bins(np.array([20, 20, 20]), 35, 2, 1000) is None
 
 
+def test_short_pieces_fill_bins_by_more_than_four():
+    sizes = 13 * np.random.default_rng(0).integers(4, 16, 300)
+    where, _ = packing.pack(sizes, 1024)
+    assert np.bincount(where, sizes).max() <= 1024
+    assert len(packing.best_fit(sizes, 1024)) == 39
+    assert len(set(where.tolist())) == packing.least_bins(sizes, 1024) == 38
+
+
+def test_fillings_are_those_of_brute_force():
+    rng = random.Random(9)
+    for _ in range(200):
+        sizes = sorted((rng.randint(2, 12) for _ in range(rng.randint(1, 9))), reverse=True)
+        gap, loss = rng.randint(1, 30), rng.randint(0, 6)
+        got = list(packing.Pieces(np.array(sizes), 30).fillings(gap, loss))
+        one = max((s for s in sizes if s <= gap), default=0)
+        sets = {c for n in range(len(sizes) + 1) for c in itertools.combinations(sizes, n)}
+        want = {c for c in sets if max(one, gap - loss - 1) < sum(c) <= gap}
+        if one == gap:
+            want = {(one,)}
+        elif gap - one <= loss or not one:
+            want |= {(one,) if one else ()}
+        assert len(got) == len(set(got)) and set(got) == want
+        assert [sum(c) for c in got] == sorted(map(sum, got), reverse=True)
+
+
 def check_pieces(library, rows, got, length=1024):
     want = {}
     for i, text in rows:
