@@ -6,8 +6,9 @@ to shards of bounded size, and each shard is packed by itself: best-fit
 decreasing gives the first solution, then bins are completed around the largest
 remaining piece with fillings of any number of pieces, least waste first, and a
 branch is left as soon as its waste rules out a better solution. The search for
-one sequence less ends after ``NODES_PER_PIECE`` steps per piece. A shard can cost at most
-one sequence more than packing everything at once would need for it.
+one sequence less ends after ``NODES_PER_PIECE`` steps per piece. Documents go to
+shards by a hash of their row number, so that every shard has about the sizes of
+the whole table, whatever the order of the rows.
 
 Defined cases: a null or empty text is the end id alone; null ids and repeated
 rows are documents of their own; an empty table gives an empty result; further
@@ -309,12 +310,12 @@ def pack_documents(
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Tokenising is written out once; only sizes and checksums are dealt to the
-    shards, whose size is bounded whatever the input. Rows are dealt in turn, so
-    no key can crowd a shard.
+    shards, by a hash of the row number: no key can crowd a shard, whose size
+    stays near ``shard_docs``, and no period in the sizes can sort it.
     """
     sizes = cut(tokenised(docs, tokenizer or default_tokenizer(), length))
     shards = max(1, round(sizes.count() / shard_docs))
-    dealt = sizes.withColumn("shard", F.monotonically_increasing_id() % shards)
+    dealt = sizes.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return pack_shard(int(key[0]), rows, length)

@@ -147,6 +147,15 @@ def test_packing_of_documents(spark, library):
     assert packing.pack_documents(docs(spark, [])).count() == 0
 
 
+def test_dealing_does_not_follow_a_period_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "tokenised", lambda docs, *_: docs)
+    rows = spark.range(400, numPartitions=1).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 2 = 0 THEN 600L ELSE 424L END AS n_tokens", "array(id) AS crcs"
+    )
+    got = packing.pack_documents(rows, shard_docs=200)
+    assert got.count() == 400 and got.select("sequence_id").distinct().count() < 240
+
+
 def test_token_files_give_all_ids_back(spark, library):
     got = token_files.token_round_trip(awkward(spark)).toPandas()
     rows = sorted(
