@@ -7,7 +7,9 @@ features gives the score.
 
 Training reads a bounded sample: ``PER_CLASS`` labelled texts of each class.
 Counting and feature extraction run in tasks; the driver gets the counts of the
-hash buckets and the chosen features of the sample.
+chosen buckets and the features of the sample. The hash buckets in at least
+``MIN_TEXTS`` of these texts are features: the strongest ``FEATURES_PER_TEXT``
+per text, from ``LEAST_FEATURES`` to ``MOST_FEATURES``. Others score nothing.
 
 Defined cases: null and empty texts score as texts without a feature; null ids
 are scored and not held out; labels other than 0 and 1 and null labels teach
@@ -30,7 +32,8 @@ from clickloom.llm.sampling import ngram_buckets, pieces, sampled_texts, sigmoid
 PER_CLASS = 4000
 ORDERS = (4, 5, 6)
 BITS = 20
-FEATURES = 4096
+LEAST_FEATURES, FEATURES_PER_TEXT = 8192, 8
+MOST_FEATURES = 1 << 16  # as many as 16-bit numbers hold
 MIN_TEXTS = 4
 THRESHOLD = 0.3
 PARTS, REMAINDER = 4, 2
@@ -98,6 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
     if len(sizes) < 2:
         return None
     (others, all_others), (toxics, all_toxics) = sizes[0], sizes[1]
+    most = min(max(LEAST_FEATURES, FEATURES_PER_TEXT * (others + toxics)), MOST_FEATURES)
     p, q = (F.col("toxic") + 1) / F.lit(toxics + 2), (F.col("other") + 1) / F.lit(others + 2)
     strength = F.abs(F.log(p / q)) / F.sqrt(1 / (F.col("toxic") + 1) + 1 / (F.col("other") + 1))
     chosen = (
@@ -105,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
         .filter(F.col("toxic") + F.col("other") >= MIN_TEXTS)
         .select("bucket", F.log(p / q).alias("ratio"), strength.alias("strength"))
         .orderBy(F.desc("strength"), "bucket")
-        .limit(FEATURES)
+        .limit(most)
         .toPandas()
     )
     feature = np.full(1 << BITS, -1, np.int32)
@@ -137,16 +141,15 @@ def fit(
     for at in range(0, len(order), together):
         some = order[at : at + together]
         lengths = [len(found[i]) for i in some]
-        parts.append((
-            np.repeat(np.arange(len(some), dtype=np.uint16), lengths),
-            np.concatenate([found[i] for i in some]), y[some], share[some] / len(y),
-        ))
+        columns = np.concatenate([found[i] for i in some])
+        parts.append((lengths, columns, y[some], share[some] / len(y)))
     theta = np.zeros(len(ratio) + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         slope = np.append(penalty * theta[:-1], 0.0)
         scaled = ratio * theta[:-1]
-        for rows, columns, label, weight in parts:
+        for lengths, columns, label, weight in parts:
+            rows = np.repeat(np.arange(len(label)), lengths)
             z = np.bincount(rows, scaled[columns], len(label)) + theta[-1]
             error = (sigmoid(z) - label) * weight
             slope[:-1] += ratio * np.bincount(columns, error[rows], len(ratio))

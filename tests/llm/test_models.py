@@ -82,6 +82,20 @@ def test_held_out_labels_teach_nothing(spark):
     assert toxicity.drop_toxic(frame, a).count() == (~toxic).sum()
 
 
+def test_rare_toxic_phrases_beside_many_frequent_ones(spark):
+    rng = random.Random(3)
+    phrases = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=40)) for _ in range(80)]
+    plain = [" ".join(rng.choices(["good", "kind", "plain", "words"], k=12)) for _ in range(4000)]
+    toxic = [p for i, p in enumerate(phrases) for _ in range(14 if i < 60 else 8)]
+    texts = [f"{p} {rest}" for p, rest in zip(toxic, plain, strict=False)] + plain[len(toxic):]
+    frame = docs(spark, [(i, text, "en", "a") for i, text in enumerate(texts)])
+    labels = spark.createDataFrame([(i, 0, int(i < len(toxic)), "x") for i in range(len(texts))], LABELS)
+    got = toxicity.score_toxicity(frame, toxicity.train(frame, labels)).toPandas()
+    held = got[got["held_out"]]
+    assert held[held["doc_id"].between(60 * 14, len(toxic) - 1)]["predicted"].mean() > 0.9
+    assert held[held["doc_id"] >= len(toxic)]["predicted"].mean() < 0.02
+
+
 def test_models_without_labels(spark):
     frame, labels = toy(spark, 20)
     assert toxicity.train(frame, labels.limit(0)) is None
