@@ -5,9 +5,12 @@ bytes, the least is the first or the last. Whether it is depends on the run
 alone, not on what stands around it, so texts that share a passage share its
 anchors, and the anchors of a spliced text are those of its parts besides the
 few runs across the joint. A fingerprint is the list of the lowest anchor
-hashes; likeness estimates from two fingerprints what share of all anchors of
-two texts they have in common. Positions are kept with the anchors, so shared
-ones can be lined up.
+hashes, ``LOWEST`` of them whatever the length; likeness estimates from two
+fingerprints what share of all anchors of two texts they have in common.
+
+Left out: positional matching. Fingerprints hold no positions, so the order of
+shared anchors is not seen, and a passage that is a small share of two long
+texts mostly leaves no trace in their likeness.
 
 Defined cases: a null text is empty; an empty text has an empty fingerprint and
 is like an empty text only; a text too short for an anchor, or without one, has
