@@ -44,7 +44,6 @@ PARTS, REMAINDER = 4, 2
 UNKNOWN = "und"
 # Share of calibration texts that may fall below the limit of rejection.
 REJECTED_SHARE = 0.0005
-HIGHEST_LIMIT = 0.4
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -102,20 +101,26 @@ def train(
     # Short texts are learned too: the first words of every snippet are one more text.
     texts = list(sample["snippet"]) + [text[:SHORT] for text in sample["snippet"]]
     y = np.tile(sample["label"].map(languages.index).to_numpy(), 2)
-    return fit([np.concatenate(grams(text)).astype(np.uint16) for text in texts], y, languages)
+    document = np.tile(sample["doc_id"].rank(method="dense").to_numpy().astype(np.int64) - 1, 2)
+    found = [np.concatenate(grams(text)).astype(np.uint16) for text in texts]
+    return fit(found, y, languages, document)
 
 
 def room_sql() -> str:
     return f"greatest(length(text) - {SNIPPET}, 0) + 1"
 
 
-def fit(found: list[np.ndarray], y: np.ndarray, languages: tuple[str, ...]) -> LanguageModel:
+def fit(
+    found: list[np.ndarray], y: np.ndarray, languages: tuple[str, ...], document: np.ndarray
+) -> LanguageModel:
     chance = np.random.default_rng(7)
     embedding = chance.normal(0, 0.1, (1 << BITS, WIDTH)).astype(np.float32)
     softmax_weight = np.zeros((WIDTH, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    order = chance.permutation(len(found))
-    kept_out, order = order[: len(order) // 5], order[len(order) // 5 :]
+    # All texts of a document stay on one side.
+    n = int(document.max()) + 1
+    kept = np.isin(document, chance.permutation(n)[: n // 5])
+    kept_out, order = np.flatnonzero(kept), np.flatnonzero(~kept)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for i in chance.permutation(order):
@@ -138,7 +143,7 @@ def fit(found: list[np.ndarray], y: np.ndarray, languages: tuple[str, ...]) -> L
     ]
     temperature = float(scales[int(np.argmin(losses))])
     sure = softmax(logits / temperature).max(axis=1)
-    limit = min(HIGHEST_LIMIT, float(np.quantile(sure, REJECTED_SHARE)))
+    limit = float(np.quantile(sure, REJECTED_SHARE))
     return LanguageModel(languages, table, bias.astype(np.float64), temperature, limit)
 
 

@@ -56,6 +56,17 @@ def test_language_on_held_out_rows(spark):
     assert language_id.drop_rejected(docs_, model).count() == rows["accepted"].sum()
 
 
+@needs_data
+def test_a_language_never_learned_is_mostly_rejected(spark):
+    docs_ = table(spark, "documents")
+    left_out = docs_.agg(F.max("lang")).first()[0]
+    model = language_id.train(docs_.filter(F.col("lang") != left_out))
+    rows = language_id.identify(docs_, model).join(docs_.select("doc_id", "lang"), "doc_id").toPandas()
+    unknown = rows["lang"] == left_out
+    assert rows[unknown]["accepted"].mean() < 0.5
+    assert rows[~unknown & rows["held_out"]]["accepted"].mean() > 0.99
+
+
 def toy(spark, n=120):
     rng = random.Random(1)
     rows = [
