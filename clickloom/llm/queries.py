@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm import (
     language_id,
+    licenses,
     line_rules,
     mixing,
     near_dedup,
@@ -66,6 +67,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(read(spark, sf_dir, "documents"))
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
@@ -77,4 +82,5 @@ QUERIES = {
     "op8_line_rules": op8_line_rules,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
+    "op12_licenses": op12_licenses,
 }
