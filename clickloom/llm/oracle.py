@@ -137,7 +137,58 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id,
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM worded GROUP BY lang
+), runs AS (
+  SELECT lang, size, unnest(list_transform(
+           range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM worded, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+  FROM counts WHERE size > 1
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, l.a AS l, r.a AS r, t.n,
+         1000::HUGEINT * c.a * t.n // (l.a::HUGEINT * r.a) AS score
+  FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')
+  JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, a, size, w, unnest(range(2, size)) AS short
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 2)
+), inside AS (
+  SELECT lang, a, unnest(list_transform(
+           range(1, size - short + 2), lambda i: array_to_string(w[i:i + short - 1], ' '))) AS phrase
+  FROM inner_parts
+), kept AS (
+  SELECT * FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM inside i
+                    WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 100 * b.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES = {
+    "op13_collocations": COLLOCATIONS,
     "op3_near_dedup": NEAR_DEDUP,
     "op7_warc": WARC,
     "op8_line_rules": LINE_RULES,

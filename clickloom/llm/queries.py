@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm import (
+    collocations,
     language_id,
     licenses,
     line_rules,
@@ -71,6 +72,10 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
@@ -83,4 +88,5 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
     "op12_licenses": op12_licenses,
+    "op13_collocations": op13_collocations,
 }
