@@ -17,6 +17,7 @@ from clickloom.llm import (
     token_files,
     toxicity,
     warc,
+    whitening,
 )
 from clickloom.llm.common import read
 
@@ -68,6 +69,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(read(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
 def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_line_rules": op8_line_rules,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
+    "op11_whitening": op11_whitening,
     "op12_licenses": op12_licenses,
     "op13_collocations": op13_collocations,
 }
