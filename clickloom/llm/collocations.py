@@ -7,9 +7,11 @@ stands for its language and its words, and a second hash by other bases to check
 it. Tasks send counts per fingerprint with a pointer to one occurrence (a
 document and a word in it), the shuffle adds them up, and fingerprints with
 ``LEAST`` occurrences go on. Runs are counted by rising length, and only those
-whose both shorter parts were frequent: a bitmap of the frequent fingerprints of
-the length before, of fixed size whatever the data, goes to all tasks. A bit too
-many lets a run through to be counted; none is lost.
+whose shorter parts were all frequent: a bitmap of the frequent fingerprints of
+the pass before, of fixed size whatever the data, goes to all tasks. Before pairs
+of words are counted one by one, all of them are counted in cells by their hash,
+and only those of crowded cells go on. A bit too many lets a run through to be
+counted; none is lost.
 
 Only frequent phrases become text, cut out at their pointers, and are hashed
 again to see that they are what was counted. Where the second hash shows that a
@@ -29,7 +31,6 @@ a time at least.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,14 +43,21 @@ from clickloom.llm.common import cut, map_batches
 from clickloom.operators.bounds import fits_broadcast
 
 MOST_WORDS = 5
+# The lengths counted in each pass over the texts; 0 counts the words of a language.
+PASSES = ((0, 1), (2,), (3,), (4, 5))
 LEAST = 100
 TOP = 2000
 
 # Text hashed at once by a task; a longer text is hashed by itself.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
+PART_BYTES = 1 << 19
 # The bitmap of frequent fingerprints: 8 MB at every size.
 BITMAP_BITS = 1 << 26
 CHUNK_BITS = 32_768  # of Spark's bitmap aggregate
+# Cells in which runs of two words are counted before they are told apart; 16 MB of bits.
+SKETCH_CELLS = 1 << 27
+SKETCH_CHUNK = 1 << 16
+SKETCH_HELD = 1 << 23  # cells a task gathers before it sends them
 FINGERPRINT_BITS = 64
 # A pointer: the upper bits of a document's hash, then the place of a word in it.
 PLACE_BITS = 30
@@ -74,24 +82,39 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base^0 to base^n modulo 2^64, at least."""
-    return _powers(base, 1 << max(n, 1).bit_length())
+_POWERS: dict[int, np.ndarray] = {}
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, _U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n - 1) modulo 2^64; the longest list made so far is kept."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        held = np.full(1 << max(n - 1, 1).bit_length(), base, _U)
+        held[0] = 1
+        _POWERS[base] = np.multiply.accumulate(held, out=held)
+    return held[:n]
 
 
 def spans(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
     """The polynomial of ``values`` over each span, by differences of prefix sums."""
     prefix = np.zeros(len(values) + 1, _U)
-    np.cumsum(values * powers(base, len(values))[: len(values)], out=prefix[1:])
+    np.cumsum(values * powers(base, len(values)), out=prefix[1:])
     inverse = pow(base, -1, 1 << 64)
-    return (prefix[stops] - prefix[starts]) * powers(inverse, len(values))[starts]
+    return (prefix[stops] - prefix[starts]) * powers(inverse, len(prefix))[starts]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
+    """The hash of the bytes of each word, for words of about ``PART_BYTES`` at a time."""
+    table = mixed(np.arange(256, dtype=_U) * _U(base) + _U(1))
+    out = np.empty(len(starts), _U)
+    at = 0
+    while at < len(starts):
+        low = starts[at]
+        to = max(int(np.searchsorted(stops, low + PART_BYTES, side="right")), at + 1)
+        part = table[data[low : stops[to - 1]]]
+        out[at:to] = mixed(spans(part, starts[at:to] - low, stops[at:to] - low, base))
+        at = to
+    return out
 
 
 class Words:
@@ -112,11 +135,7 @@ class Words:
         self.text = np.searchsorted(ends, self.starts, side="right")
         first = np.searchsorted(self.text, np.arange(len(texts)))
         self.place = np.arange(len(self.starts)) - first[self.text]
-        codes = np.arange(256, dtype=_U)
-        self.hashes = []
-        for base in BYTE_BASES:
-            table = mixed(codes * _U(base) + _U(1))
-            self.hashes.append(mixed(spans(table[data], self.starts, self.stops, base)))
+        self.hashes = [word_hashes(data, self.starts, self.stops, base) for base in BYTE_BASES]
         lang = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in langs], _U)
         self.lang = lang[self.text] if len(texts) else np.empty(0, _U)
         self.joined = joined
@@ -148,26 +167,30 @@ class Words:
 class Bitmap:
     """A set of fingerprints, and perhaps some more, in a fixed number of bits."""
 
-    def __init__(self, chunks: list[tuple[int, bytes]]) -> None:
-        self.bits = np.zeros(BITMAP_BITS // 8, np.uint8)
+    def __init__(self, bits: int, chunk_bits: int, chunks: list[tuple[int, bytes]]) -> None:
+        self.bits = np.zeros(bits // 8, np.uint8)
         for at, chunk in chunks:
-            self.bits[at * CHUNK_BITS // 8 :][: len(chunk)] = np.frombuffer(chunk, np.uint8)
+            self.bits[at * chunk_bits // 8 :][: len(chunk)] = np.frombuffer(chunk, np.uint8)
 
     def has(self, values: np.ndarray) -> np.ndarray:
-        cell = mixed(values) & _U(BITMAP_BITS - 1)
-        return (self.bits[cell >> _U(3)] >> (cell & _U(7)).astype(np.uint8) & 1).astype(bool)
+        cell = cells_of(values, 8 * len(self.bits))
+        return (self.bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def cells_of(values: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(values) & _U(bits - 1)).astype(np.int64)
 
 
 def bitmap_of(frame: DataFrame, column: str) -> Bitmap:
     """The bitmap of a column of longs; the driver gets its 8 MB at most."""
 
     def run(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        values = batch.column(column).to_numpy().view(_U)
-        cell = (mixed(values) & _U(BITMAP_BITS - 1)).astype(np.int64)
+        cell = cells_of(batch.column(column).to_numpy().view(_U), BITMAP_BITS)
         return {"chunk": cell // CHUNK_BITS, "bit": cell % CHUNK_BITS}
 
     cells = map_batches(frame.select(column), run, "chunk long, bit long")
-    return Bitmap(cells.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    chunks = cells.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    return Bitmap(BITMAP_BITS, CHUNK_BITS, chunks)
 
 
 def doc_hash(docs: DataFrame) -> DataFrame:
@@ -205,35 +228,91 @@ def batches_of_words(
 
 def counted(fingerprint: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first place, count) of each different pair of values."""
-    order = np.argsort(fingerprint, kind="stable")
+    order = np.argsort(fingerprint)
     f, c = fingerprint[order], check[order]
     same = f[1:] == f[:-1]
     if (same & (c[1:] != c[:-1])).any():  # two phrases of one fingerprint
         order = np.lexsort((check, fingerprint))
         f, c = fingerprint[order], check[order]
         same = (f[1:] == f[:-1]) & (c[1:] == c[:-1])
-    at = np.concatenate([np.zeros(min(len(f), 1), np.int64), np.flatnonzero(~same) + 1])
-    return order[at], np.diff(at, append=len(f))
+    if not len(f):
+        return order, order
+    at = np.concatenate([[0], np.flatnonzero(~same) + 1])
+    return np.minimum.reduceat(order, at), np.diff(at, append=len(f))
+
+
+def crowded_cells(docs: DataFrame, size: int, least: int, bits: int) -> Bitmap:
+    """The cells into which runs of ``size`` words fall ``least`` times, all runs counted.
+
+    A run that occurs that often is in one of them; nearly all others are not, as
+    long as there are more cells than different runs. Two bytes per occurrence are
+    shuffled, and a task adds up one chunk of cells at a time.
+    """
+
+    def sent(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cells = np.sort(np.concatenate(held))
+        chunks, first = np.unique(cells // SKETCH_CHUNK, return_index=True)
+        parts = np.split((cells % SKETCH_CHUNK).astype("<u2"), first[1:])
+        blobs = pa.array([part.tobytes() for part in parts], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), blobs], ["chunk", "cells"])
+
+    def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for words, _, _ in batches_of_words(batches):
+            fits, fingerprint, _ = words.runs(size, bits)
+            held.append(cells_of(fingerprint[fits], SKETCH_CELLS).astype(np.int32))
+            if sum(map(len, held)) > SKETCH_HELD:
+                yield from sent(held)
+                held = []
+        if sum(map(len, held)):
+            yield from sent(held)
+
+    def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def crowded(chunk: int, counts: np.ndarray) -> pa.RecordBatch:
+            packed = np.packbits(counts >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([packed], pa.binary())], ["chunk", "bits"]
+            )
+
+        at, counts = None, np.zeros(SKETCH_CHUNK, np.int64)
+        for batch in batches:
+            for chunk, cells in zip(batch.column("chunk").to_pylist(), batch.column("cells"), strict=True):
+                if chunk != at:
+                    if at is not None and counts.max() >= least:
+                        yield crowded(at, counts)
+                    at, counts[:] = chunk, 0
+                counts += np.bincount(np.frombuffer(cells.as_py(), "<u2"), minlength=SKETCH_CHUNK)
+        if at is not None and counts.max() >= least:
+            yield crowded(at, counts)
+
+    found = (
+        docs.mapInArrow(dealt, "chunk long, cells binary")
+        .repartition("chunk")
+        .sortWithinPartitions("chunk")
+        .mapInArrow(added, "chunk long, bits binary")
+    )
+    return Bitmap(SKETCH_CELLS, SKETCH_CHUNK, found.collect())
 
 
 RUN_SCHEMA = "n_words int, fingerprint long, check long, n long, pointer long"
 
 
-def counted_runs(docs: DataFrame, sizes: tuple[int, ...], known, bits: int) -> DataFrame:
-    """``RUN_SCHEMA`` per run, task and batch: runs whose shorter parts are in ``known``.
+def counted_runs(docs: DataFrame, sizes: tuple[int, ...], known: dict, bits: int) -> DataFrame:
+    """``RUN_SCHEMA`` per run, task and batch: runs whose parts are all in ``known``.
 
-    ``known`` is a broadcast bitmap of the frequent runs one word shorter, or None.
-    Documents of a batch are taken in the order of their hashes, and the pointer
-    is to the first occurrence, so pointers of all tasks gather in few documents.
+    ``known`` holds broadcast bitmaps by the length of the parts. Documents of a
+    batch are taken in the order of their hashes, and the pointer is to the first
+    occurrence, so pointers of all tasks gather in few documents.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, doc, _ in batches_of_words(batches):
+            frequent = {part: held.value.has(words.runs(part, bits)[1]) for part, held in known.items()}
             for size in sizes:
                 fits, fingerprint, check = words.runs(size, bits)
-                if known is not None:
-                    frequent = known.value.has(words.runs(size - 1, bits)[1])
-                    fits = fits & frequent[:-1] & frequent[1:] if len(fits) else fits
+                for part, has in frequent.items():
+                    for start in range(size - part + 1):
+                        fits &= has[start : start + len(fits)]
                 at = np.flatnonzero(fits)
                 first, n = counted(fingerprint[at], check[at])
                 at = at[first]
@@ -254,10 +333,10 @@ def frequent_runs(docs: DataFrame, least: int, bits: int) -> DataFrame:
     ``low`` and ``high`` are the least and greatest check of the fingerprint. The
     run of no words counts the words of its language; it is kept if frequent.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     found: DataFrame | None = None
-    known = None
-    for sizes in ((0, 1), *((n,) for n in range(2, MOST_WORDS + 1))):
+    known: dict = {}
+    for sizes in PASSES:
         level = cut(
             counted_runs(docs, sizes, known, bits)
             .groupBy("n_words", "fingerprint")
@@ -268,12 +347,15 @@ def frequent_runs(docs: DataFrame, least: int, bits: int) -> DataFrame:
             .filter(F.col("n") >= least)
         )
         found = level if found is None else found.unionByName(level)
-        if known is not None:
-            known.unpersist()
-        if sizes[-1] < MOST_WORDS:
-            known = spark.sparkContext.broadcast(
-                bitmap_of(level.filter(F.col("n_words") == sizes[-1]), "fingerprint")
-            )
+        for held in known.values():
+            held.unpersist()
+        part = sizes[-1]
+        if part == MOST_WORDS:
+            break
+        last = level.filter(F.col("n_words") == part)
+        known = {part: context.broadcast(bitmap_of(last, "fingerprint"))}
+        if part == 1:  # most pairs of words are rare, though both words are not
+            known[2] = context.broadcast(crowded_cells(docs, 2, least, bits))
     return found
 
 

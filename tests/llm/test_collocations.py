@@ -79,6 +79,7 @@ def test_against_counts(spark, bits):
 
 def test_batches_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(col, "BATCH_BYTES", 300)
+    monkeypatch.setattr(col, "PART_BYTES", 50)
     long = "so it goes on and on. " * 3000 + "w" * 50_000 + " end of it " * 200
     rows = [*texts(5, 40), (7, long, "fr", "a"), (8, "so it goes on", "fr", None)]
     assert got(docs(spark, rows), least=20) == plain(rows, 20, 2000)
