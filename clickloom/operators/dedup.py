@@ -43,28 +43,33 @@ def dedup_batch(
 def dedup_stream(
     events: DataFrame,
     keys: Sequence[str] = EVENT_KEY,
-    watermark: str = "5 minutes",
+    keep: str = "5 minutes",
     position: Sequence[str] = MESSAGE_POSITION,
-    arrival: str = "kafka_timestamp",
 ) -> DataFrame:
-    """One row per key on a stream; state is dropped once the watermark passes.
+    """One row per key on a stream; a key is remembered for ``keep`` after it came.
+
+    The clock is that of the query: all rows of a micro-batch have the time the
+    batch began, which Spark writes to the checkpoint before it runs. No row can
+    be older than the watermark of this clock, so none is ever late, however far
+    its event time lies behind, in whatever order events come, and with or without
+    a readable time. State holds the keys of the last ``keep`` of operation. A
+    copy that comes later than that passes; a restart does not forget keys, as
+    the watermark moves on only after the first micro-batch.
 
     A stream cannot combine copies before its shuffle, so all copies of one key
     would meet in one task. They are first cut down to one per key and salt,
     with the salt taken from the ``position`` that tells copies apart, and then
     to one per key. Without such columns there is only the second step.
 
-    The state of a key lives by the event time, and by ``arrival`` for events
-    whose time could not be read; without that column such events keep no state
-    and their copies all pass.
+    A query has one watermark column, so windows over event time need a query of
+    their own, on the table this one writes.
     """
-    clock = [F.col(c) for c in ("event_ts", arrival) if c in events.columns]
-    marked = events.withColumn("_clock", F.coalesce(*clock)).withWatermark("_clock", watermark)
+    marked = events.withColumn("_came", F.current_timestamp()).withWatermark("_came", keep)
     position = [c for c in position if c in events.columns]
     if position:
         salt = F.pmod(F.xxhash64(*position), F.lit(COPY_SALTS))
         marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"])
-    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_salt", "_clock")
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_salt", "_came")
 
 
 def upsert(

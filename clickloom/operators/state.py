@@ -1,29 +1,47 @@
 """State rebuilt from past events: running cart per session, login per user.
 
-Both are prefix scans: the value at an event depends on all earlier events of
-its key. A plain window over the key would sort all events of a hot session or
-user in one task. Here the events of a key are cut into slices: one per day, and
-a crowded day into as many as keep a slice near ``rows_per_slice``. A window runs
-inside each slice, each slice is reduced to one summary row, the summaries are
-scanned per key, and every event adds the state its slice started with. The
-results are those of the plain window.
+The value at an event depends on all earlier events of its key. It is a running
+sum that some events reset, so it is scanned in ranges of rows (``running.py``)
+rather than in a window per key. On a stream see ``keyed_streams.py``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import exact_amount, is_type
-from clickloom.functions.intervals import floor_micros, interval_micros
-from clickloom.operators.bounds import fits_broadcast
+from clickloom.functions.columns import MONEY_SCALE, exact_amount, is_type
+from clickloom.operators.running import KEEP, RESET_AFTER, RESET_BEFORE, running_sums
 
-ROWS_PER_SLICE = 2_000_000
 ORDER = ("event_ts", "event_id")
-BEFORE_ALL = -(2**63)
 
+# Amounts are added up as two whole numbers of this base, as one would be too long.
+_BASE = 10**9
 
-def cart_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+
+def units(amount: Column) -> Column:
+    """An amount in the smallest unit of money, a decimal; 0 for one that is none."""
+    whole = (exact_amount(amount) * F.lit(10**MONEY_SCALE)).cast("decimal(30,0)")
+    return F.coalesce(whole, F.lit(0).cast("decimal(30,0)"))
+
+
+def added_units() -> Column:
+    """What an event adds to its cart."""
+    return F.when(
+        is_type("add_to_cart"), units(F.round(F.col("price") * F.col("quantity"), 2))
+    ).otherwise(F.lit(0).cast("decimal(30,0)"))
+
+
+def shown_cart(cart: Column, price: Column) -> Column:
+    """What an event shows of a cart, both in units, as an amount."""
+    shown = F.when(is_type("remove_from_cart"), F.greatest(cart - price, F.lit(0))).when(
+        is_type("add_to_cart", "checkout_start", "checkout_complete"), cart
+    )
+    amount = shown.cast("decimal(38,4)") / F.lit(10**MONEY_SCALE)
+    return F.round(amount.cast("double"), 2)
+
+
+def cart_state(events: DataFrame) -> DataFrame:
     """Add ``running_cart``: the cart value a cart or checkout event shows.
 
     ``add_to_cart`` adds price times quantity, rounded to cents.
@@ -34,127 +52,21 @@ def cart_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataF
     without a cart shows 0. A price that is no plain amount (NaN, infinite, over
     1e15, finer than the money scale) adds nothing and takes nothing off.
     """
-    added = F.when(
-        is_type("add_to_cart"),
-        exact_amount(F.round(F.col("price") * F.col("quantity"), 2)),
+    added = added_units()
+    upper = F.floor(added / F.lit(_BASE))
+    parts = {"_cart_upper": upper, "_cart_lower": added - upper * F.lit(_BASE)}
+    emptied = F.when(is_type("checkout_complete"), RESET_AFTER).otherwise(KEEP)
+    scanned = running_sums(events, "session_id", ORDER, parts, emptied)
+    wide = lambda c: F.col(c).cast("decimal(20,0)")
+    cart = wide("_cart_upper") * F.lit(_BASE) + wide("_cart_lower")
+    return scanned.select(
+        *events.columns, shown_cart(cart, units(F.col("price"))).alias("running_cart")
     )
-    keys = ["session_id", "_slice"]
-    earlier = Window.partitionBy(*keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    so_far = earlier.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    sliced = _sliced(events, "session_id", rows_per_slice).withColumn(
-        "_added", F.coalesce(added, F.lit(0))
-    )
-    scanned = (
-        sliced.withColumn("_sum", F.sum("_added").over(so_far))
-        .withColumn("_sum_at_checkout", F.when(is_type("checkout_complete"), F.col("_sum")))
-        .withColumn("_emptied_at", F.last("_sum_at_checkout", ignorenulls=True).over(earlier))
-    )
-
-    # Sum at the last checkout of the slice, null if it has none.
-    last_checkout = F.max_by(
-        "_sum_at_checkout", F.when(F.col("_sum_at_checkout").isNotNull(), F.struct(*ORDER))
-    )
-    summaries = scanned.groupBy(*keys).agg(
-        F.sum("_added").alias("_total"), last_checkout.alias("_emptied")
-    )
-    # Slices of a session since (and with) the one that last emptied the cart.
-    before = (
-        Window.partitionBy("session_id")
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    through = before.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = (
-        summaries.withColumn("_running", F.sum("_total").over(through))
-        .withColumn("_start", F.col("_running") - F.col("_total"))
-        .withColumn("_base", F.when(F.col("_emptied").isNotNull(), F.col("_start") + F.col("_emptied")))
-        .withColumn(
-            "_carry",
-            F.col("_start") - F.coalesce(F.last("_base", ignorenulls=True).over(before), F.lit(0)),
-        )
-        .select(*keys, "_carry")
-    )
-
-    # A checkout inside the slice makes the carried cart irrelevant.
-    inside = F.col("_sum") - F.coalesce(F.col("_emptied_at"), F.lit(0))
-    carry = F.when(F.col("_emptied_at").isNull(), F.coalesce("_carry", F.lit(0))).otherwise(0)
-    cart = inside + carry
-    price = F.coalesce(exact_amount(F.col("price")), F.lit(0))
-    shown = (
-        F.when(is_type("remove_from_cart"), F.greatest(cart - price, F.lit(0)))
-        .when(is_type("add_to_cart", "checkout_start", "checkout_complete"), cart)
-    )
-    joined = _join_slices(scanned, carried, "session_id")
-    return joined.select(*events.columns, F.round(shown.cast("double"), 2).alias("running_cart"))
 
-
-def login_state(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def login_state(events: DataFrame) -> DataFrame:
     """Add ``logged_in``: whether the user is logged in at (and after) the event."""
-    change = F.when(is_type("user_login"), True).when(is_type("user_logout"), False)
-    keys = ["user_id", "_slice"]
-    so_far = (
-        Window.partitionBy(*keys)
-        .orderBy(*ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    sliced = _sliced(events, "user_id", rows_per_slice).withColumn("_change", change)
-    scanned = sliced.withColumn("_last", F.last("_change", ignorenulls=True).over(so_far))
-
-    summaries = sliced.groupBy(*keys).agg(
-        F.max_by("_change", F.when(F.col("_change").isNotNull(), F.struct(*ORDER))).alias("_last")
-    )
-    before = (
-        Window.partitionBy("user_id")
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = summaries.select(
-        *keys, F.last("_last", ignorenulls=True).over(before).alias("_carry")
-    )
-    state = F.coalesce(F.col("_last"), F.col("_carry"), F.lit(False))
-    joined = _join_slices(scanned, carried, "user_id")
-    return joined.select(*events.columns, state.alias("logged_in"))
-
-
-def _sliced(events: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
-    """Add ``_slice``, the start of the slice of time the event falls into.
-
-    The crowded days are few whatever the data: at most one for every
-    ``rows_per_slice`` events of the table. They are measured all the same and
-    broadcast only within the bound; beyond it the join shuffles, and adaptive
-    execution splits its skewed partitions. Events without a time sort first, as
-    they do in a window.
-    """
-    micros = F.unix_micros(F.col("event_ts"))
-    day_micros = interval_micros("1 day")
-    day = F.coalesce(floor_micros(F.col("event_ts"), day_micros), F.lit(BEFORE_ALL))
-    parts = F.ceil(F.col("_rows") / F.lit(rows_per_slice))
-    crowded = (
-        events.groupBy(F.col(key).alias("_key"), day.alias("_of_day"))
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows_per_slice)
-        .select("_key", "_of_day", parts.alias("_parts"))
-    )
-    if fits_broadcast(crowded):
-        crowded = F.broadcast(crowded)
-    dated = events.withColumn("_day", day)
-    crowd = (F.col(key) == F.col("_key")) & (F.col("_day") == F.col("_of_day"))
-    width = F.greatest(F.floor(day_micros / F.col("_parts")), F.lit(1))
-    start = F.when(
-        F.col("_parts").isNotNull() & F.col("event_ts").isNotNull(),
-        micros - F.pmod(micros - F.col("_day"), width),
-    ).otherwise(F.col("_day"))
-    return (
-        dated.join(crowded, crowd, "left")
-        .withColumn("_slice", start)
-        .drop("_key", "_of_day", "_day", "_parts")
-    )
-
-
-def _join_slices(rows: DataFrame, carried: DataFrame, key: str) -> DataFrame:
-    """Give each event the state carried into its slice.
-
-    The join keys are the window keys, so the events are not shuffled again.
-    """
-    return rows.join(carried, [key, "_slice"], "left")
+    changes = F.when(is_type("user_login", "user_logout"), RESET_BEFORE).otherwise(KEEP)
+    logins = {"_logins": F.when(is_type("user_login"), 1).otherwise(0)}
+    scanned = running_sums(events, "user_id", ORDER, logins, changes)
+    return scanned.select(*events.columns, (F.col("_logins") > 0).alias("logged_in"))

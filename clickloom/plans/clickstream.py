@@ -19,6 +19,7 @@ from clickloom.operators import dedup, serialize, silver, totals
 from clickloom.operators.alerts import high_value_purchases
 from clickloom.operators.catalog import lookup
 from clickloom.operators.enrich import enrich
+from clickloom.operators.keyed_streams import stream_cart, stream_login
 from clickloom.operators.quality import quality_report
 from clickloom.operators.routing import (
     corrupt_records,
@@ -519,8 +520,9 @@ def _by_file(frame: DataFrame, part, name: str) -> DataFrame:
     """``frame`` as a stream of files in the order of ``part``, one per micro-batch."""
     spark = frame.sparkSession
     path = f"{fresh_dir(spark, name)}/in"
-    fixture.ordered_files(frame, part, path)
-    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = fixture.ordered_files(frame, part, path)
+    reader = spark.readStream.schema(frame.schema).option("recursiveFileLookup", "true")
+    return reader.option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _sent_by_file(flat: DataFrame, name: str) -> DataFrame:
@@ -545,10 +547,50 @@ def _stream_dedup(spark, sf_dir):
     )
     again = F.col("part") + F.when(unreadable & (F.col("delivery") == 2), 1).otherwise(0)
     stream = _by_file(delivered, again, "dedup_files")
-    once = dedup.dedup_stream(stream, watermark="90 days", position=["n", "delivery"])
+    once = dedup.dedup_stream(stream, position=["n", "delivery"])
     return _drain(once.select("event_id", "event_type", "user_id", "event_ts"), "dedup")
 
 
+@query("stream_dedup_lag")
+def _stream_dedup_lag(spark, sf_dir):
+    """Copies over several files whose events lie hours behind their arrival, and out of order.
+
+    Messages come in the order of a hash, so that event times jump back and forth
+    over the whole month; some times cannot be read; the second copy of an event
+    comes up to five files after the first. Everything stays at the defaults.
+    """
+    flat = _flat(spark, sf_dir)
+    stamp = F.col("event_ts").cast("timestamp")
+    unreadable = F.col("n") % 4 == 1
+    came = F.pmod(F.xxhash64("n"), F.lit(8)).cast("int")
+    delivered = fixture.with_resent(flat).withColumns(
+        {
+            "kafka_timestamp": stamp + F.expr("INTERVAL 7 HOURS"),
+            "event_ts": F.when(~unreadable, stamp),
+            "came": came + F.when(F.col("delivery") == 2, 1 + F.col("n") % 5).otherwise(0),
+        }
+    )
+    stream = _by_file(delivered, F.col("came").cast("int"), "lag_files")
+    once = dedup.dedup_stream(stream, position=["n", "delivery"])
+    return _drain(once.select("event_id", "event_type", "user_id", "event_ts"), "dedup_lag")
+
+
+def _events_by_file(spark, sf_dir, name: str) -> DataFrame:
+    """Valid events as a stream of twelve files in the order of time."""
+    flat = fixture.in_parts(spark, _flat(spark, sf_dir))
+    return valid_events(parse_messages(_sent_by_file(flat, name)), fixture.clock())
+
+
+@query("stream_cart")
+def _stream_cart(spark, sf_dir):
+    return _drain(stream_cart(_events_by_file(spark, sf_dir, "cart_files")), "cart")
+
+
+@query("stream_login")
+def _stream_login(spark, sf_dir):
+    return _drain(stream_login(_events_by_file(spark, sf_dir, "login_files")), "login")
+
+
 @query("stream_late")
 def _stream_late(spark, sf_dir):
     """Cells over ordered files in which some events come three files late and are dropped.

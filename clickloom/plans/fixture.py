@@ -131,15 +131,37 @@ def _utc() -> Column:
     return F.col("event_ts").cast("timestamp")
 
 
-def ordered_files(frame: DataFrame, part: Column, path: str) -> None:
-    """Write ``frame`` as one file per part, in the order of the parts.
+ROWS_PER_FILE = 1_000_000
 
-    A file stream takes files by the time they were written.
+
+def ordered_files(frame: DataFrame, part: Column, path: str) -> int:
+    """Write ``frame`` as files in the order of its parts; returns the files of a part.
+
+    One job writes all parts, each into a folder of its own and, if it is large,
+    into several files. A file stream takes files by their time, so theirs are set
+    in the order of the parts; a trigger of as many files as returned takes one part.
     """
-    parts = frame.withColumn("_part", part)
-    for i in range(PARTS + 3):
-        one = parts.filter(F.col("_part") == i).drop("_part")
-        one.coalesce(1).write.mode("append").parquet(path)
+    spark = frame.sparkSession
+    parts = frame.withColumn("_part", part).filter("_part is not null")
+    most = parts.groupBy("_part").count().agg(F.max("count")).first()[0] or 0
+    files = -(-most // ROWS_PER_FILE) or 1
+    dealt = parts.withColumn("_file", F.pmod(F.xxhash64(*frame.columns), F.lit(files)))
+    (
+        dealt.repartition(files * (PARTS + 3), "_part", "_file")
+        .write.partitionBy("_part", "_file")
+        .parquet(path)
+    )
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = written.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    placed = names.select(
+        "path", F.regexp_extract("path", "_part=([0-9]+)/", 1).cast("int").alias("part")
+    )
+    for row in placed.orderBy("part", "path").collect():
+        # Some time ago, so that the last ones are no newer than the stream's start.
+        stamp = 1_700_000_000_000 + 60_000 * row["part"]
+        store.setTimes(spark._jvm.org.apache.hadoop.fs.Path(row["path"]), stamp, -1)
+    return files
 
 
 def doubled_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

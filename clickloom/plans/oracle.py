@@ -142,6 +142,10 @@ SELECT event_id, user_id, event_type, event_ts,
     false) AS logged_in
 FROM valid"""
 
+# Where the watermark of the valid events ends; it counts in milliseconds.
+PASSED = f"""(SELECT date_trunc('milliseconds', max(event_ts) - INTERVAL '5 minutes')
+FROM ({WITH} SELECT event_ts FROM valid))"""
+
 HIGH_VALUE = "CASE WHEN isnan(coalesce(cart_value, 0)) THEN false ELSE coalesce(cart_value, 0) >= 500 END"
 ALERTS = f"""{WITH}
 SELECT event_id, event_ts, order_id, user_id, coalesce(cart_value, 0) AS amount, payment_method,
@@ -373,6 +377,10 @@ SELECT event_type, count(*) AS event_count FROM valid GROUP BY event_type""",
     "stream_sessions": _sessions("12 hours", f"WHERE session_end <= {CLOSED}"),
     "stream_dedup": f"""{WITH}
 SELECT event_id, event_type, user_id, CASE WHEN n % 4 <> 1 THEN event_ts END AS event_ts FROM flat""",
+    "stream_dedup_lag": f"""{WITH}
+SELECT event_id, event_type, user_id, CASE WHEN n % 4 <> 1 THEN event_ts END AS event_ts FROM flat""",
+    "stream_cart": f"""SELECT * FROM ({CART}) WHERE event_ts < {PASSED}""",
+    "stream_login": f"""SELECT * FROM ({LOGIN}) WHERE event_ts < {PASSED}""",
     "stream_late": _cells("1 minute", where=f"WHERE window_end <= {CLOSED}")
     .replace(",\nstarts AS (", f",\n{PARTED},\nstarts AS (")
     .replace("FROM valid v CROSS JOIN", "FROM (SELECT * FROM parted WHERE NOT (n % 10 = 7 AND part < 9)) v CROSS JOIN"),

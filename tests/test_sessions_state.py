@@ -4,9 +4,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators import state
+from clickloom.operators.running import RANGES, running_sums
 from clickloom.operators.sessions import batch_sessions
-from clickloom.operators.state import _sliced, cart_state, login_state
+from clickloom.operators.state import cart_state, login_state
 from clickloom.schema import EVENT_TYPES
 
 SCHEMA = """event_id string, event_type string, event_ts timestamp, user_id string,
@@ -48,8 +48,17 @@ def cents(x):
     return round(x * 100)
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 7, 100, 10_000])
-def test_cart_state(spark, rows_per_slice):
+@pytest.fixture
+def ranges(spark):
+    """Sets the number of ranges for a test."""
+    before = spark.conf.get(RANGES)
+    yield lambda n: spark.conf.set(RANGES, n)
+    spark.conf.set(RANGES, before)
+
+
+@pytest.mark.parametrize("n_ranges", [1, 3, 8, 40])
+def test_cart_state(spark, ranges, n_ranges):
+    ranges(n_ranges)
     rows, events = make_events(spark, 1500, 3, 4000)
     want = {}
     for members in in_order(rows, 4).values():
@@ -66,13 +75,14 @@ def test_cart_state(spark, rows_per_slice):
             want[r[0]] = None if shown is None else shown / 100
             if kind == "checkout_complete":
                 cart = 0
-    got = cart_state(events, rows_per_slice)
+    got = cart_state(events)
     assert got.columns == [*events.columns, "running_cart"]
     assert {r.event_id: r.running_cart for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 7, 100, 10_000])
-def test_login_state(spark, rows_per_slice):
+@pytest.mark.parametrize("n_ranges", [1, 3, 8, 40])
+def test_login_state(spark, ranges, n_ranges):
+    ranges(n_ranges)
     rows, events = make_events(spark, 1500, 4, 4000)
     want = {}
     for members in in_order(rows, 3).values():
@@ -80,26 +90,67 @@ def test_login_state(spark, rows_per_slice):
         for r in members:
             state = {"user_login": True, "user_logout": False}.get(r[1], state)
             want[r[0]] = state
-    assert {r.event_id: r.logged_in for r in login_state(events, rows_per_slice).collect()} == want
-
-
-def test_a_hot_key_is_cut_into_slices(spark):
-    _, events = make_events(spark, 3000, 6, 4000)
-    sliced = _sliced(events, "session_id", 50)
-    sizes = sliced.groupBy("session_id", "_slice").count()
-    hot = [r["count"] for r in sizes.filter("session_id = 'S-hot'").collect()]
-    assert sum(hot) > 900 and max(hot) < 150
-    # Keys without a crowded day keep one slice per day.
-    assert sizes.filter("session_id <> 'S-hot'").groupBy("session_id").count().agg(
-        F.max("count")
-    ).first()[0] <= 4
-
-
-def test_state_without_broadcast(spark, monkeypatch):
-    _, events = make_events(spark, 600, 8, 4000)
-    want = sorted(cart_state(events, 20).collect(), key=str), sorted(login_state(events, 20).collect(), key=str)
-    monkeypatch.setattr(state, "fits_broadcast", lambda frame: False)
-    assert want == (sorted(cart_state(events, 20).collect(), key=str), sorted(login_state(events, 20).collect(), key=str))
+    assert {r.event_id: r.logged_in for r in login_state(events).collect()} == want
+
+
+@pytest.mark.parametrize("mode", ["burst", "no times"])
+def test_no_range_holds_twice_its_share(spark, ranges, mode):
+    """One session, all within one second or without any time."""
+    ranges(10)
+    at = {"burst": "timestamp'2024-05-01 10:00:00Z' + make_dt_interval(0, 0, 0, (id % 7) / 10)",
+          "no times": "cast(null AS timestamp)"}[mode]
+    rows = spark.range(20_000, numPartitions=6).selectExpr(
+        "'S' AS session_id", f"{at} AS event_ts", "concat('e', lpad(id, 6, '0')) AS event_id"
+    )
+    scanned = running_sums(
+        rows, "session_id", ("event_ts", "event_id"), {"nth": F.lit(1)}, F.lit(0)
+    ).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in scanned.groupBy("task").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 2 * 20_000 / 10
+    window = "row_number() over (order by event_ts, event_id)"
+    assert scanned.selectExpr("nth", f"{window} AS want").filter("nth <> want").isEmpty()
+
+
+def test_running_sums_against_python(spark, ranges):
+    ranges(16)
+    rng = random.Random(12)
+    keys = [None, "", "a", "b", *"cdefgh"] + ["hot"] * 8
+    rows = [
+        (rng.choice(keys), rng.choice([None, *range(5)]), i, rng.choice([None, 1, -3, 10**15]),
+         rng.choices([0, 1, 2], [12, 1, 1])[0])
+        for i in range(1500)
+    ]
+    frame = spark.createDataFrame(rows, "key string, at int, id int, x long, reset int").repartition(5)
+    got = running_sums(frame, "key", ("at", "id"), {"s": F.col("x"), "n": F.lit(1)}, F.col("reset"))
+    state, want = {}, {}
+    for key, at, i, x, reset in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        s, n = (0, 0) if reset == 1 else state.get(key, (0, 0))
+        want[i] = s, n = s + (x or 0), n + 1
+        state[key] = (0, 0) if reset == 2 else (s, n)
+    assert {r["id"]: (r["s"], r["n"]) for r in got.collect()} == want
+    assert got.filter("false").count() == 0 and got.columns == [*frame.columns, "s", "n"]
+    empty = running_sums(frame.limit(0), "key", ("at", "id"), {"n": F.lit(1)}, F.lit(0))
+    assert empty.count() == 0
+
+
+def test_state_runs_nothing_while_built_and_reads_once(spark):
+    _, events = make_events(spark, 400, 3, 600)
+    spark.sparkContext.setJobGroup("build", "building")
+    carts = cart_state(events)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    carts.collect()
+    plan = carts._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if "rangepartitioning" in line]
+    assert sorted("ReusedExchange" in line for line in dealt) == [False, True]
+    assert final.count("Scan ExistingRDD") == 1
+
+
+def test_state_refuses_columns_it_uses(spark):
+    _, events = make_events(spark, 5, 3, 600)
+    with pytest.raises(ValueError):
+        cart_state(events.withColumn("_range", F.lit(1)))
 
 
 def test_state_keeps_events_without_time(spark):

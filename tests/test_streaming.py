@@ -1,5 +1,7 @@
 import json
 import os
+import random
+import time
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
@@ -8,7 +10,7 @@ import pytest
 from conftest import as_message, event, purchase
 from pyspark.sql import functions as F
 
-from clickloom.operators import dedup, sessions, silver
+from clickloom.operators import dedup, keyed_streams, sessions, silver, state
 from clickloom.operators.enrich import enrich
 from clickloom.operators.routing import observe_routes, parse_messages, valid_events
 from clickloom.options import JobOptions
@@ -47,11 +49,15 @@ def drop_files(spark, path, *batches):
     """One file per batch, with arrival times that keep their order."""
     for payloads in batches:
         rows = [as_message(payload, i) for i, payload in enumerate(payloads)]
-        message_frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
-        names = [n for n in os.listdir(path) if n.endswith(".parquet")]
-        newest = max(names, key=lambda n: os.stat(f"{path}/{n}").st_mtime_ns)
-        position = len(names)
-        os.utime(f"{path}/{newest}", (1_700_000_000 + position, 1_700_000_000 + position))
+        add_file(message_frame(spark, rows), path)
+
+
+def add_file(frame, path):
+    frame.coalesce(1).write.mode("append").parquet(path)
+    names = [n for n in os.listdir(path) if n.endswith(".parquet")]
+    newest = max(names, key=lambda n: os.stat(f"{path}/{n}").st_mtime_ns)
+    position = len(names)
+    os.utime(f"{path}/{newest}", (1_700_000_000 + position, 1_700_000_000 + position))
 
 
 def events_of(raw):
@@ -167,6 +173,83 @@ def test_stream_dedup_over_batches(spark, options):
     assert sorted(r.event_id for r in got.collect()) == sorted(["hot", "new", *(f"e{i}" for i in range(5))])
 
 
+def arrivals(spark, path, *batches):
+    """One file per batch of (event_id, minutes of event time or None)."""
+    for batch in batches:
+        rows = [(i, None if m is None else START + timedelta(minutes=m)) for i, m in batch]
+        add_file(spark.createDataFrame(rows, "event_id string, event_ts timestamp"), path)
+
+
+def followed(spark, path):
+    schema = "event_id string, event_ts timestamp"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_stream_dedup_loses_nothing_to_an_unreadable_time(spark, options):
+    """Event times hours apart, falling, and one that is missing; each event twice."""
+    files = [[(f"e{i}", -600 * i), ("bad", None)] for i in range(6)]
+    arrivals(spark, options.source_path, *files, [(f"e{i}", -600 * i) for i in range(6)])
+    got, _ = run(dedup.dedup_stream(followed(spark, options.source_path)), "once", options)
+    assert sorted(r.event_id for r in got.collect()) == ["bad", *(f"e{i}" for i in range(6))]
+
+
+def test_stream_dedup_forgets_keys(spark, options):
+    """State holds what came within ``keep``, however many keys there were before."""
+    rows = []
+    for i in range(4):
+        arrivals(spark, options.source_path, [(f"e{i}-{j}", 0) for j in range(100)])
+        frame = dedup.dedup_stream(followed(spark, options.source_path), keep="1 second")
+        _, query = run(frame, "once", options)
+        rows.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(2)
+    assert rows[0] == 100 and max(rows) <= 200
+
+
+@pytest.mark.parametrize("order", ["shuffled", "reversed in file", "ordered"])
+def test_keyed_streams_equal_batch_state(spark, options, order):
+    rng = random.Random(order)
+    kinds = ["add_to_cart", "remove_from_cart", "checkout_start", "checkout_complete", "user_login",
+             "user_logout", "page_view"]
+    rows = [
+        (f"e{i:04d}", rng.choice(kinds), START + timedelta(seconds=i * 20 + 0.0005 * (i % 3)),
+         rng.choice(["U-1", "U-2", "U-hot"]), rng.choice(["S-1", "S-2", "S-hot"]),
+         rng.choice([None, 3.5, 20.25, float("nan")]), rng.choice([None, 1, 4]))
+        for i in range(300)
+    ]
+    schema = ("event_id string, event_type string, event_ts timestamp, user_id string, "
+              "session_id string, price double, quantity int")
+    sent = [rows[at : at + 50] for at in range(0, 300, 50)]
+    for i, part in enumerate(sent):
+        part = [*part, (f"no-time-{i}", "add_to_cart", None, "U-1", "S-1", 5.0, 1)]
+        if order == "reversed in file":
+            part.reverse()
+        if order == "shuffled":
+            rng.shuffle(part)
+        add_file(spark.createDataFrame(part, schema), options.source_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(options.source_path)
+    closed = rows[-1][2] - timedelta(minutes=5)
+    batch = spark.createDataFrame(rows, schema)
+    for on_stream, on_batch, key, column in (
+        (keyed_streams.stream_cart, state.cart_state, "session_id", "running_cart"),
+        (keyed_streams.stream_login, state.login_state, "user_id", "logged_in"),
+    ):
+        got, query = run(on_stream(stream), column, options)
+        names = ["event_id", key, "event_type", "event_ts", column]
+        want = on_batch(batch).filter(F.col("event_ts") < closed).select(names)
+        assert sorted(map(tuple, got.select(names).collect())) == sorted(map(tuple, want.collect()))
+        assert len(query.recentProgress) >= 6
+
+
+def test_keyed_streams_forget_idle_keys(spark, options):
+    schema = "event_id string, event_type string, event_ts timestamp, session_id string, price double, quantity int"
+    for i, (session, minute) in enumerate([("S-a", 0), ("S-b", 10), ("S-b", 200), ("S-a", 210), ("S-c", 400)]):
+        row = [(f"e{i}", "add_to_cart", START + timedelta(minutes=minute), session, 2.0, 1)]
+        add_file(spark.createDataFrame(row, schema), options.source_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(options.source_path)
+    got, _ = run(keyed_streams.stream_cart(stream, keep="60 minutes"), "cart", options)
+    assert {r.event_id: r.running_cart for r in got.collect()} == {"e0": 2.0, "e1": 2.0, "e2": 2.0, "e3": 2.0}
+
+
 def test_job_restarts_without_repeating(spark, options):
     first = [at(0, event_id="a"), purchase(event_id="p"), "bad", at(1, event_type="odd", event_id="o")]
     drop_files(spark, options.source_path, first)
