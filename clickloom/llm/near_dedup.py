@@ -10,16 +10,23 @@ joint likelihood of larger, smaller and equal registers, with the set sizes
 known, drops candidates that cannot reach the threshold; the rest are confirmed
 on their full sets.
 
-Equal sets are one node. Inside a bucket no pairs of all members are formed: a
-few leaders are compared with the members of other components, components are
-joined, and buckets with more than one component go on with their next leaders,
-eight times as many each round, until every bucket lies in one component or has
-had all its members as leaders. The first round has one leader in each bucket of
-a few bands; from the second round on, a node's shingles that occur in no other
-component are counted: nodes and pairs that cannot reach the threshold without
-them are left out, as are pairs whose rarest common shingles do not meet, which
-linked sets' must. So no link inside a bucket is lost, and the
-work on a group of copies grows with its rows. With the defaults a link at the
+Equal sets are one node. First the members of each bucket of a few bands are
+compared with one leader of the bucket, which joins most of what belongs
+together. Nodes that have not enough shingles in common with other components,
+and buckets of one component, are done then. What is left is clustered by common
+buckets, and no pairs of all members are formed there either: each cluster has a
+core, the shingles of more than half of its members, and a set is told by how it
+differs from the core. Two sets differ in what only one of them differs in, so
+
+- with few differences each they are linked whatever these are, and then both
+  are linked with the member closest to the core as well: one comparison each;
+- otherwise they must have some differences in common, by their numbers at least
+  a known number of them, and so one among the rarest of each. Only such pairs
+  of different components are made.
+
+So no link inside a bucket is lost, no pair is dropped by a limit, and the work
+on a group of near copies of one text grows with its rows, not their square, also
+where hardly any two of them reach the threshold. With the defaults a link at the
 threshold shares no bucket with a chance of 5e-7.
 
 Defined cases: texts without a word, and null texts, have an empty set, are
@@ -40,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import WORD, cut, map_batches, release
+from clickloom.llm.common import WORD, cut, map_batches
 from clickloom.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -54,7 +61,6 @@ HIGHEST = 65_535
 # Candidates whose best likelihood at or above the threshold falls short of the
 # overall best by more than this (in nats) are dropped: odds of 6e-7 at most.
 LEAST_LIKELIHOOD = 14.0
-LEADER_GROWTH = 8
 # The first round looks at these bands only: it joins most of what belongs together.
 FIRST_BANDS = 12
 
@@ -253,117 +259,156 @@ def confirmed(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return map_batches(both_sides(pairs, held, "elements"), run, "a long, b long")
 
 
-def shared_outside(active: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """(id, n, c, wide, narrow): what a node has in common with other components.
+def able_outside(placed: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The ids in ``placed`` (id, component) that can be linked with another component.
 
-    c of its n shingles occur in active nodes of other components too; two nodes
-    of different components have no more than the smaller c in common. In the
-    order of their frequency, rarest first, two linked nodes meet among the first
-    of these shingles: the smaller one's ``narrow`` and the larger one's ``wide``
-    list have one in common.
+    At least ``percent`` of a linked node's shingles occur in the other component.
     """
-    placed = active.select("id", "component").distinct()
     rows = held.join(placed, "id").select("id", "component", F.explode("elements").alias("e"))
     spread = (
         rows.groupBy("e")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"),
-             F.count("*").alias("times"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high")
-        .select("e", "times")
-    )
-    lists = (
-        rows.join(spread, "e")
-        .groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("common"))
+        .select("e")
+    )
+    common = rows.join(spread, "e").groupBy("id").agg(F.count("*").alias("c"))
+    # An id with several texts is measured by the shortest of them.
+    sizes = held.groupBy("id").agg(F.min("n").alias("n"))
+    return common.join(sizes, "id").filter(100 * F.col("c") >= percent * F.col("n")).select("id")
+
+
+def clustered(active: DataFrame) -> DataFrame:
+    """(id, cluster) of the nodes in ``active`` (key, id): those joined by common keys."""
+    first = active.groupBy("key").agg(F.min("id").alias("b"))
+    links = active.join(first, "key").select(F.col("id").alias("a"), "b")
+    return components(links).withColumnRenamed("component", "cluster")
+
+
+def differences(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` (id, component, cluster, n, elements) by what sets them off their core.
+
+    Gives (id, component, cluster, set, differs, weight). Two sets are linked if
+    their weights together are at most 2 * (100 + percent) times the number of
+    differences that they have in common.
+    """
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("members"))
+    counts = (
+        members.select("cluster", F.explode("elements").alias("e"))
+        .groupBy("cluster", "e")
+        .agg(F.count("*").alias("times"))
     )
-    sizes = held.groupBy("id").agg(F.min("n").alias("n"), F.count("*").alias("texts"))
-    n, c = F.col("n"), F.size("common")
-    # An id with several texts keeps all its common shingles.
-    first = lambda least: F.when(F.col("texts") > 1, c).otherwise(
-        F.greatest(c - F.ceil(least).cast("int") + 1, F.lit(0))
+    core = (
+        counts.join(sizes, "cluster")
+        .filter(2 * F.col("times") > F.col("members"))
+        .groupBy("cluster")
+        .agg(F.collect_list("e").alias("core"))
     )
+    core_or_none = F.coalesce("core", F.array().cast("array<long>"))
+    differs = F.concat(
+        F.array_except("elements", core_or_none), F.array_except(core_or_none, "elements")
+    )
+    weight = (100 + percent) * F.size("differs") - (100 - percent) * F.col("n")
     return (
-        lists.join(sizes, "id")
-        .withColumn("wide", F.slice(F.col("common.e"), F.lit(1), first(n * percent / 100)))
-        .withColumn(
-            "narrow",
-            F.slice(F.col("common.e"), F.lit(1), first(n * (2 * percent) / (100 + percent))),
+        members.join(core, "cluster", "left")
+        .withColumn("differs", differs)
+        .select(
+            "id", "component", "cluster", F.xxhash64("elements").alias("set"), "differs",
+            weight.cast("long").alias("weight"),
         )
-        .select("id", "n", c.cast("long").alias("c"), "wide", "narrow")
-    )
+    )
 
 
-def sharing_pairs(pairs: DataFrame, shared: DataFrame) -> DataFrame:
-    """The pairs whose rare common shingles do not rule a link out."""
-    meet = F.when(
-        F.col("n_a") <= F.col("n_b"), F.arrays_overlap("narrow_a", "wide_b")
-    ).otherwise(F.arrays_overlap("wide_a", "narrow_b"))
-    return both_sides(pairs, shared, "n", "wide", "narrow").filter(meet).select("a", "b")
+def cluster_pairs(told: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different components that the differences leave possible.
+
+    With the pairs of each member and its cluster's closest one, they decide the
+    components of every cluster.
+    """
+    unit = 2 * (100 + percent)
+    closest = told.groupBy("cluster").agg(
+        F.min(F.struct("weight", "id", "component")).alias("best")
+    )
+    told = told.join(closest, "cluster")
+    w, best = F.col("weight"), F.col("best.weight")
+    direct = told.filter((w + best <= 0) & (F.col("component") != F.col("best.component")))
+    direct = direct.select(F.col("id").alias("a"), F.col("best.id").alias("b"))
+
+    # Of a pair of different components, one at least is not linked with the closest
+    # member directly: its weight is above that of all that are, taken negatively.
+    partner = F.when(w + best <= 0, 1 - best).otherwise(best)
+    needed = lambda sum_: F.greatest(F.ceil(sum_ / F.lit(unit)), F.lit(1))
+    member = ["cluster", "id", "set"]
+    tokens = told.select(
+        *member, "component", "weight", F.size("differs").alias("n_differs"),
+        needed(w + partner).alias("least"), F.explode("differs").alias("e"),
+    )
+    times = tokens.groupBy("cluster", "e").agg(F.count("*").alias("times")).filter("times > 1")
+    # The place of a difference among all of its set, those of no other set first.
+    order = Window.partitionBy(*member).orderBy("times", "e")
+    known = tokens.join(times, ["cluster", "e"])
+    alone = F.col("n_differs") - F.count("*").over(Window.partitionBy(*member))
+    first = (
+        known.withColumn("place", alone + F.row_number().over(order) - 1)
+        .filter(F.col("place") <= F.col("n_differs") - F.col("least"))
+        .drop("set", "times", "least")
+    )
+    a, b = first.alias("a"), first.alias("b")
+    in_common = needed(F.col("a.weight") + F.col("b.weight"))
+    meet = (
+        (F.col("a.cluster") == F.col("b.cluster"))
+        & (F.col("a.e") == F.col("b.e"))
+        & (F.col("a.id") < F.col("b.id"))
+        & (F.col("a.component") != F.col("b.component"))
+        & (F.col("a.place") <= F.col("a.n_differs") - in_common)
+        & (F.col("b.place") <= F.col("b.n_differs") - in_common)
+    )
+    pairs = a.join(b, meet).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    return (
+        pairs.unionByName(direct)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
 
 
 def linked_nodes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, component) of every node that is linked with another."""
     members = cut(bucket_rows(nodes))
     held = cut(full_sets(docs, members.select("id").distinct(), width))
-    found = docs.sparkSession.createDataFrame([], "id long, component long")
-    tested = docs.sparkSession.createDataFrame([], "a long, b long")
-    leaders_wanted = 0
-    while True:
-        placed = members.join(found, "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        if not leaders_wanted:
-            placed = placed.filter(F.col("band") < FIRST_BANDS)
-        open_keys = (
-            placed.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low < high")
-            .select("key")
-        )
-        active = cut(placed.join(open_keys, "key"))
-        if active.isEmpty() and leaders_wanted:
-            return found
-        # After the first round, only nodes that have enough in common with others go on.
-        enough = F.lit(True)
-        if leaders_wanted:
-            shared = cut(
-                shared_outside(active, held, percent).filter(
-                    100 * F.col("c") >= percent * F.col("n")
-                )
-            )
-            active = cut(active.join(shared.select("id", "n", "c"), "id"))
-            least = F.least(F.col("c"), F.col("led_c"))
-            enough = (100 + percent) * least >= percent * (F.col("n") + F.col("led_n"))
-        order = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
-        leaders = active.withColumn("nth", F.row_number().over(order)).filter(
-            F.col("nth") <= max(leaders_wanted, 1)
-        )
-        led = {"id": "leader", "component": "led", "c": "led_c", "n": "led_n"}
-        named = [F.col(x).alias(y) for x, y in led.items() if x in active.columns]
-        pairs = cut(
-            active.join(leaders.select("key", *named), "key")
-            .filter((F.col("component") != F.col("led")) & enough)
-            .select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        tested = tested.unionByName(pairs)
-        if leaders_wanted:
-            pairs = sharing_pairs(pairs, shared)
+
+    def joined(pairs: DataFrame, found: DataFrame) -> DataFrame:
         links = cut(confirmed(likely_pairs(pairs, held, percent), held, percent))
-        if not links.isEmpty():
-            # Earlier components are links between their members and their smallest id.
-            earlier = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            found = cut(components(links.unionByName(earlier)))
-        release(docs.sparkSession)
-        if not leaders_wanted:
-            leaders_wanted = 1
-            continue
-        used = leaders.select("key", "id")
-        members = active.select("key", "id", "band", "degree").join(
-            used, ["key", "id"], "left_anti"
+        if links.isEmpty():
+            return found
+        # Earlier components are links between their members and their smallest id.
+        earlier = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return cut(components(links.unionByName(earlier)))
+
+    def in_open_buckets(placed: DataFrame) -> DataFrame:
+        ends = placed.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
         )
-        leaders_wanted *= LEADER_GROWTH
+        return placed.join(ends.filter("low < high").select("key"), "key")
+
+    early = members.filter(F.col("band") < FIRST_BANDS)
+    leaders = early.groupBy("key").agg(F.min(F.struct(-F.col("degree"), "id")).alias("leader"))
+    found = joined(
+        early.join(leaders.select("key", F.col("leader.id").alias("leader")), "key")
+        .filter("id <> leader")
+        .select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
+        .distinct(),
+        docs.sparkSession.createDataFrame([], "id long, component long"),
+    )
+    placed = members.join(found, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
+    )
+    active = cut(in_open_buckets(placed))
+    able = able_outside(active.select("id", "component").distinct(), held, percent)
+    active = cut(in_open_buckets(active.join(able, "id", "left_semi")))
+    if active.isEmpty():
+        return found
+    nodes_left = active.select("id", "component").distinct().join(clustered(active), "id")
+    told = cut(differences(held.join(nodes_left, "id"), percent))
+    return joined(cut(cluster_pairs(told, percent)), found)
 
 
 def near_duplicates(

@@ -73,6 +73,56 @@ def test_chains_and_a_large_group_of_near_copies(spark):
     assert got == plain(rows, 4)
 
 
+@pytest.mark.parametrize("edits", [(0, 5), (2, 5), (4, 12)])
+def test_near_copies_about_the_threshold(spark, edits):
+    """Groups of one or two bases in which few, some or most pairs are linked."""
+    rng = random.Random(edits[1])
+    words = [f"v{i}" for i in range(50)]
+    base = rng.choices(words, k=100)
+    other = base[:70] + rng.choices(words, k=30)
+    rows = []
+    for i in range(300):
+        copy = list(rng.choice([base, base, other]))
+        for at in rng.sample(range(100), rng.randint(*edits)):
+            copy[at] = rng.choice([f"own{i}x{at}", rng.choice(words)])
+        rows.append((i, " ".join(copy), "en", "a"))
+    rows += [(300 + i, rows[i * 7][1] + " one more", "en", "a") for i in range(20)]
+    rows += [(i, " ".join(rng.choices(words, k=60)), "en", "b") for i in range(5)]  # second texts
+    got, _ = found(docs(spark, rows[:320]), width=4)
+    assert got == plain(rows[:320], 4)
+    assert near_dedup.near_duplicates(docs(spark, rows), width=4).count() == 325
+
+
+def test_no_pairs_of_near_copies_that_share_nothing_else(spark):
+    """500 copies, each with edits of its own, no two of which are linked: hardly a pair is made."""
+    base = [f"b{i}" for i in range(150)]
+    rng = random.Random(3)
+    rows = []
+    for i in range(500):
+        copy = list(base)
+        for at in rng.sample(range(150), 5):
+            copy[at] = f"own{i}x{at}"
+        rows.append((i, near_dedup.shingles(" ".join(copy), 4).view(np.int64).tolist()))
+    members = spark.createDataFrame(
+        [(i, i, 0, len(e), e) for i, e in rows],
+        "id long, component long, cluster long, n long, elements array<long>",
+    )
+    told = near_dedup.differences(members, 80)
+    pairs = {(r.a, r.b) for r in near_dedup.cluster_pairs(told, 80).collect()}
+    sets = [set(e) for _, e in rows]
+    linked = [
+        (a, b)
+        for a in range(500)
+        for b in range(a)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    assert len(pairs) < 2500
+    # Every link is a pair, or both sides are pairs of their cluster's closest member.
+    closest = told.orderBy("weight", "id").first()["id"]
+    near = {a if b == closest else b for a, b in pairs if closest in (a, b)} | {closest}
+    assert all((b, a) in pairs or {a, b} <= near for a, b in linked)
+
+
 def test_cases(spark):
     got = near_dedup.near_duplicates(awkward(spark), width=4).toPandas()
     assert len(got) == 10
