@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -42,6 +43,16 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle and checkpoint files of frames no longer held.
+
+    It does so when the driver collects garbage, which a large heap can put off
+    for many jobs. Called between the stages of an operator that has several.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
