@@ -20,7 +20,6 @@ alike. Further columns are not read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,8 +44,6 @@ UNKNOWN = "und"
 # Share of calibration texts that may fall below the limit of rejection.
 REJECTED_SHARE = 0.0005
 
-_LETTER = re.compile(r"[^\W\d_]")
-
 
 @dataclass(frozen=True)
 class LanguageModel:
@@ -57,7 +54,7 @@ class LanguageModel:
     limit: float
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         total, n = np.zeros(len(self.languages)), 0
         for found in grams(text):

@@ -232,9 +232,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .filter("mix_copies > 0")
         .select("mix_doc", "mix_copies")
     )
-    names = docs.columns
+    # Whole rows in one column, so that no name of theirs can clash with another.
+    rows = docs.select(F.struct("*").alias("mix_row"))
     return (
-        docs.join(copies, docs["doc_id"].eqNullSafe(copies["mix_doc"]))
+        rows.join(copies, F.col("mix_row.doc_id").eqNullSafe(F.col("mix_doc")))
         .withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-        .select(*[docs[name] for name in names])
+        .select("mix_row.*")
     )
