@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickloom.workspace import settled
+
 EVENT_KEY = ("event_id",)
 MESSAGE_POSITION = ("kafka_partition", "kafka_offset")
 COPY_SALTS = 32
@@ -104,7 +106,8 @@ def upsert_table(
     table is neither scanned nor written. Rows without a partition value form a
     partition of their own and are merged like any other. A key must keep its
     partition, as an event keeps its date. Columns that only the updates have are
-    added to the table: older files lack them and read as null.
+    added to the table: older files lack them and read as null. The updates are
+    computed once, into the shared checkpoint folder, and read twice from there.
 
     The table must be written by batch jobs, not be the folder of a streaming
     file sink. Spark replaces the partitions at commit, by delete and rename: a
@@ -113,6 +116,7 @@ def upsert_table(
     """
     if fmt == "delta":
         return _merge_delta(spark, path, updates, keys, order)
+    updates = settled(updates)
     dates = [r[0] for r in updates.select(partition).distinct().collect()]
     if not dates:
         return

@@ -43,7 +43,7 @@ def quality_report(
     ids = events.select("user_id", "event_id")
     return (
         _event_rules(lookup(events, catalog), categories)
-        .unionByName(_user_bound(ids, max_users))
+        .unionByName(user_bound(ids, max_users))
         .unionByName(_repeated_ids(ids))
     )
 
@@ -96,8 +96,14 @@ def event_rules(categories: Sequence[str] = CATEGORIES) -> dict[str, tuple[Colum
     }
 
 
-def _event_rules(events: DataFrame, categories: Sequence[str]) -> DataFrame:
-    rules = event_rules(categories)
+def with_json(events: DataFrame) -> DataFrame:
+    """``events`` with the text that was sent, or what would be."""
+    sent = F.col("event_json") if "event_json" in events.columns else event_json()
+    return events.withColumn("event_json", sent)
+
+
+def rule_counts(rules: dict[str, tuple[Column, Column]]) -> list[Column]:
+    """Aggregates: checked and failed events of every rule."""
     counts = []
     for name, (applies, holds) in rules.items():
         broken = applies & ~F.coalesce(holds, F.lit(False))
@@ -105,29 +111,37 @@ def _event_rules(events: DataFrame, categories: Sequence[str]) -> DataFrame:
             F.count_if(applies).alias(f"{name}_checked"),
             F.count_if(broken).alias(f"{name}_failed"),
         ]
-    # At most one entry per known type.
-    seen = F.collect_set(F.when(is_type(*EVENT_TYPES), F.col("event_type")))
-    known = F.array(*(F.lit(t) for t in EVENT_TYPES))
-    sent = F.col("event_json") if "event_json" in events.columns else event_json()
-    serialised = events.withColumn("event_json", sent)
-    totals = serialised.agg(*counts, seen.alias("seen")).withColumns(
-        {
-            "event_types_present_checked": F.size(known).cast("bigint"),
-            "event_types_present_failed": F.size(F.array_except(known, "seen")).cast("bigint"),
-        }
-    )
+    return counts
+
+
+def rule_rows(totals: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The one row of ``totals`` as a row per rule."""
     rows = (
         F.struct(
             F.lit(name).alias("rule"),
             F.col(f"{name}_checked").alias("checked"),
             F.col(f"{name}_failed").alias("failed"),
         )
-        for name in (*rules, "event_types_present")
+        for name in names
     )
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _user_bound(events: DataFrame, max_users: int) -> DataFrame:
+def _event_rules(events: DataFrame, categories: Sequence[str]) -> DataFrame:
+    rules = event_rules(categories)
+    # At most one entry per known type.
+    seen = F.collect_set(F.when(is_type(*EVENT_TYPES), F.col("event_type")))
+    known = F.array(*(F.lit(t) for t in EVENT_TYPES))
+    totals = with_json(events).agg(*rule_counts(rules), seen.alias("seen")).withColumns(
+        {
+            "event_types_present_checked": F.size(known).cast("bigint"),
+            "event_types_present_failed": F.size(F.array_except(known, "seen")).cast("bigint"),
+        }
+    )
+    return rule_rows(totals, [*rules, "event_types_present"])
+
+
+def user_bound(events: DataFrame, max_users: int) -> DataFrame:
     users = events.agg(F.countDistinct("user_id").alias("checked"))
     return users.select(
         F.lit("users_within_bound").alias("rule"),

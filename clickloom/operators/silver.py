@@ -116,7 +116,7 @@ def sliding_cells(
         F.timestamp_micros("start").alias("start"),
         F.timestamp_micros(F.col("start") + wide).alias("end"),
     )
-    return _finish(cells.withColumn("window", window))
+    return finished(cells.withColumn("window", window))
 
 
 def stream_cells(
@@ -129,7 +129,7 @@ def stream_cells(
     window = F.window("event_ts", width, step or width)
     facts = _facts(events.withWatermark("event_ts", watermark))
     values = _merge_facts(facts.groupBy(window, *CELL_KEYS, "kind", "item"))
-    return _finish(_count_facts(values.groupBy("window", *CELL_KEYS)))
+    return finished(_count_facts(values.groupBy("window", *CELL_KEYS)))
 
 
 def stream_cells_approx(
@@ -162,9 +162,9 @@ def _distinct(error: float | None) -> Callable[[str], Column]:
 def _one_aggregate(
     events: DataFrame, window: Column, distinct: Callable[[str], Column]
 ) -> DataFrame:
-    return _finish(
+    return finished(
         events.groupBy(window.alias("window"), *CELL_KEYS).agg(
-            *(merge(value()).alias(name) for name, (merge, value) in _MEASURES.items()),
+            *measures(),
             *(distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()),
         )
     )
@@ -196,20 +196,28 @@ def _facts(events: DataFrame) -> DataFrame:
     )
 
 
+def measures() -> list[Column]:
+    """Aggregates of events into the mergeable measures."""
+    return [merge(value()).alias(name) for name, (merge, value) in _MEASURES.items()]
+
+
+def merged_measures() -> list[Column]:
+    """Aggregates of measures into the same measures."""
+    return [merge(name).alias(name) for name, (merge, _) in _MEASURES.items()]
+
+
 def _merge_facts(grouped) -> DataFrame:
-    return grouped.agg(
-        *(merge(name).alias(name) for name, (merge, _) in _MEASURES.items())
-    )
+    return grouped.agg(*merged_measures())
 
 
 def _count_facts(grouped) -> DataFrame:
     return grouped.agg(
-        *(merge(name).alias(name) for name, (merge, _) in _MEASURES.items()),
+        *merged_measures(),
         *(F.count_if(F.col("kind") == name).alias(name) for name in DISTINCT_COUNTS),
     )
 
 
-def _finish(cells: DataFrame) -> DataFrame:
+def finished(cells: DataFrame) -> DataFrame:
     """Turn merged measures into the published columns.
 
     The averages run over the events that have a value.

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,18 @@ from clickloom.functions.columns import category_url, page_url
 from clickloom.operators import dedup, serialize, silver, totals
 from clickloom.operators.alerts import high_value_purchases
 from clickloom.operators.catalog import lookup
+from clickloom.operators.checkouts import stream_checkouts
 from clickloom.operators.enrich import enrich
+from clickloom.operators.frequent import most_frequent
 from clickloom.operators.keyed_streams import stream_cart, stream_login
 from clickloom.operators.quality import quality_report
+from clickloom.operators.quality_growing import report_of_summaries, summarise_new_dates
+from clickloom.operators.rollups import (
+    estimated_cells,
+    event_cube,
+    merged_cells,
+    sketched_cells,
+)
 from clickloom.operators.routing import (
     corrupt_records,
     dead_letters,
@@ -36,13 +46,14 @@ from clickloom.operators.state import cart_state, login_state
 from clickloom.options import JobOptions
 from clickloom.plans import fixture
 from clickloom.session import prepare
-from clickloom.sources.tables import read_table, write_table
-from clickloom.streaming import job, metrics, sinks
+from clickloom.sources.tables import read_table, write_bucketed, write_table
+from clickloom.streaming import job, metrics, sinks, state_rows
 from clickloom.workspace import fresh_dir
 
 # The test events are 12 hours to days apart per user; sessions use this gap.
 TEST_GAP = "12 hours"
 RUN_ID = "backfill"
+_STAMP = "yyyy-MM-dd HH:mm:ss"
 MAX_USERS = 500
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM")
 
@@ -234,6 +245,71 @@ def _sessions_per_user(spark, sf_dir):
     return totals.sessions_per_user(_events(spark, sf_dir))
 
 
+def _rolled_up(spark, sf_dir, widths: list[str]) -> DataFrame:
+    """Cells of the last width, each width from the table of the one before it.
+
+    Of the distinct counts, whether they are within three standard errors.
+    """
+    folder = fresh_dir(spark, "rollup")
+    cells = sketched_cells(_events(spark, sf_dir), "1 minute")
+    for width in widths:
+        path = f"{folder}/{width.replace(' ', '_')}"
+        write_table(cells, path)
+        cells = merged_cells(read_table(spark, path), width)
+    found, names = estimated_cells(cells), silver.DISTINCT_COUNTS
+    keys = (*silver.CELL_KEYS, "window_start")
+    exact = silver.batch_cells(_events(spark, sf_dir), widths[-1])
+    exact = exact.select(*keys, *(F.col(c).alias(f"exact_{c}") for c in names))
+    return found.join(exact, list(keys)).select(
+        *(c for c in found.columns if c not in names),
+        *((F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.05 * F.col(f"exact_{c}")).alias(f"{c}_near")
+          for c in names),
+    )
+
+
+@query("rollup_hours")
+def _rollup_hours(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, ["1 hour"])
+
+
+@query("rollup_days")
+def _rollup_days(spark, sf_dir):
+    """Days from hours from minutes."""
+    return _rolled_up(spark, sf_dir, ["1 hour", "1 day"])
+
+
+@query("event_cube")
+def _event_cube(spark, sf_dir):
+    return event_cube(_events(spark, sf_dir)).withColumn("grouping", F.col("grouping").cast("int"))
+
+
+@query("top_products")
+def _top_products(spark, sf_dir):
+    return most_frequent(_events(spark, sf_dir), "product_id", 20)
+
+
+@query("top_sessions")
+def _top_sessions(spark, sf_dir):
+    """Values far more than counters, none of them frequent."""
+    return most_frequent(_events(spark, sf_dir), "session_id", 20, counters=50)
+
+
+def _bucketed(spark, sf_dir) -> DataFrame:
+    name = f"bronze_{uuid.uuid4().hex}"
+    path = f"{fresh_dir(spark, 'bucketed')}/bronze"
+    return write_bucketed(_events(spark, sf_dir), name, path, buckets=8)
+
+
+@query("bucketed_sessions")
+def _bucketed_sessions(spark, sf_dir):
+    return batch_sessions(_bucketed(spark, sf_dir), TEST_GAP)
+
+
+@query("bucketed_sessions_per_user")
+def _bucketed_sessions_per_user(spark, sf_dir):
+    return totals.sessions_per_user(_bucketed(spark, sf_dir))
+
+
 # --- Alerts, tables, duplicates ----------------------------------------------------
 
 
@@ -402,9 +478,8 @@ def _dlq_rows(spark, sf_dir):
 # --- Quality -----------------------------------------------------------------------
 
 
-@query("quality_report")
-def _quality(spark, sf_dir):
-    """All rules over the delivered events, duplicates and unknown types included.
+def _quality_input(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The delivered events, duplicates and unknown types included, and the catalog.
 
     Products and categories come from the catalog, and sound ids become UUIDs, so
     that most rules have events on both sides.
@@ -427,6 +502,7 @@ def _quality(spark, sf_dir):
     }
     wire = delivered.select(
         "n",
+        F.to_date("event_ts").alias("event_date"),
         *(
             spoiled.get(c, c)
             for c in fixture.WIRE_FIELDS
@@ -450,7 +526,28 @@ def _quality(spark, sf_dir):
         .when(F.col("n") % 20 == 14, F.concat(F.lit('{"no_field":null,'), F.substr(text, F.lit(2))))
         .otherwise(text)
     )
-    return quality_report(wire.withColumn("event_json", sent), products, MAX_USERS, PART_TYPES)
+    return wire.withColumn("event_json", sent), products
+
+
+@query("quality_report")
+def _quality(spark, sf_dir):
+    """All rules over the delivered events."""
+    events, products = _quality_input(spark, sf_dir)
+    return quality_report(events, products, MAX_USERS, PART_TYPES)
+
+
+@query("quality_growing")
+def _quality_growing(spark, sf_dir):
+    """The same report from summaries of dates, the last two appended and read on their own."""
+    events, products = _quality_input(spark, sf_dir)
+    folder = fresh_dir(spark, "quality")
+    table, summary = f"{folder}/events", f"{folder}/summary"
+    last = events.agg(F.max("event_date")).first()[0]
+    late = F.col("event_date") > F.date_sub(F.lit(last), 2)
+    for part in (events.filter(~late), events.filter(late)):
+        write_table(part, table)
+        summarise_new_dates(spark, table, summary, products, PART_TYPES)
+    return report_of_summaries(spark, summary, MAX_USERS, PART_TYPES)
 
 
 # --- Streams -----------------------------------------------------------------------
@@ -591,8 +688,13 @@ def _stream_login(spark, sf_dir):
     return _drain(stream_login(_events_by_file(spark, sf_dir, "login_files")), "login")
 
 
-@query("stream_late")
-def _stream_late(spark, sf_dir):
+@query("stream_checkouts")
+def _stream_checkouts(spark, sf_dir):
+    events = _events_by_file(spark, sf_dir, "checkout_files")
+    return _drain(stream_checkouts(events, "8 hours"), "checkouts")
+
+
+def _late_cells(spark, sf_dir) -> DataFrame:
     """Cells over ordered files in which some events come three files late and are dropped.
 
     Spark drops by the watermark of the micro-batch before, which two files before
@@ -602,7 +704,23 @@ def _stream_late(spark, sf_dir):
     part = F.col("part") + F.when(F.expr(fixture.LATE), 3).otherwise(0)
     stream = _sent_by_file(flat.withColumn("part", part), "late_files")
     events = enrich(valid_events(parse_messages(stream), fixture.clock()))
-    return _drain(silver.stream_cells(events, "1 minute"), "late_cells")
+    return silver.stream_cells(events, "1 minute")
+
+
+@query("stream_late")
+def _stream_late(spark, sf_dir):
+    return _drain(_late_cells(spark, sf_dir), "late_cells")
+
+
+@query("stream_state_left")
+def _stream_state_left(spark, sf_dir):
+    """What the state of the late cells holds in the end: the windows still open."""
+    options = _run_options(spark, "state_left")
+    run = sinks.to_table(
+        _late_cells(spark, sf_dir), "cells", options.table("cells"), options, available_now=True
+    )
+    run.awaitTermination()
+    return state_rows.open_cells(spark, options.checkpoint("cells"))
 
 
 @query("stream_bronze")
@@ -625,45 +743,61 @@ def _stream_lookup(spark, sf_dir):
 def _stream_job_from_bronze(spark, sf_dir):
     """The job with analytics fed by bronze, over many files with a small cap.
 
-    One row per table: its rows, and for the cells their events.
+    One row per table: its rows, their events and a digest of what they say.
     """
     options = replace(_run_options(spark, "job_from_bronze"), analytics_from_bronze=True)
     flat = fixture.in_parts(spark, _flat(spark, sf_dir))
     job.backfill(_sent_by_file(flat, "job_files"), options)
-    bronze = read_table(spark, options.bronze_path).agg(
-        F.lit("bronze").alias("table_name"), F.count("*").alias("rows"), F.count("*").alias("events")
-    )
-    cells = read_table(spark, options.silver_agg_path).agg(
-        F.lit("silver_agg"), F.count("*"), F.sum("event_count")
-    )
-    return bronze.union(cells)
+    return _table_digests(spark, options, ("bronze", "silver_agg"))
+
+
+def _table_digests(spark, options: JobOptions, names: tuple[str, ...] | None = None) -> DataFrame:
+    """Per table of a job: rows, events (or amounts in cents), and what times and keys add up to."""
+    text = {
+        "bronze": ["event_id", "event_type", "user_id"],
+        "corrupt": [F.col("offset").cast("string")],
+        "rejected": ["reject_reason", "event_type"],
+        "dead_letters": [F.col("key").cast("string")],
+        "silver_agg": ["event_type", "device_type", "funnel_stage", F.date_format("window_start", _STAMP)],
+        "silver_sessions": ["user_id", F.date_format("session_start", _STAMP), F.date_format("session_end", _STAMP)],
+        "alerts": ["event_id", "order_id", "user_id"],
+    }
+    paths = {
+        "bronze": options.bronze_path,
+        "corrupt": options.corrupt_path,
+        "rejected": options.rejected_path,
+        "dead_letters": options.table("dead_letters"),
+        "silver_agg": options.silver_agg_path,
+        "silver_sessions": options.silver_sessions_path,
+        "alerts": options.alerts_path,
+    }
+    frames = []
+    for name in names or paths:
+        table = read_table(spark, paths[name])
+        counted = F.col("event_count") if "event_count" in table.columns else F.lit(1)
+        # Seven hex digits of a digest per row: sums that differ if any row does.
+        line = F.md5(F.concat_ws("|", *text[name]).cast("binary"))
+        digest = F.conv(F.substring(line, 1, 7), 16, 10).cast("bigint")
+        frames.append(
+            table.agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("row_count"),
+                F.coalesce(F.sum(counted), F.lit(0)).cast("bigint").alias("events"),
+                F.coalesce(F.sum(digest), F.lit(0)).alias("digest"),
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query("stream_job")
 def _stream_job(spark, sf_dir):
-    """Run the whole job twice on one checkpoint; rows per table it wrote."""
+    """Run the whole job twice on one checkpoint; what every table it wrote holds."""
     options = _run_options(spark, "job")
     for _ in range(2):
         job.backfill(_message_stream(spark, sf_dir), options)
         alerts = sinks.write_alert_table(_event_stream(spark, sf_dir), options, available_now=True)
         alerts.awaitTermination()
-    tables = {
-        "bronze": options.bronze_path,
-        "corrupt": options.corrupt_path,
-        "rejected": options.rejected_path,
-        "dead_letters": options.table("dead_letters"),
-        "silver_agg": options.silver_agg_path,
-        "silver_sessions": options.silver_sessions_path,
-        "alerts": options.alerts_path,
-    }
-    counts = [
-        read_table(spark, path).agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
-        for name, path in tables.items()
-    ]
-    first, *rest = counts
-    for one in rest:
-        first = first.unionByName(one)
-    return first
+    return _table_digests(spark, options)
 
 
 @query("stream_progress")

@@ -256,25 +256,92 @@ UNION ALL SELECT 'users_within_bound', count(DISTINCT user_id),
 UNION ALL SELECT 'event_ids_unique', count(*), count_if(copies > 1)
   FROM (SELECT event_id, count(*) AS copies FROM q GROUP BY event_id))"""
 
-JOB = f"""{_cells('1 minute', where=f'WHERE window_end <= {CLOSED}').rsplit('SELECT * FROM cells', 1)[0]},
-closed AS (SELECT * FROM cells WHERE window_end <= {CLOSED})
-SELECT 'bronze' AS table_name, count(*) AS row_count FROM valid
-UNION ALL SELECT 'corrupt', count(*) FROM routed WHERE route = 'corrupt'
-UNION ALL SELECT 'rejected', count(*) FROM routed WHERE route = 'rejected'
-UNION ALL SELECT 'dead_letters', count(*) FROM routed WHERE route <> 'valid'
-UNION ALL SELECT 'silver_agg', count(*) FROM closed
-UNION ALL SELECT 'silver_sessions', (SELECT count(*) FROM (
-    SELECT max(event_ts) + INTERVAL '30 minutes' AS session_end FROM (
-      SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS number
-      FROM (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY user_id ORDER BY event_ts)
-              <= INTERVAL '30 minutes' THEN 0 ELSE 1 END AS starts FROM valid))
-    GROUP BY user_id, number) WHERE session_end <= {CLOSED})
-UNION ALL SELECT 'alerts', count(*) FROM valid WHERE is_purchase AND {HIGH_VALUE}"""
-
-JOB_FROM_BRONZE = f"""{_cells('1 minute').rsplit('SELECT * FROM cells', 1)[0]}
-SELECT 'bronze' AS table_name, count(*) AS rows, count(*) AS events FROM valid
-UNION ALL SELECT 'silver_agg', count(*), CAST(sum(event_count) AS BIGINT)
-FROM cells WHERE window_end <= {CLOSED}"""
+def _digest(table: str, source: str, parts: list[str], events: str = "count(*)") -> str:
+    """A row of the digests of a job's tables."""
+    line = f"md5(concat_ws('|', {', '.join(parts)}))"
+    return f"""SELECT '{table}' AS table_name, count(*) AS row_count,
+  CAST(coalesce({events}, 0) AS BIGINT) AS events,
+  CAST(coalesce(sum(CAST('0x' || substr({line}, 1, 7) AS BIGINT)), 0) AS BIGINT) AS digest
+FROM {source}"""
+
+
+def _stamp(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+
+
+_CELL_DIGEST = _digest(
+    "silver_agg", "closed",
+    ["event_type", "device_type", "funnel_stage", _stamp("window_start")], "sum(event_count)",
+)
+_BRONZE_DIGEST = _digest("bronze", "valid", ["event_id", "event_type", "user_id"])
+_JOB_CELLS = f"""{_cells('1 minute').rsplit('SELECT * FROM cells', 1)[0]},
+closed AS (SELECT * FROM cells WHERE window_end <= {CLOSED})"""
+
+JOB = f"""{_JOB_CELLS},
+runs AS (
+  SELECT user_id, min(event_ts) AS session_start, max(event_ts) + INTERVAL '30 minutes' AS session_end,
+    count(*) AS event_count
+  FROM (
+    SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS number
+    FROM (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY user_id ORDER BY event_ts)
+            <= INTERVAL '30 minutes' THEN 0 ELSE 1 END AS starts FROM valid))
+  GROUP BY user_id, number),
+over AS (SELECT * FROM runs WHERE session_end <= {CLOSED})
+{_BRONZE_DIGEST}
+UNION ALL {_digest('corrupt', "routed WHERE route = 'corrupt'", ["CAST(n AS VARCHAR)"])}
+UNION ALL {_digest('rejected', "routed WHERE route = 'rejected'", ["reject_reason", "event_type"])}
+UNION ALL {_digest('dead_letters', "routed WHERE route <> 'valid'", ["user_id"])}
+UNION ALL {_CELL_DIGEST}
+UNION ALL {_digest('silver_sessions', 'over', ["user_id", _stamp('session_start'), _stamp('session_end')], 'sum(event_count)')}
+UNION ALL {_digest('alerts', f'valid WHERE is_purchase AND {HIGH_VALUE}', ["event_id", "order_id", "user_id"])}"""
+
+JOB_FROM_BRONZE = f"""{_JOB_CELLS}
+{_BRONZE_DIGEST}
+UNION ALL {_CELL_DIGEST}"""
+
+_CUBE_KEYS = ("event_type", "event_date", "device_type")
+_CUBE = [
+    f"""SELECT {grouping} AS "grouping", {', '.join(k if k in keys else f'NULL AS {k}' for k in _CUBE_KEYS)},
+  count(*) AS event_count, CAST(count_if(is_purchase) AS BIGINT) AS purchase_count,
+  CAST(count_if(is_add_to_cart) AS BIGINT) AS add_to_cart_count,
+  CAST(count_if(is_authenticated) AS BIGINT) AS authenticated_events,
+  {TOTAL_REVENUE} AS total_revenue, max(processing_lag_ms) AS max_processing_lag_ms
+FROM (SELECT {ENRICHED_COLUMNS} FROM valid) {f"GROUP BY {', '.join(keys)}" if keys else ''}"""
+    for grouping, keys in (
+        (1, ("event_type", "event_date")), (3, ("event_type",)), (5, ("event_date",)),
+        (6, ("device_type",)), (7, ()),
+    )
+]
+
+
+def _top(column: str) -> str:
+    return f"""{WITH}
+SELECT {column} AS value, count(*) AS n,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) AS INTEGER) AS rank
+FROM valid WHERE {column} IS NOT NULL GROUP BY {column} ORDER BY n DESC, value LIMIT 20"""
+
+
+CHECKOUTS = f"""{WITH},
+pairs AS (
+  SELECT s.session_id, s.event_id AS start_id, s.event_ts AS started_at, c.event_id AS complete_id,
+    c.event_ts AS completed_at, c.cart_value, c.event_id IS NULL AS abandoned
+  FROM (SELECT * FROM valid WHERE event_type = 'checkout_start') s
+  LEFT JOIN (SELECT * FROM valid WHERE event_type = 'checkout_complete') c
+    ON s.session_id = c.session_id
+    AND c.event_ts BETWEEN s.event_ts AND s.event_ts + INTERVAL '8 hours')
+SELECT * FROM pairs WHERE NOT abandoned OR started_at + INTERVAL '8 hours' < {PASSED}"""
+
+STATE_LEFT = f"""{WITH},
+{PARTED},
+still AS (
+  SELECT time_bucket(INTERVAL '1 minute', event_ts) AS window_start, event_type,
+    CAST(event_ts AS DATE) AS event_date, device_type, funnel_stage, user_id, session_id, product_id
+  FROM (SELECT {ENRICHED_COLUMNS}, part, n FROM parted) WHERE NOT (n % 10 = 7 AND part < 9))
+SELECT window_start, event_type, event_date, device_type, funnel_stage,
+  1 + count(DISTINCT user_id) + count(DISTINCT session_id) + count(DISTINCT product_id) AS state_rows,
+  count(DISTINCT user_id) + count(DISTINCT session_id) + count(DISTINCT product_id) AS distinct_values
+FROM still WHERE window_start + INTERVAL '1 minute' > {CLOSED}
+GROUP BY ALL"""
 
 ORACLES: dict[str, str] = {
     "parse_valid": f"{WITH} SELECT {EVENT_COLUMNS} FROM valid",
@@ -381,6 +448,27 @@ SELECT event_id, event_type, user_id, CASE WHEN n % 4 <> 1 THEN event_ts END AS
 SELECT event_id, event_type, user_id, CASE WHEN n % 4 <> 1 THEN event_ts END AS event_ts FROM flat""",
     "stream_cart": f"""SELECT * FROM ({CART}) WHERE event_ts < {PASSED}""",
     "stream_login": f"""SELECT * FROM ({LOGIN}) WHERE event_ts < {PASSED}""",
+    "quality_growing": QUALITY,
+    "rollup_hours": _cells("1 hour").replace(
+        "SELECT * FROM cells",
+        """SELECT * EXCLUDE (unique_users, unique_sessions, unique_products_viewed),
+  true AS unique_users_near, true AS unique_sessions_near, true AS unique_products_viewed_near
+FROM cells""",
+    ),
+    "rollup_days": _cells("1 day").replace(
+        "SELECT * FROM cells",
+        """SELECT * EXCLUDE (unique_users, unique_sessions, unique_products_viewed),
+  true AS unique_users_near, true AS unique_sessions_near, true AS unique_products_viewed_near
+FROM cells""",
+    ),
+    "event_cube": "\nUNION ALL ".join(f"({WITH} {sql})" for sql in _CUBE),
+    "top_products": _top("product_id"),
+    "top_sessions": _top("session_id"),
+    "bucketed_sessions": _sessions("12 hours"),
+    "bucketed_sessions_per_user": f"""{WITH}
+SELECT user_id, count(DISTINCT session_id) AS session_count FROM valid GROUP BY user_id""",
+    "stream_checkouts": CHECKOUTS,
+    "stream_state_left": STATE_LEFT,
     "stream_late": _cells("1 minute", where=f"WHERE window_end <= {CLOSED}")
     .replace(",\nstarts AS (", f",\n{PARTED},\nstarts AS (")
     .replace("FROM valid v CROSS JOIN", "FROM (SELECT * FROM parted WHERE NOT (n % 10 = 7 AND part < 9)) v CROSS JOIN"),

@@ -64,12 +64,42 @@ def write_table(
 
     The rebalance gathers each partition value into few files of even size and
     splits the value that holds most rows; without it every task would write a
-    file for every date it meets.
+    file for every date it meets. ``overwrite`` replaces the partitions that
+    ``frame`` has rows of.
     """
     (
         frame.hint("rebalance", *partition_by)
         .write.format(fmt)
         .mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .save(path)
     )
+
+
+def write_bucketed(
+    frame: DataFrame,
+    table: str,
+    path: str,
+    buckets: int,
+    key: str = "user_id",
+    order: Sequence[str] = ("event_ts",),
+) -> DataFrame:
+    """Batch write of a table bucketed by ``key`` and sorted within buckets; returns it.
+
+    Rows of a key are in one bucket, as messages of a user are in one partition of
+    a topic, so aggregates and windows by the key read it without a shuffle. The
+    layout is in the catalog, not in the files: read it as ``spark.table(table)``.
+    A bucket is one task's work when it is read, so a hot key makes a large bucket;
+    tables with such keys are better left to the shuffle, which splits them.
+    """
+    (
+        frame.repartition(buckets, key)
+        .write.format("parquet")
+        .bucketBy(buckets, key)
+        .sortBy(key, *order)
+        .option("path", path)
+        .mode("overwrite")
+        .saveAsTable(table)
+    )
+    return frame.sparkSession.table(table)

@@ -10,13 +10,13 @@ import pytest
 from conftest import as_message, event, purchase
 from pyspark.sql import functions as F
 
-from clickloom.operators import dedup, keyed_streams, sessions, silver, state
+from clickloom.operators import checkouts, dedup, keyed_streams, sessions, silver, state
 from clickloom.operators.enrich import enrich
 from clickloom.operators.routing import observe_routes, parse_messages, valid_events
 from clickloom.options import JobOptions
 from clickloom.sources.messages import message_frame, read_file_stream, read_message_table, read_messages
 from clickloom.sources.tables import read_table
-from clickloom.streaming import job, metrics, sinks
+from clickloom.streaming import job, metrics, sinks, state_rows
 from clickloom.streaming.alert_writer import AlertLogWriter
 from clickloom.workspace import fresh_dir
 
@@ -419,3 +419,31 @@ def test_kafka_sinks_need_the_connector(spark, options):
         sinks.write_kafka_events(events, options, "run", available_now=True).stop()
     except AnalysisException as missing:
         assert "kafka" in str(missing)
+
+
+def test_checkouts_pair_and_time_out(spark, options):
+    schema = "event_id string, event_type string, event_ts timestamp, session_id string, cart_value double"
+    steps = [
+        [("s1", "checkout_start", 0, "A"), ("s2", "checkout_start", 1, "B"), ("x", "page_view", 2, "B")],
+        [("c1", "checkout_complete", 10, "A"), ("c0", "checkout_complete", 0, "C"), ("n", "checkout_start", None, "A")],
+        [("s3", "checkout_start", 90, "A"), ("c3", "checkout_complete", 90, "A"), ("c4", "checkout_complete", 95, "A")],
+        [("s5", "checkout_start", 200, "D"), ("c6", "checkout_complete", 200, "E")],
+    ]
+    for rows in steps:
+        part = [(i, k, None if m is None else START + timedelta(minutes=m), s, 1.0) for i, k, m, s in rows]
+        add_file(spark.createDataFrame(part, schema), options.source_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(options.source_path)
+    got, _ = run(checkouts.stream_checkouts(stream, "30 minutes"), "checkouts", options)
+    assert {(r.start_id, r.complete_id, r.abandoned) for r in got.collect()} == {
+        ("s1", "c1", False), ("s2", None, True), ("s3", "c3", False), ("s3", "c4", False),
+    }
+
+
+def test_state_of_cells_can_be_read(spark, options):
+    rows = [at(0, event_id="a"), at(0, event_id="b", user_id="U-2"), at(90, event_id="c")]
+    drop_files(spark, options.source_path, rows[:2], rows[2:])
+    run(silver.stream_cells(events_of(read_messages(spark, options)), "1 minute"), "cells", options)
+    checkpoint = options.checkpoint("cells")
+    left = state_rows.open_cells(spark, checkpoint).collect()
+    assert [(r.state_rows, r.distinct_values) for r in left] == [(4, 3)]
+    assert state_rows.operators_of(spark, checkpoint).count() == 2
