@@ -119,30 +119,36 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Tox
         found = [present(text, feature) for text in batch.column("text").to_pylist()]
         return {"label": batch.column("label"), "found": [x.astype("<u2").tobytes() for x in found]}
 
-    rows = map_batches(sample.select("text", "label"), extract, "label int, found binary")
-    table = rows.toArrow()
-    y = table.column("label").to_numpy().astype(np.float64)
-    found = [np.frombuffer(x, "<u2") for x in table.column("found").to_pylist()]
-    share = np.where(y == 1, all_toxics / toxics, all_others / others)
-    weight, bias = fit(found, chosen["ratio"].to_numpy(), y, share / share.mean())
+    # In an order of their own, so that sums, and so the model, are the same in every run.
+    table = (
+        map_batches(sample.select("text", "label"), extract, "label int, found binary")
+        .orderBy("label", F.xxhash64("found"), "found")
+        .toArrow()
+    )
+    share = {0: all_others / others, 1: all_toxics / toxics}
+    mean = (others * share[0] + toxics * share[1]) / (others + toxics)
+    weight, bias = fit(table, chosen["ratio"].to_numpy(), {y: s / mean for y, s in share.items()})
     return ToxicityModel(feature, weight.astype(np.float32), bias)
 
 
 def fit(
-    found: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, share: np.ndarray,
-    rounds: int = 150, rate: float = 0.05, penalty: float = 1e-4, together: int = 512,
+    table: pa.Table, ratio: np.ndarray, share: dict[int, float],
+    rounds: int = 150, rate: float = 0.05, penalty: float = 1e-4, together: int = 256,
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on the present features times ``ratio``, by Adam over all rows.
 
-    The rows are gone through ``together`` at a time, which bounds the memory.
+    ``table`` has a label and the features, as 16-bit numbers, per row. They are
+    read where Arrow holds them, ``together`` rows at a time: there is one copy.
     """
-    order = sorted(range(len(y)), key=lambda i: (y[i], found[i].tobytes()))
     parts = []
-    for at in range(0, len(order), together):
-        some = order[at : at + together]
-        lengths = [len(found[i]) for i in some]
-        columns = np.concatenate([found[i] for i in some])
-        parts.append((lengths, columns, y[some], share[some] / len(y)))
+    for batch in table.to_batches(max_chunksize=together):
+        _, ends, data = batch.column("found").buffers()
+        at = batch.column("found").offset
+        ends = np.frombuffer(ends, np.int32)[at : at + batch.num_rows + 1]
+        columns = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view("<u2")
+        label = batch.column("label").to_numpy().astype(np.float64)
+        weights = np.where(label == 1, share[1], share[0]) / table.num_rows
+        parts.append((np.diff(ends) // 2, columns, label, weights))
     theta = np.zeros(len(ratio) + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):

@@ -4,6 +4,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.helpers import awkward, docs
 from pyspark.sql import functions as F
@@ -203,3 +204,32 @@ def test_line_rules_of_awkward_documents(spark):
     assert got.loc[5, "n_repeat_words"] == 11 and got.loc[5, "n_dup_lines"] == 1
     assert line_rules.repeated_words(b"a b c a b c d".split()) == 6
     assert line_rules.repeated_words(b"a a a a".split()) == 4
+
+
+def test_fit_against_a_dense_regression():
+    """The toxicity fit on features in Arrow buffers, against the same steps on a dense matrix."""
+    rng = np.random.default_rng(7)
+    x = rng.random((90, 40)) < 0.2
+    y = rng.integers(0, 2, 90)
+    order = np.argsort(y, kind="stable")
+    x, y = x[order], y[order]
+    found = [np.flatnonzero(row).astype("<u2").tobytes() for row in x]
+    table = pa.table({"label": pa.array(y, pa.int32()), "found": pa.array(found, pa.binary())})
+    ratio, share = rng.standard_normal(40), {0: 0.8, 1: 1.3}
+    weight, bias = toxicity.fit(table.slice(3), ratio, share, rounds=60, together=16)
+    a, label = x[3:] * ratio, y[3:]
+    theta, first, second = np.zeros(41), np.zeros(41), np.zeros(41)
+    for step in range(1, 61):
+        error = 1 / (1 + np.exp(-(a @ theta[:-1] + theta[-1]))) - label
+        error *= np.where(label == 1, share[1], share[0]) / len(label)
+        slope = np.append(a.T @ error + 1e-4 * theta[:-1], error.sum())
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        theta -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
+    assert np.abs(weight - theta[:-1] * ratio).max() < 1e-9 and abs(bias - theta[-1]) < 1e-9
+
+
+def test_a_text_needs_a_letter(spark):
+    model = language_id.LanguageModel(("en",), np.zeros((1 << language_id.BITS, 1), np.float32), np.zeros(1), 1.0, 0.0)
+    for text in ("½ ²", "①", "12 _", "", None, "́"):
+        assert model.predict(text)[0] == "und"
+    assert model.predict("½ a")[0] == "en" and model.predict("漢")[0] == "en"

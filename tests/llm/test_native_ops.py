@@ -136,3 +136,12 @@ def test_fingerprints_equal_plain_ones(spark, case):
 
 def test_fingerprints_of_nothing(spark):
     assert syncmers.fingerprints(docs(spark, [])).count() == 0
+
+
+def test_mixed_documents_take_any_column_names(spark):
+    frame = awkward(spark).withColumnsRenamed({"size": "mix_copies", "id": "mix_turn", "key": "mix_doc"})
+    frame = frame.withColumnRenamed("label", "a.b")
+    mixed = mixing.mixed_documents(frame)
+    assert mixed.columns == frame.columns
+    plain = sorted(str(r["doc_id"]) for r in mixing.mixed_documents(awkward(spark)).collect())
+    assert sorted(str(r["doc_id"]) for r in mixed.collect()) == plain
