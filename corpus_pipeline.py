@@ -16,13 +16,24 @@ from clickloom.llm.common import read
 from clickloom.workspace import fresh_dir
 
 
+# Rows that go to a Python worker at once. Texts can be long, and a worker keeps the memory
+# of its largest batch from stage to stage.
+BATCH_ROWS = 2_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores below its threshold."""
+    _small_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model does not reject."""
+    _small_batches(spark)
     return language_id.drop_rejected(docs, language_id.train(docs))
 
 
@@ -31,6 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Five-word shingles and a similarity of 0.8.
     """
+    _small_batches(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
@@ -41,6 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the tokenised documents with their places in the sequences."""
+    _small_batches(spark)
     return packing.pack_documents(docs)
 
 
