@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are
 
 
 def test_all_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
@@ -29,7 +29,14 @@ def test_query_equals_oracle(spark, name):
     assert compare(QUERIES[name](spark, DATA), duck(DATA), ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_whitening_gives_eight_rows_for_each_vector(spark):
+    got = QUERIES["op11_whitening"](spark, DATA)
+    vectors = spark.read.parquet(f"{DATA}/embeddings.parquet")
+    assert got.count() == 8 * vectors.count()
+    assert got.agg({"identity_error": "max"}).first()[0] < 1e-9
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op11_whitening"}))
 def test_other_queries_give_a_row_for_each_document(spark, name):
     got = QUERIES[name](spark, DATA)
     n_docs = spark.read.parquet(f"{DATA}/documents.parquet").count()
