@@ -1,50 +1,59 @@
 """WARC archives of captures, and a merged index of what they hold.
 
 Captures whose payload was met before are written as revisits that name the
-first one. Archive files are written, gzipped, by Spark's text writer: a record
-ends with two line ends, which is the writer's separator. Reading goes by the records'
-lengths, never by a separator, so payloads may hold anything.
+first one. Every record is a gzip member of its own, and an index line holds the
+member's offset and length, so one record is read without the rest of its archive.
+Reading goes by the records' lengths, never by a separator, so payloads may hold anything.
 
-Every archive read gives a run of index lines sorted by URL key and time. The
-runs are dealt out by ranges of the key, and each range merges its parts of the
-runs with a loser tree, so the lines come out in the global order of the keys
-and each page's history stands together.
+Every archive read gives a run of index lines sorted by URL key and time, written to a
+file. The runs are merged from the files by loser trees (``run_merge``), so the lines
+come out in the global order of the keys and each page's history stands together.
+The folder must be one that ``pyarrow.fs`` reaches on driver and executors.
 
 Defined cases: a null payload is empty; payloads under ``LEAST_BYTES`` are never
 revisits; a null URL is an empty one; a capture without an id can be a revisit
 but never what another refers to, unless no copy has an id; rows that repeat the
 id of the first capture are responses too; an empty table gives an empty result.
-Further columns are not read.
+Further columns are not read. A task holds one record at a time, and the index
+lines of one archive; a page may be as long as a Spark string, an archive any length.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import cut, map_batches
+from clickloom.llm.common import cut
+from clickloom.llm.run_merge import merge_runs, publish, run_name, settle_count, write_run
+from clickloom.llm.token_files import locate
 from clickloom.workspace import fresh_dir
 
 LEAST_BYTES = 100
 FILE_BYTES = 32 << 20
+HEADER_BYTES = 600  # about what a record has besides its payload
+READ_BYTES = 1 << 20
+GZIP = 31  # zlib's number for a gzip member
 EOL = "\r\n"
 FIRST_DATE = 1_704_067_200  # captures are dated by their id, one second each, from 2024 on
 DATE_SPAN = 10 * 365 * 86_400
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-INDEX_FIELDS = (
-    "url_key", "captured", "page_id", "record_type", "refers_to", "payload_bytes",
-    "payload_digest", "run", "place",
-)
+INDEX_ARROW = pa.schema([
+    ("url_key", pa.string()), ("captured", pa.string()), ("page_id", pa.int64()),
+    ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
+    ("payload_digest", pa.string()), ("run", pa.string()), ("place", pa.int64()),
+    ("length", pa.int64()),
+])
 INDEX_SCHEMA = (
     "url_key string, captured string, page_id long, record_type string, refers_to long, "
-    "payload_bytes long, payload_digest string, run string, place long"
+    "payload_bytes long, payload_digest string, run string, place long, length long"
 )
 
 
@@ -71,7 +80,7 @@ def captures(pages: DataFrame) -> DataFrame:
         .select("page_id", "payload_digest", "refers_to")
         .distinct()
     )
-    total = names.agg(F.sum("payload_bytes")).first()[0] or 0
+    total = names.agg(F.sum(F.col("payload_bytes") + HEADER_BYTES)).first()[0] or 0
     files = max(1, -(-total // FILE_BYTES))
     keys = ["id_key", "payload_digest"]
     id_key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("id_key")
@@ -126,10 +135,27 @@ def record() -> Column:
     return F.concat(F.lit("WARC/1.1"), F.concat_ws("", *lines), F.lit(EOL * 2), block)
 
 
-def write_archives(caught: DataFrame, folder: str) -> None:
-    """One gzipped archive per partition of ``caught``; Spark's commit keeps partial files out."""
-    lines = caught.select(record().alias("value"))
-    lines.write.option("lineSep", EOL * 2).text(folder, compression="gzip")
+def write_archives(caught: DataFrame, folder: str) -> int:
+    """One archive per partition of ``caught``, each record a gzip member: how many there are."""
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+
+        def members(out: pa.NativeFile) -> None:
+            for batch in batches:
+                for text in batch.column(0):
+                    packer = zlib.compressobj(wbits=GZIP)
+                    out.write(packer.compress(f"{text.as_py()}{EOL * 2}".encode()))
+                    out.write(packer.flush())
+
+        publish(folder, archive_name(part), members)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64())})
+
+    return settle_count(caught.select(record().alias("value")).mapInArrow(write, "part long"))
+
+
+def archive_name(part: int) -> str:
+    return f"archive-{part:08d}.warc.gz"
 
 
 def url_key(url: str) -> str:
@@ -144,30 +170,55 @@ def url_key(url: str) -> str:
     return f"{labels}){parts.path or '/'}{query}"
 
 
-def records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, header fields, block) of the records of an archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode("utf-8").split(EOL)
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at offset {at}")
-        fields = dict(line.split(": ", 1) for line in lines)
-        start = end + 4
-        stop = start + int(fields["Content-Length"])
-        yield at, fields, data[start:stop]
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at offset {at} does not end where it says")
-        at = stop + 4
-
-
-def index_lines(run: str, data: bytes) -> list[tuple]:
+def members(file: pa.NativeFile) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of the gzip members of a file, read ``READ_BYTES`` at a time."""
+    at, seen, waiting = 0, 0, b""
+    while True:
+        unpacker, parts = zlib.decompressobj(wbits=GZIP), []
+        while not unpacker.eof:
+            data = waiting or file.read(READ_BYTES)
+            if not data:
+                if seen > at:
+                    raise ValueError(f"the member at offset {at} is cut off")
+                return
+            seen += 0 if waiting else len(data)
+            waiting = b""
+            parts.append(unpacker.decompress(data))
+        waiting = unpacker.unused_data
+        end = seen - len(waiting)
+        yield at, end - at, b"".join(parts)
+        at = end
+
+
+def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields and block of one record; the block goes by its stated length."""
+    end = data.index(b"\r\n\r\n")
+    version, *lines = data[:end].decode("utf-8").split(EOL)
+    if not version.startswith("WARC/"):
+        raise ValueError("no record")
+    fields = dict(line.split(": ", 1) for line in lines)
+    stop = end + 4 + int(fields["Content-Length"])
+    if data[stop:] != b"\r\n\r\n":
+        raise ValueError("a record does not end where it says")
+    return fields, data[end + 4 : stop]
+
+
+def read_record(folder: str, run: str, place: int, length: int) -> tuple[dict[str, str], bytes]:
+    """The record an index line points to; nothing else of its archive is read."""
+    files, path = locate(folder)
+    with files.open_input_file(f"{path}/{run}") as file:
+        file.seek(place)
+        return parse_record(zlib.decompress(file.read(length), wbits=GZIP))
+
+
+def index_lines(run: str, file: pa.NativeFile) -> list[tuple]:
     """The index lines of an archive, sorted: a run. Payloads are measured as read."""
     lines = []
-    for place, fields, block in records(data):
+    for place, length, data in members(file):
+        fields, block = parse_record(data)
         refers_to = fields.get("X-Refers-To-Page")
         if fields["WARC-Type"] == "response":
-            payload = block[block.index(b"\r\n\r\n") + 4 :]
+            payload = memoryview(block)[block.index(b"\r\n\r\n") + 4 :]
             size, digest = len(payload), hashlib.sha256(payload).hexdigest()
         else:
             size = int(fields["X-Payload-Length"])
@@ -176,7 +227,7 @@ def index_lines(run: str, data: bytes) -> list[tuple]:
         lines.append((
             url_key(fields["WARC-Target-URI"]), fields["WARC-Date"],
             None if page is None else int(page), fields["WARC-Type"],
-            None if refers_to is None else int(refers_to), size, digest, run, place,
+            None if refers_to is None else int(refers_to), size, digest, run, place, length,
         ))
     return sorted(lines, key=line_order)
 
@@ -186,100 +237,32 @@ def line_order(line: tuple) -> tuple:
     return line[0], line[1], page is not None, page or 0, line[7], line[8]
 
 
-def archive_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The index lines of all archives, a sorted run per archive, written out."""
-
-    def run(batch: pa.RecordBatch) -> dict[str, list]:
-        lines = [
-            line
-            for path, data in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for line in index_lines(path.rsplit("/", 1)[-1], gzip.decompress(data))
-        ]
-        columns = list(zip(*lines, strict=True)) or [()] * len(INDEX_FIELDS)
-        return {name: list(c) for name, c in zip(INDEX_FIELDS, columns, strict=True)}
-
-    files = spark.read.format("binaryFile").load(f"{folder}/part-*").select("path", "content")
-    return cut(map_batches(files, run, INDEX_SCHEMA))
-
-
-class LoserTree:
-    """Merges sorted lists; an inner node keeps the list that lost there."""
-
-    def __init__(self, runs: list[list[tuple]]) -> None:
-        self.runs = [iter(run) for run in runs]
-        self.width = 1 << max(0, len(runs) - 1).bit_length()
-        self.heads: list[tuple | None] = [next(run, None) for run in self.runs]
-        self.heads += [None] * (self.width - len(self.heads))
-        self.keys = [None if x is None else line_order(x) for x in self.heads]
-        self.losers = [0] * self.width
-        winners = list(range(self.width))
-        node = self.width
-        while node > 1:  # play the first tournament level by level
-            half = node // 2
-            for i in range(half):
-                a, b = winners[2 * i], winners[2 * i + 1]
-                won, lost = (a, b) if self._before(a, b) else (b, a)
-                winners[i], self.losers[half + i] = won, lost
-            node = half
-        self.winner = winners[0]
-
-    def _before(self, a: int, b: int) -> bool:
-        x, y = self.keys[a], self.keys[b]
-        return x is not None and (y is None or x <= y)
-
-    def __iter__(self) -> Iterator[tuple]:
-        while (line := self.heads[self.winner]) is not None:
-            yield line
-            at = self.winner
-            self.heads[at] = head = next(self.runs[at], None)
-            self.keys[at] = None if head is None else line_order(head)
-            node = (self.width + at) // 2
-            while node:
-                other = self.losers[node]
-                if not self._before(at, other):
-                    self.losers[node], at = at, other
-                node //= 2
-            self.winner = at
-
-
-def merged_index(runs: DataFrame) -> DataFrame:
-    """All index lines in the order of URL key, time and id, merged from the sorted runs.
-
-    Ranges are cut by key, time and id, so a page with very many captures is
-    spread; a task holds the lines of its range, some hundred bytes each.
-    """
-    keys = [F.col("url_key"), F.col("captured"), F.col("page_id").asc_nulls_first()]
-    ranged = runs.repartitionByRange(*keys).sortWithinPartitions("run", "url_key", "captured", keys[2], "place")
-    names = list(INDEX_FIELDS)
+def write_runs(spark: SparkSession, folder: str, archives: int) -> None:
+    """Read every archive back, one per task, and write its index lines as a sorted run."""
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[str, list[tuple]] = {}
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, path = locate(folder)
         for batch in batches:
-            for line in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                parts.setdefault(line[7], []).append(line)
-        lines: list[tuple] = []
-        for line in LoserTree([parts[run] for run in sorted(parts)]):
-            lines.append(line)
-            if len(lines) == 10_000:
-                yield table(lines)
-                lines = []
-        if lines:
-            yield table(lines)
-
-    kinds = runs.limit(0).toArrow().schema
-
-    def table(lines: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*lines, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], names=names
-        )
+            for part in batch.column(0).to_pylist():
+                name = archive_name(part)
+                with files.open_input_file(f"{path}/{name}") as file:
+                    write_run(folder, run_name(0, part), index_lines(name, file), INDEX_ARROW)
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64())})
+
+    parts = spark.range(0, archives, 1, max(1, archives)).mapInArrow(run, "part long")
+    if settle_count(parts) != archives:
+        raise RuntimeError("not every archive was indexed")
+
 
-    return ranged.mapInArrow(merge, INDEX_SCHEMA)
+def merged_index(spark: SparkSession, folder: str, archives: int) -> DataFrame:
+    """All index lines in the order of URL key, time and id, merged from the runs of the archives."""
+    return merge_runs(spark, folder, archives, line_order, INDEX_ARROW, INDEX_SCHEMA)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Write all pages to archives in the shared folder and give the merged index of them."""
     spark = pages.sparkSession
     folder = fresh_dir(spark, "warc")
-    write_archives(captures(pages), folder)
-    return merged_index(archive_runs(spark, folder))
+    archives = write_archives(captures(pages), folder)
+    write_runs(spark, folder, archives)
+    return merged_index(spark, folder, archives)
