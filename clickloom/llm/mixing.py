@@ -3,7 +3,9 @@
 Every slot of the mix is a golden-ratio point; the cumulative target shares say
 which source it falls to. The k-th slot of a source takes the k-th block of
 equally many words from the source's shuffled documents, laid end to end and
-read round and round. DataFrame operations only.
+read round and round. ``first_slot`` of a document is the first slot that takes
+words of it; ``mixed_documents`` gives the documents in that order. DataFrame
+operations only.
 
 Defined cases: a null or wordless text has size 0 and is never taken; a null
 source is a source of its own, ordered last; repeated rows are documents of
@@ -29,6 +31,8 @@ STEP = 1_327_217_885
 CELL_BITS = 19  # the cumulative shares are looked up through 4,096 equal cells
 RANK_BITS = 13  # slots are ranked in runs of 8,192
 SHUFFLE_DIGITS = 3  # documents are laid out in 4,096 runs per source
+PART_WORDS = 8 << 20  # words in a partition of mixed documents
+WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def source_targets(
@@ -219,23 +223,72 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row as often as the mix takes its words, to the nearest whole copy.
+def mixed_passes(docs: DataFrame, **options) -> DataFrame:
+    """One row per id and pass that takes words of it.
 
-    Rows that share an id get the copies of all of them on average.
+    ``mix_slot`` is the first slot of the pass, ``mix_upto`` the last one if
+    several rows share the id ``mix_doc`` (else the first), ``mix_size`` the words
+    of all rows with the id and ``mix_take`` how many of them the pass takes.
     """
-    copies = (
-        mixed_sizes(docs, **options)
-        .groupBy(F.col("doc_id").alias("mix_doc"))
-        .agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
-        .withColumn("mix_copies", F.floor(F.col("t") / F.greatest("s", F.lit(1)) + 0.5).cast("int"))
-        .filter("mix_copies > 0")
-        .select("mix_doc", "mix_copies")
+    by_row = (
+        mix(docs, **options)
+        .groupBy("skey", "run", "nth", "turn", "doc_id", "size")
+        .agg(
+            F.min("slot").alias("slot"), F.max("slot").alias("last"), F.sum("n_words").alias("take")
+        )
+    )
+    of_id = Window.partitionBy("doc_id")
+    return (
+        by_row.groupBy("doc_id", "turn")
+        .agg(
+            F.min("slot").alias("mix_slot"),
+            F.when(F.count("*") > 1, F.max("last")).otherwise(F.min("slot")).alias("mix_upto"),
+            F.sum(F.when(F.col("slot").isNotNull(), F.col("take")).otherwise(0)).alias("mix_take"),
+            F.sum("size").alias("reached"),
+        )
+        # The first pass has a row for every document, reached or not.
+        .withColumn("mix_size", F.max(F.when(F.col("turn") == 0, F.col("reached"))).over(of_id))
+        .filter("mix_take > 0")
+        .select(F.col("doc_id").alias("mix_doc"), "mix_slot", "mix_upto", "mix_take", "mix_size")
     )
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """``text`` up to the end of its ``n``-th word."""
+    return F.array_join(F.slice(F.split(text, WORD_END), F.lit(1), n), "")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` in the order of the mix: every row once for each pass that takes words of it.
+
+    Partition after partition, rows stand by the slot their first word falls to.
+    The document at which a source reaches its target is cut after the last word
+    taken, and ``n_chars``, if there is such a column, is that of the cut text.
+    Rows that share an id are taken alike, each by its part of the words, and
+    spread over the slots of the id by a hash of their texts.
+    """
+    passes = cut(mixed_passes(docs, **options))
+    words, last = passes.agg(F.sum("mix_take"), F.max("mix_upto")).first()
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-(words or 0) // PART_WORDS))
+    per_part = -(-((last or 0) + 1) // parts)
+    spread = F.pmod(F.xxhash64("mix_row.text"), F.col("mix_upto") - F.col("mix_slot") + 1)
     # Whole rows in one column, so that no name of theirs can clash with another.
     rows = docs.select(F.struct("*").alias("mix_row"))
+    share = F.floor(
+        word_count(F.col("mix_row.text")) * F.col("mix_take") / F.col("mix_size") + 0.5
+    ).cast("int")
+    whole = F.col("mix_take") == F.col("mix_size")
+    shorter = F.col("mix_row").withField("text", first_words(F.col("mix_row.text"), F.col("mix_share")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        shorter = shorter.withField("n_chars", F.char_length(shorter["text"]).cast(kind))
     return (
-        rows.join(copies, F.col("mix_row.doc_id").eqNullSafe(F.col("mix_doc")))
-        .withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+        rows.join(passes, F.col("mix_row.doc_id").eqNullSafe(F.col("mix_doc")))
+        .withColumn("mix_share", F.when(whole, 1).otherwise(share))
+        .filter("mix_share > 0")
+        .withColumn("mix_place", F.col("mix_slot") + spread)
+        .repartitionById(parts, F.floor(F.col("mix_place") / per_part).cast("int"))
+        .sortWithinPartitions("mix_place", "mix_doc")
+        .select(F.when(whole, F.col("mix_row")).otherwise(shorter).alias("mix_row"))
         .select("mix_row.*")
     )

@@ -25,18 +25,48 @@ WITH sized AS (
   SELECT skey, source_size,
          least(cap::DOUBLE, weight::DOUBLE * max(level) OVER ()) AS target
   FROM levels
+), quotas AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS words, ceil(floor(target + 0.5) / 512)::BIGINT AS quota,
+         sum(floor(target + 0.5)) OVER (ORDER BY skey)::BIGINT AS upto,
+         sum(floor(target + 0.5)) OVER ()::BIGINT AS everything
+  FROM targets
+), edges AS (
+  SELECT skey, quota, ceil(everything / 512)::BIGINT AS slots,
+         floor((upto - words) / greatest(everything, 1) * 2147483648)::BIGINT AS low,
+         floor(upto / greatest(everything, 1) * 2147483648)::BIGINT AS high
+  FROM quotas
+), points AS (
+  SELECT slot, slot % 2147483648 * 1327217885 % 2147483648 AS point
+  FROM (SELECT unnest(range((SELECT coalesce(max(slots), 0) FROM edges))) AS slot)
+), dealt AS (
+  SELECT skey, slot, quota, row_number() OVER (PARTITION BY skey ORDER BY slot) - 1 AS block
+  FROM points JOIN edges ON point >= low AND point < high
+), late AS (
+  SELECT skey, any_value(slots) AS slots,
+         unnest(range(count(slot), any_value(e.quota))) AS block
+  FROM edges e LEFT JOIN dealt USING (skey) GROUP BY skey
+), placed AS (
+  SELECT skey, block, slot FROM dealt WHERE block < quota
+  UNION ALL SELECT skey, block, slots + block FROM late
 ), laid AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS words,
-         sum(s.size) OVER (PARTITION BY s.skey ORDER BY o, s.size ROWS UNBOUNDED PRECEDING)
-           - s.size AS start
-  FROM sized s JOIN targets t ON s.skey = t.skey
+  SELECT row_number() OVER () AS r, s.skey, s.doc_id, s.size, t.source_size, t.target, t.words,
+         (sum(s.size) OVER (PARTITION BY s.skey ORDER BY o, s.size ROWS UNBOUNDED PRECEDING)
+           - s.size)::BIGINT AS start
+  FROM sized s JOIN quotas t ON s.skey = t.skey
+), turns AS (
+  SELECT *, start + turn * source_size AS from_word,
+         least(start + turn * source_size + size, words) AS to_word
+  FROM laid, (SELECT unnest([0, 1, 2]) AS turn)
+), used AS (
+  SELECT r, skey, unnest(range(from_word // 512, (to_word - 1) // 512 + 1)) AS block
+  FROM turns WHERE to_word > from_word
+), firsts AS (
+  SELECT r, min(slot) AS first_slot FROM used JOIN placed USING (skey, block) GROUP BY r
+), sums AS (
+  SELECT r, sum(greatest(0, to_word - from_word))::BIGINT AS taken FROM turns GROUP BY r
 )
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(start + size, words) - start)
-        + greatest(0, least(start + source_size + size, words) - start - source_size)
-        + greatest(0, least(start + 2 * source_size + size, words) - start - 2 * source_size)
-       )::BIGINT AS taken
-FROM laid
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, taken, first_slot
+FROM laid JOIN sums USING (r) LEFT JOIN firsts USING (r)
 """
 
 WARC = """

@@ -28,7 +28,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_sizes(read(spark, sf_dir, "documents")).drop("first_slot")
+    return mixing.mixed_sizes(read(spark, sf_dir, "documents"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from llm.helpers import awkward, docs
 
 from clickloom.llm import mixing, syncmers
@@ -83,6 +85,31 @@ def test_mix_reruns_agree_and_cases(spark):
     assert mixing.mixed_documents(docs(spark, [])).count() == 0
 
 
+def test_mixed_documents_come_in_the_order_of_the_slots(spark, mixed):
+    rows, sizes = mixed
+    got = mixing.mixed_documents(docs(spark, rows), block_words=64).collect()
+    first = dict(zip(sizes["doc_id"], sizes["first_slot"], strict=True))
+    seen = list(dict.fromkeys(r.doc_id for r in got))
+    order = [first[i] for i in seen]
+    assert order == sorted(order) and len(set(order)) > 50
+    total = Counter()
+    texts = {i: t for i, t, _, _ in rows}
+    cuts = Counter()
+    for r in got:
+        total[r.doc_id] += words(r.text)
+        assert texts[r.doc_id].startswith(r.text)
+        if r.text != texts[r.doc_id]:
+            cuts[r.source] += 1
+    assert total == {i: n for i, n in zip(sizes["doc_id"], sizes["taken"], strict=True) if n}
+    assert cuts and max(cuts.values()) == 1
+
+
+def test_first_words_keep_white_space(spark):
+    frame = spark.createDataFrame([("  a\tb \n c\u00a0d  e ",)], "t string")
+    got = [frame.select(mixing.first_words(F.col("t"), F.lit(n))).first()[0] for n in (1, 2, 3, 4)]
+    assert got == ["  a", "  a\tb", "  a\tb \n c\u00a0d", "  a\tb \n c\u00a0d  e"]
+
+
 def signed(x):
     return x if x < 1 << 63 else x - (1 << 64)
 
