@@ -47,7 +47,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of the sources takes it."""
+    """The documents in the order of the mix, each once for every pass that takes it."""
     return mixing.mixed_documents(docs)
 
 
