@@ -48,6 +48,7 @@ from clickloom.plans import fixture
 from clickloom.session import prepare
 from clickloom.sources.tables import read_table, write_bucketed, write_table
 from clickloom.streaming import job, metrics, sinks, state_rows
+from clickloom.streaming.alert_writer import AlertFileWriter, shared_files
 from clickloom.workspace import fresh_dir
 
 # The test events are 12 hours to days apart per user; sessions use this gap.
@@ -733,6 +734,19 @@ def _stream_alerts(spark, sf_dir):
     return _drain(high_value_purchases(_event_stream(spark, sf_dir), 500.0), "alerts")
 
 
+@query("stream_alert_writer")
+def _stream_alert_writer(spark, sf_dir):
+    """What the row writer of the alert sink was given, read from the files it wrote."""
+    folder = fresh_dir(spark, "alert_files")
+    files, path = shared_files(folder)
+    files.create_dir(path, recursive=True)
+    written = sinks.write_alerts(
+        _event_stream(spark, sf_dir), _run_options(spark, "alert_writer"), True, AlertFileWriter(folder)
+    )
+    written.awaitTermination()
+    return spark.read.schema("event_id string, alert_text string").json(folder)
+
+
 @query("stream_lookup")
 def _stream_lookup(spark, sf_dir):
     found = lookup(_event_stream(spark, sf_dir), fixture.catalog(spark, sf_dir))

@@ -480,6 +480,7 @@ SELECT 'routes' AS query, count(*) AS input_rows, count(*) AS total,
 FROM routed""",
     "stream_bronze": BRONZE,
     "stream_alerts": ALERTS,
+    "stream_alert_writer": f"SELECT event_id, alert_text FROM ({ALERTS}) AS alerts",
     "stream_lookup": f"""{WITH}
 SELECT e.event_id, e.product_id, c.product_name AS catalog_name, c.price AS catalog_price
 FROM valid e LEFT JOIN catalog c ON e.product_id = c.product_id""",

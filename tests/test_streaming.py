@@ -17,7 +17,7 @@ from clickloom.options import JobOptions
 from clickloom.sources.messages import message_frame, read_file_stream, read_message_table, read_messages
 from clickloom.sources.tables import read_table
 from clickloom.streaming import job, metrics, sinks, state_rows
-from clickloom.streaming.alert_writer import AlertLogWriter
+from clickloom.streaming.alert_writer import AlertFileWriter, AlertLogWriter
 from clickloom.workspace import fresh_dir
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -366,6 +366,24 @@ def test_alert_log_writer(caplog):
     assert [r.getMessage() for r in caplog.records] == ["ALERT", "alert writer failed: lost"]
 
 
+def test_alert_file_writer_replaces_and_leaves_no_halves(tmp_path):
+    writer = AlertFileWriter(f"file:{tmp_path}/alerts")
+    row = SimpleNamespace(event_id="e", alert_text="one\ntwo")
+    for again in (1, 2):
+        assert writer.open(3, 7)
+        for _ in range(again):
+            writer.process(row)
+        writer.close(None)
+    assert writer.open(4, 7)
+    writer.process(row)
+    writer.close(ValueError("lost"))
+    assert writer.open(5, 7)
+    writer.close(None)
+    assert os.listdir(tmp_path / "alerts") == ["000000000007-000003.json"]
+    lines = (tmp_path / "alerts" / "000000000007-000003.json").read_text().splitlines()
+    assert [json.loads(line) for line in lines] == [{"event_id": "e", "alert_text": "one\ntwo"}] * 2
+
+
 def test_progress_and_observed_routes(spark, options):
     drop_files(spark, options.source_path, [event(), "bad", event(event_type="odd")], [event()])
     routed = observe_routes(parse_messages(read_messages(spark, options)))
