@@ -233,3 +233,78 @@ def test_a_text_needs_a_letter(spark):
     for text in ("½ ²", "①", "12 _", "", None, "́"):
         assert model.predict(text)[0] == "und"
     assert model.predict("½ a")[0] == "en" and model.predict("漢")[0] == "en"
+
+
+def grow(x, slope, bend, rows, edges, depth):
+    """A tree by trying every edge of every column on the rows themselves: (column, edge, sides) or a value."""
+    if not depth:
+        g, h = sum(slope[i] for i in rows), sum(bend[i] for i in rows)
+        return -quality_model.RATE * g / (h + quality_model.PENALTY)
+    worth = lambda side: (
+        sum(slope[i] for i in side) ** 2 / (sum(bend[i] for i in side) + quality_model.PENALTY)
+    )
+    best, split = 1e-6, (0, np.inf)
+    for f, column in enumerate(edges):
+        for edge in column:
+            low = [i for i in rows if x[i][f] <= edge]
+            high = [i for i in rows if x[i][f] > edge]
+            if min(sum(bend[i] for i in side) for side in (low, high)) < quality_model.LEAST_WEIGHT:
+                continue
+            gain = worth(low) + worth(high) - worth(rows)
+            if gain > best:
+                best, split = gain, (f, edge)
+    f, edge = split
+    low = [i for i in rows if x[i][f] <= edge]
+    high = [i for i in rows if x[i][f] > edge]
+    return f, edge, *(grow(x, slope, bend, side, edges, depth - 1) for side in (low, high))
+
+
+def walk(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+def test_boosting_against_trees_grown_row_by_row(monkeypatch):
+    monkeypatch.setattr(quality_model, "TREES", 4)
+    monkeypatch.setattr(quality_model, "DEPTH", 2)
+    monkeypatch.setattr(quality_model, "BINS", 12)
+    monkeypatch.setattr(quality_model, "LEAST_WEIGHT", 1.0)
+    chance = np.random.default_rng(4)
+    x = chance.normal(size=(120, 3))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + chance.normal(0, 0.3, 120) > 0).astype(float)
+    share = chance.uniform(0.5, 1.5, 120)
+    model = quality_model.boost(x, y, share)
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, 12)[1:-1])) for c in x.T]
+    z = np.full(120, np.log((share * y).sum() / (share * (1 - y)).sum()))
+    for _ in range(4):
+        p = 1 / (1 + np.exp(-z))
+        tree = grow(x, share * (p - y), share * p * (1 - p), list(range(120)), edges, 2)
+        z += [walk(tree, row) for row in x]
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(-z)), atol=1e-9)
+
+
+def plain_bucket(run, bits):
+    """The bucket of a run of bytes, in Python's integers."""
+    code = run[0]
+    for b in run[1:]:
+        code = code * 0x01000193 % 2**32 ^ b
+    code ^= code >> 15
+    code = code * 0x2C1B3C6D % 2**32 ^ len(run) * 0x9E3779B1 % 2**32
+    return code * 0x297A2D39 % 2**32 >> 32 - bits
+
+
+def test_language_against_a_plain_forward_pass(monkeypatch):
+    monkeypatch.setattr(sampling, "PIECE_BYTES", 50)
+    rng = np.random.default_rng(2)
+    bits = language_id.BITS
+    table = rng.normal(size=(1 << bits, 3))
+    model = language_id.LanguageModel(("a", "b", "c"), table, rng.normal(size=3), 0.7, 0.0)
+    for text in ("a", "Hello World", "äß ½\nzwei", "längerer Text mit vielen Wörtern " * 9):
+        data = f" {text.lower()} ".encode().replace(b"\n", b" ")
+        found = [plain_bucket(data[i : i + n], bits) for n in (2, 3, 4) for i in range(len(data) - n + 1)]
+        logits = [(sum(table[b][k] for b in found) / len(found) + model.bias[k]) / 0.7 for k in range(3)]
+        total = sum(np.exp(v) for v in logits)
+        name, score = model.predict(text)
+        assert name == "abc"[int(np.argmax(logits))]
+        assert score == pytest.approx(np.exp(max(logits)) / total, rel=1e-9)
