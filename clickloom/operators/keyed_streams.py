@@ -11,13 +11,18 @@ without a readable time has no place in the order and is left out. A key starts
 anew after ``keep`` of event time without events, wherever micro-batches begin and
 end, so its state can be dropped when the watermark has passed that time.
 
-A key's events of one trigger meet in one task, as Spark keeps a key's state in
-one place; what a key holds is bounded by its events within the watermark. Arrow
-carries the groups, many of them per batch.
+Keys are dealt to ``buckets`` by a hash, and the state of Spark is that of a
+bucket: the values and waiting events of all its keys, which lie in one task
+anyway. A call per key would cost many times what its few events do. Each trigger
+reads and writes the buckets its events or timeouts touch; the more keys are
+remembered, the more buckets a stream should have, and it keeps their number for
+the life of its checkpoint. What a bucket holds is bounded by the keys of ``keep``
+and the events within the watermark. Arrow carries the buckets, many per batch.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 from collections.abc import Callable, Iterable, Iterator
 
@@ -32,6 +37,7 @@ from clickloom.operators.state import added_units, shown_cart, units
 # A step takes (value, event type, added, price) and gives (next value, shown value).
 Step = Callable[[int, str, int, int], tuple[int, int]]
 
+BUCKETS = 256
 _FIELDS = ("event_id", "event_type", "_micros", "_added", "_price")
 _OUT = "{key} string, event_id string, event_type string, _micros long, _price decimal(30,0), _shown decimal(38,0)"
 
@@ -48,43 +54,53 @@ def login_step(value: int, kind: str, added: int, price: int) -> tuple[int, int]
 
 
 def in_event_order(
-    events: DataFrame, key: str, step: Step, watermark: str, keep: str
+    events: DataFrame, key: str, step: Step, watermark: str, keep: str, buckets: int = BUCKETS
 ) -> DataFrame:
     """(key, event_id, event_type, event_ts, _price, _shown) of all events the watermark has passed."""
     keep_micros = interval_length(keep)
     columns = [key, "event_id", "event_type", "_micros", "_price", "_shown"]
 
     def advance(
-        group: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+        bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterable[pd.DataFrame]:
-        value, last, waiting = 0, None, []
+        keys, waiting = {}, []
         if state.exists:
-            value, last, waiting = json.loads(state.get[0])
+            kept, waiting = json.loads(state.get[0])
+            keys = {k: (value, last) for k, value, last in kept}
         if not state.hasTimedOut:
             for frame in frames:
-                rows = zip(*(frame[c].tolist() for c in _FIELDS), strict=True)
-                waiting += [[m, i, k, int(a), int(p)] for i, k, m, a, p in rows]
+                rows = zip(*(frame[c].tolist() for c in (key, *_FIELDS)), strict=True)
+                waiting += [[m, i, t, int(a), int(p), k] for k, i, t, m, a, p in rows]
         passed = state.getCurrentWatermarkMs() * 1000
         waiting.sort(key=lambda row: (row[0], row[1] is not None, row[1] or ""))
-        n_ready = sum(row[0] < passed for row in waiting)
+        n_ready = bisect.bisect_left(waiting, passed, key=lambda row: row[0])
         out = []
-        for micros, event_id, kind, added, price in waiting[:n_ready]:
-            if last is not None and micros - last > keep_micros:
+        for micros, event_id, kind, added, price, k in waiting[:n_ready]:
+            value, last = keys.get(k, (0, micros))
+            if micros - last > keep_micros:
                 value = 0
-            last = micros
             value, shown = step(value, kind, added, price)
-            out.append((group[0], event_id, kind, micros, price, shown))
+            keys[k] = value, micros
+            out.append((k, event_id, kind, micros, price, shown))
         still = waiting[n_ready:]
-        if not still and passed - last > keep_micros:
+        busy = {row[5] for row in still}
+        kept = [
+            (k, value, last)
+            for k, (value, last) in keys.items()
+            if k in busy or passed - last <= keep_micros
+        ]
+        if not still and not kept:
             state.remove()
         else:
-            state.update((json.dumps((value, last, still)),))
-            wake = still[0][0] if still else last + keep_micros
-            state.setTimeoutTimestamp(max(wake, passed) // 1000 + 1)
+            state.update((json.dumps((kept, still)),))
+            wake = [last + keep_micros for k, _, last in kept if k not in busy]
+            wake += [row[0] for row in still[:1]]
+            state.setTimeoutTimestamp(max(min(wake), passed) // 1000 + 1)
         if out:
             yield pd.DataFrame(out, columns=columns)
 
     picked = events.filter(F.col("event_ts").isNotNull()).select(
+        F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket"),
         F.col(key).alias(key),
         "event_id",
         "event_type",
@@ -95,7 +111,7 @@ def in_event_order(
     )
     done = (
         picked.withWatermark("event_ts", watermark)
-        .groupBy(key)
+        .groupBy("_bucket")
         .applyInPandasWithState(
             advance,
             _OUT.format(key=key),

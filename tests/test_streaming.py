@@ -250,6 +250,25 @@ def test_keyed_streams_forget_idle_keys(spark, options):
     assert {r.event_id: r.running_cart for r in got.collect()} == {"e0": 2.0, "e1": 2.0, "e2": 2.0, "e3": 2.0}
 
 
+def test_keyed_streams_keep_the_state_of_many_keys_in_few_rows(spark, options):
+    schema = "event_id string, event_type string, event_ts timestamp, session_id string, price double, quantity int"
+    for i in range(2):
+        rows = [
+            (f"e{i}-{n}", "add_to_cart", START + timedelta(minutes=10 * i), None if n == 5 else f"S-{n}", 2.0, 1)
+            for n in range(2_000)
+        ]
+        add_file(spark.createDataFrame(rows, schema), options.source_path)
+    last = [("z", "add_to_cart", START + timedelta(minutes=40), "S-z", 2.0, 1)]
+    add_file(spark.createDataFrame(last, schema), options.source_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(options.source_path)
+    got, query = run(keyed_streams.stream_cart(stream), "cart", options)
+    shown = {(r.event_id, r.session_id): r.running_cart for r in got.collect()}
+    assert shown == {
+        (f"e{i}-{n}", None if n == 5 else f"S-{n}"): 2.0 + 2 * i for i in range(2) for n in range(2_000)
+    }
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= keyed_streams.BUCKETS
+
+
 def test_job_restarts_without_repeating(spark, options):
     first = [at(0, event_id="a"), purchase(event_id="p"), "bad", at(1, event_type="odd", event_id="o")]
     drop_files(spark, options.source_path, first)
