@@ -614,18 +614,21 @@ def _stream_sessions_12h(spark, sf_dir):
     return _drain(stream_sessions(_event_stream(spark, sf_dir), TEST_GAP), "sessions")
 
 
-def _by_file(frame: DataFrame, part, name: str) -> DataFrame:
-    """``frame`` as a stream of files in the order of ``part``, one per micro-batch."""
+def _by_file(frame: DataFrame, part, name: str, made=lambda rows, *more: rows) -> DataFrame:
+    """``frame`` as a stream of files in the order of ``part``, one per micro-batch.
+
+    ``made`` gives what the files hold of the rows, with the columns named to it beside.
+    """
     spark = frame.sparkSession
     path = f"{fresh_dir(spark, name)}/in"
-    files = fixture.ordered_files(frame, part, path)
-    reader = spark.readStream.schema(frame.schema).option("recursiveFileLookup", "true")
+    files = fixture.ordered_files(frame, part, path, lambda rows: made(rows, "_part", "_file"))
+    reader = spark.readStream.schema(made(frame).schema).option("recursiveFileLookup", "true")
     return reader.option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _sent_by_file(flat: DataFrame, name: str) -> DataFrame:
     """The messages of click events as a stream of files by their ``part``."""
-    return _by_file(fixture.messages(flat, "part"), F.col("part"), name)
+    return _by_file(flat, F.col("part"), name, fixture.messages)
 
 
 @query("stream_dedup")

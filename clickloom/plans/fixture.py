@@ -6,6 +6,8 @@ the checks start from equal rows. Every row of ``events`` becomes one message.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,14 +133,21 @@ def _utc() -> Column:
     return F.col("event_ts").cast("timestamp")
 
 
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 40_000  # a file is read by one task
 
 
-def ordered_files(frame: DataFrame, part: Column, path: str) -> int:
+def ordered_files(
+    frame: DataFrame,
+    part: Column,
+    path: str,
+    made: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
     """Write ``frame`` as files in the order of its parts; returns the files of a part.
 
     One job writes all parts, each into a folder of its own and, if it is large,
-    into several files. A file stream takes files by their time, so theirs are set
+    into several files, which a trigger reads in as many tasks. Rows are dealt
+    before ``made`` turns them into what is written, so that this runs in the tasks
+    that write, however few the table was read in. A file stream takes files by their time, so theirs are set
     in the order of the parts; a trigger of as many files as returned takes one part.
     """
     spark = frame.sparkSession
@@ -146,8 +155,9 @@ def ordered_files(frame: DataFrame, part: Column, path: str) -> int:
     most = parts.groupBy("_part").count().agg(F.max("count")).first()[0] or 0
     files = -(-most // ROWS_PER_FILE) or 1
     dealt = parts.withColumn("_file", F.pmod(F.xxhash64(*frame.columns), F.lit(files)))
+    dealt = dealt.repartition(files * (PARTS + 3), "_part", "_file")
     (
-        dealt.repartition(files * (PARTS + 3), "_part", "_file")
+        (made(dealt) if made else dealt)
         .write.partitionBy("_part", "_file")
         .parquet(path)
     )

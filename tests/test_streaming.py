@@ -14,6 +14,7 @@ from clickloom.operators import checkouts, dedup, keyed_streams, sessions, silve
 from clickloom.operators.enrich import enrich
 from clickloom.operators.routing import observe_routes, parse_messages, valid_events
 from clickloom.options import JobOptions
+from clickloom.plans import fixture
 from clickloom.sources.messages import message_frame, read_file_stream, read_message_table, read_messages
 from clickloom.sources.tables import read_table
 from clickloom.streaming import job, metrics, sinks, state_rows
@@ -269,6 +270,19 @@ def test_keyed_streams_keep_the_state_of_many_keys_in_few_rows(spark, options):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= keyed_streams.BUCKETS
 
 
+def test_ordered_files_deal_a_part_over_many_tasks(spark, options):
+    rows = spark.range(0, 150_000, 1, 1).withColumn("part", (F.col("id") % 3).cast("int"))
+    text = lambda r: r.select(F.col("id").cast("string").alias("text"), "_part", "_file")
+    path = f"{options.source_path}/in"
+    files = fixture.ordered_files(rows.filter("part < 2"), F.col("part"), path, text)
+    sizes = spark.read.parquet(path).groupBy(F.input_file_name(), "_part").count().collect()
+    assert files > 1 and len(sizes) == 2 * files
+    assert max(r["count"] for r in sizes) < 1.5 * fixture.ROWS_PER_FILE
+    back = spark.read.parquet(path)
+    assert back.agg(F.count("*"), F.countDistinct("text")).first()[:] == (100_000, 100_000)
+    assert back.filter(F.col("text").cast("long") % 3 != F.col("_part")).count() == 0
+
+
 def test_job_restarts_without_repeating(spark, options):
     first = [at(0, event_id="a"), purchase(event_id="p"), "bad", at(1, event_type="odd", event_id="o")]
     drop_files(spark, options.source_path, first)
