@@ -13,15 +13,16 @@ import json
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 END_ID = 2
 MOST_WORDS = 1_000_000  # kept words, some 200 MB; then the memory starts anew
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 21
 JOINED_WORDS = 20
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -42,16 +43,47 @@ class Encoder:
             *(t["content"] for t in spec.get("added_tokens") or []),
         )
         splitter = spec.get("pre_tokenizer") or {}
-        self.line_end = self._whole("\n")
+        line_end = self._ids("\n")
+        # Ids that begin with a blank (Ġ in a byte-level vocabulary), and the line end.
+        signs = self.library.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(signs.values(), default=0) + 1, bool)
+        self.opens[[i for sign, i in signs.items() if sign[:1] == "Ġ"] + line_end] = True
         self.by_word = (
             spec.get("normalizer") is None
             and splitter.get("type") == "ByteLevel"
             and splitter.get("use_regex", True)
             and not splitter.get("add_prefix_space")
-            and len(self.line_end) == 4
+            and len(line_end) == 1
+            and "Ġ" in signs
         )
-        self.known: dict[str, bytes] = {}
-        self.tails = {mark: self._whole(mark) for mark in ".,"}
+        # Marks that are one id after any letter.
+        marks = {mark: self._ids(mark) for mark in ".,"}
+        self.tails = {mark: ids[0] for mark, ids in marks.items() if len(ids) == 1}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the memory anew: word ``i`` has the ids ``flat[starts[i] : starts[i + 1]]``."""
+        self.known: dict[str, int] = {}
+        self.starts = np.zeros(1 << 12, np.int64)
+        self.flat = np.zeros(1 << 14, "<u4")
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, used = len(self.known), int(self.starts[len(self.known)])
+        if n + len(words) >= len(self.starts):
+            self.starts = np.resize(self.starts, 2 * (n + len(words)))
+        if used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (used + len(ids)))
+        self.flat[used : used + len(ids)] = ids
+        self.starts[n + 1 : n + 1 + len(words)] = used + sizes.cumsum()
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def _gather(self, rows: np.ndarray, more: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words one after another, each with ``more`` places after it; sizes."""
+        starts = self.starts[rows]
+        sizes = self.starts[rows + 1] - starts + more
+        ends = sizes.cumsum()
+        at = np.arange(int(sizes.sum())) + np.repeat(starts - ends + sizes, sizes)
+        return self.flat[np.minimum(at, len(self.flat) - 1)], sizes
 
     def _plain(self, text: str) -> bool:
         """Whether single blanks and line ends between words are all the text's white space."""
@@ -65,43 +97,55 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode ``pieces``: "\\nword" at the start of a line, else "word" after a blank."""
-        marked = [p for p in pieces if p[-1] in ".," and p[-2:-1].isalpha() and p[-2] < "ɐ"]
-        pieces.difference_update(marked)
-        pieces.update(p for p in [p[:-1] for p in marked] if p not in self.known)
-        new = list(pieces)
-        end = np.frombuffer(self.line_end, "<u4")[0]
-        for at in range(0, len(new), JOINED_WORDS):
-            some = new[at : at + JOINED_WORDS]
-            joined = "".join([p if p[0] == "\n" else f"\n {p}" for p in some])
-            ids = np.array(self._ids(joined), "<u4")
-            data = ids.tobytes()
-            starts = (4 * np.flatnonzero(ids == end)).tolist()
-            starts.append(len(data))
-            for i, piece in enumerate(some):
-                self.known[piece] = data[starts[i] + 4 * (piece[0] != "\n") : starts[i + 1]]
-        for piece in marked:
-            self.known[piece] = self.known[piece[:-1]] + self.tails[piece[-1]]
+    def _learn(self, new: list[str]) -> None:
+        """Encode ``new``: "\nword" at the start of a line, else "word" after a blank."""
+        marked = [p for p in new if p[-1:] in self.tails and p[-2:-1].isalpha() and p[-2] < "ɐ"]
+        plain = set(new).difference(marked)
+        plain.update([p[:-1] for p in marked])
+        plain = [p for p in plain if p not in self.known]
+        flat: list[int] = []
+        for at in range(0, len(plain), JOINED_WORDS):
+            some = plain[at : at + JOINED_WORDS]
+            flat += self._ids("".join([p if p[0] == "\n" else f" {p}" for p in some]))
+        ids = np.array(flat, "<u4")
+        starts = np.flatnonzero(self.opens[ids])
+        self._keep(plain, ids, np.diff(starts, append=len(ids)))
+        if marked:
+            rows = np.array([self.known[p[:-1]] for p in marked])
+            ids, sizes = self._gather(rows, 1)
+            ids[sizes.cumsum() - 1] = [self.tails[p[-1]] for p in marked]
+            self._keep(marked, ids, sizes)
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        split = [
-            f"\n{text}".replace("\n", " \n")[1:].split(" ") if self._plain(text) else None
-            for text in texts
-        ]
-        found = [list(map(self.known.get, words or ())) for words in split]
-        holes = [[i for i, ids in enumerate(all_ids) if ids is None] for all_ids in found]
-        new = {words[i] for words, at in zip(split, holes, strict=True) for i in at}
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known.clear()
-        self._learn(new)
-        for words, all_ids, at in zip(split, found, holes, strict=True):
-            for i in at:
-                all_ids[i] = self.known[words[i]]
-        return [
-            self._whole(text) if words is None else b"".join(all_ids)[4:]
-            for text, words, all_ids in zip(texts, split, found, strict=True)
+        plain = list(map(self._plain, texts))
+        lines = [
+            f"\n{text}".replace("\n", " \n")[1:] for text, whole in zip(texts, plain) if whole
         ]
+        if lines:
+            words = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+            each = words.flatten().dictionary_encode()
+            different = each.dictionary.to_numpy(zero_copy_only=False).tolist()
+            rows = list(map(self.known.get, different))
+            new = [w for w, row in zip(different, rows, strict=True) if row is None]
+            if len(self.known) + len(new) > MOST_WORDS:
+                self._forget()
+                new = different
+            if new:
+                self._learn(new)
+                rows = list(map(self.known.get, different))
+            rows = np.array(rows, np.int64)
+            ids, sizes = self._gather(rows[each.indices.to_numpy()])
+            data = memoryview(ids.view(np.uint8))
+            ends = np.concatenate([[0], sizes.cumsum()])[words.offsets.to_numpy()] * 4
+            edges = iter(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+        out = []
+        for text, whole in zip(texts, plain, strict=True):
+            if whole:
+                a, b = next(edges)
+                out.append(bytes(data[a + 4 : b]))
+            else:
+                out.append(self._whole(text))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text without an end id; null as an empty text."""

@@ -192,3 +192,17 @@ def test_sequences_and_masks(spark, library):
         assert file.ids(last["start"], last["n_tokens"]).tolist() == flat[at + last["start"] : at + n]
         at += n
     assert read == flat
+
+
+def test_encoder_hands_the_library_each_new_word_once_without_separators(monkeypatch):
+    coder = Encoder(default_tokenizer())
+    sent = []
+    ids = coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda text: sent.append(text) or ids(text))
+    texts = ["quivo marn, quivo\nquivo él¿a marn", "marn (quivo) éla's\nmarn.", "quivo", None, ""]
+    found = coder.encode(texts)
+    assert found == [np.array(ids(text or ""), "<u4").tobytes() for text in texts]
+    pieces = [" quivo", " marn", " él¿a", " (quivo)", " éla's", "\nquivo", "\nmarn"]
+    assert sorted("".join(sent)) == sorted("".join(pieces))
+    sent.clear()
+    assert coder.encode(texts) == found and sent == ["", ""]
