@@ -14,7 +14,9 @@ distinct counts are what makes cells hard at scale, so there are three plans:
 ``stream_cells``  Streams refuse ``countDistinct``. Two chained window
                   aggregates count exactly without ever holding a set: the
                   first keeps one row per cell and distinct value, the second
-                  counts those rows.
+                  counts those rows. Sliding windows would need such rows in
+                  every window; there the panes a value was met in are kept,
+                  and one aggregate adds up what each pane is new to.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import exact_amount, money, odd_amount
-from clickloom.functions.intervals import floor_micros, interval_length
+from clickloom.functions.intervals import floor_micros, interval_length, interval_micros
+from clickloom.operators.new_values import new_in_windows
 
 CELL_KEYS = ("event_type", "event_date", "device_type", "funnel_stage")
 
@@ -126,12 +129,38 @@ def stream_cells(
     watermark: str = "5 minutes",
 ) -> DataFrame:
     """Tumbling (or, with ``step``, sliding) windows over a stream, append mode."""
-    window = F.window("event_ts", width, step or width)
-    facts = _facts(events.withWatermark("event_ts", watermark))
-    values = _merge_facts(facts.groupBy(window, *CELL_KEYS, "kind", "item"))
+    marked = events.withWatermark("event_ts", watermark)
+    if step:
+        return _stream_sliding_cells(marked, width, step, watermark)
+    window = F.window("event_ts", width)
+    values = _merge_facts(_facts(marked).groupBy(window, *CELL_KEYS, "kind", "item"))
     return finished(_count_facts(values.groupBy("window", *CELL_KEYS)))
 
 
+def _stream_sliding_cells(marked: DataFrame, width: str, step: str, watermark: str) -> DataFrame:
+    """Measures from the events, distinct counts from the windows a value is new in.
+
+    The time of both has the watermark of the events: a union takes it from its first part.
+    """
+    values = _values(marked.filter(F.col("event_ts").isNotNull()))
+    lengths = [interval_micros(text) for text in (width, step, watermark)]
+    wide, apart, delay = marked.sparkSession.sql("SELECT 1").select(*lengths).first()
+    new = new_in_windows(values, CELL_KEYS, wide, apart, delay)
+    single = marked.select(
+        "event_ts", *CELL_KEYS, *(value().alias(name) for name, (_, value) in _MEASURES.items())
+    )
+    rows = single.unionByName(new, allowMissingColumns=True)
+    start = F.unix_micros("window.start")
+    told = rows.withColumn("window", F.window("event_ts", width, step)).filter(
+        F.col("kind").isNull() | start.between(F.col("first"), F.col("last"))
+    )
+    counts = [
+        F.coalesce(F.sum(F.when(F.col("kind") == name, F.col("n"))), F.lit(0)).alias(name)
+        for name in DISTINCT_COUNTS
+    ]
+    return finished(told.groupBy("window", *CELL_KEYS).agg(*merged_measures(), *counts))
+
+
 def stream_cells_approx(
     events: DataFrame,
     width: str = "1 minute",
@@ -196,6 +225,16 @@ def _facts(events: DataFrame) -> DataFrame:
     )
 
 
+def _values(events: DataFrame) -> DataFrame:
+    """The distinct-counted values of each event alone, as ``kind`` and ``item``."""
+    kinds = [
+        F.struct(F.lit(name).alias("kind"), F.col(c).alias("item"))
+        for name, c in DISTINCT_COUNTS.items()
+    ]
+    rows = events.select("event_ts", *CELL_KEYS, F.inline(F.array(*kinds)))
+    return rows.filter("item is not null")
+
+
 def measures() -> list[Column]:
     """Aggregates of events into the mergeable measures."""
     return [merge(value()).alias(name) for name, (merge, value) in _MEASURES.items()]

@@ -156,6 +156,73 @@ def test_stream_cells_equal_batch_cells(spark, options, width, step):
     assert both.count() == got.count() and both.filter(far).count() == 0
 
 
+def enriched_at_three(raw):
+    """Events by a fixed clock, or the lag columns of two runs would differ."""
+    clock = F.lit("2024-01-01 03:00:00").cast("timestamp")
+    return enrich(valid_events(parse_messages(raw), clock))
+
+
+@pytest.mark.parametrize("width, step", [("5 minutes", "1 minute"), ("5 minutes", "2 minutes")])
+def test_sliding_stream_cells_equal_a_row_per_window_and_value(spark, options, width, step):
+    """Values that come again, before and after, in files minutes late: some windows take them."""
+    rng = random.Random(width + step)
+    batches = [
+        [
+            (purchase if i % 7 == 0 else event)(
+                event_id=f"e{batch}-{i}",
+                event_timestamp=(START + timedelta(minutes=6 * batch, seconds=-rng.randrange(1_800))).isoformat(),
+                user_id=f"U-{rng.randrange(6)}",
+                session_id=rng.choice(["S-1", "S-2", "\u00e9 \"S\"\n1"]),
+                product_id=rng.choice([None, "P-1", "", "P-2"]),
+                device_type=rng.choice([None, "mobile"]),
+            )
+            for i in range(30)
+        ]
+        for batch in range(9)
+    ]
+    drop_files(spark, options.source_path, *batches)
+    stream = enriched_at_three(read_messages(spark, options))
+    got, query = run(silver.stream_cells(stream, width, step), "cells", options)
+    assert len(query.recentProgress) >= 9
+    facts = silver._facts(stream.withWatermark("event_ts", "5 minutes"))
+    window = F.window("event_ts", width, step)
+    values = silver._merge_facts(facts.groupBy(window, *silver.CELL_KEYS, "kind", "item"))
+    plain = silver.finished(silver._count_facts(values.groupBy("window", *silver.CELL_KEYS)))
+    want, _ = run(plain, "plain", options)
+
+    def rows(frame):
+        return sorted(frame.collect(), key=str)
+
+    assert rows(got) == rows(want) and got.count() > 50
+    table = enriched_at_three(read_message_table(spark, options.source_path))
+    whole = silver.sliding_cells(table, width, step)
+    taken = got.agg(F.sum("event_count")).first()[0]
+    closed = whole.join(got, "window_start", "left_semi").agg(F.sum("event_count")).first()[0]
+    assert 0 < taken < closed  # some came too late
+
+
+def test_sliding_stream_state_grows_with_cells_not_with_values(spark, options):
+    """A row per cell and window, and the panes of all values in a fixed number of rows."""
+    hot = [at(0, event_id=f"e{i}", user_id=f"U-{i}", session_id=f"S-{i}") for i in range(1_500)]
+    drop_files(spark, options.source_path, hot, hot, [at(60, event_id="z")])
+    events = events_of(read_messages(spark, options))
+    cells, query = run(silver.stream_cells(events, "5 minutes", "1 minute"), "cells", options)
+    first = [r for r in query.recentProgress if r["numInputRows"]][0]
+    assert sum(op["numRowsTotal"] for op in first["stateOperators"]) <= 5 + 256
+    counts = cells.select("event_count", "unique_users", "unique_sessions", "unique_products_viewed")
+    assert [tuple(r) for r in counts.collect()] == 5 * [(3_000, 1_500, 1_500, 1)]
+
+
+def test_sliding_stream_forgets_panes(spark, options):
+    batches = [[at(60 * b, event_id=f"e{b}-{i}", session_id=f"S-{b}-{i}") for i in range(200)] for b in range(8)]
+    drop_files(spark, options.source_path, *batches)
+    events = events_of(read_messages(spark, options))
+    run(silver.stream_cells(events, "5 minutes", "1 minute"), "cells", options)
+    state = state_rows.state_rows(spark, options.checkpoint("cells"), 1)
+    held = state.agg(F.sum(F.length("value.groupState.panes"))).first()[0] // 24
+    assert 200 <= held < 4 * 200
+
+
 def test_stream_sessions_equal_batch_sessions(spark, options):
     payloads = [at(m, event_id=f"e{m}-{u}", user_id=f"U-{u}") for u in range(4) for m in range(0, 600, 11 + 9 * u)]
     drop_files(spark, options.source_path, payloads)
